@@ -34,7 +34,7 @@ def event_json_in(spark, sf_dir):
     return P.table(spark, sf_dir, "events").select("event_id", parsed).select("event_id", "data.k")
 
 
-def _damaged_messages(spark, sf_dir):
+def damaged_messages(spark, sf_dir):
     """Messages of which some are cut short, lack a field or hold a wrong type."""
     kind = F.col("doc_id") % 9
     value = F.col("value")
@@ -52,7 +52,7 @@ def _damaged_messages(spark, sf_dir):
 
 def damaged_json_in(spark, sf_dir):
     """What survives of damaged messages: wrong fields become null, the rest stays."""
-    parsed = accepted(parse_records(_damaged_messages(spark, sf_dir)))
+    parsed = accepted(parse_records(damaged_messages(spark, sf_dir)))
     return parsed.select(
         "id",
         "comment",
@@ -64,7 +64,7 @@ def damaged_json_in(spark, sf_dir):
 
 def malformed_quarantine(spark, sf_dir):
     """Damaged messages that cannot be stored, counted by reason."""
-    parsed = parse_records(_damaged_messages(spark, sf_dir))
+    parsed = parse_records(damaged_messages(spark, sf_dir))
     return rejected(parsed).groupBy("reason").agg(F.count(F.lit(1)).alias("messages"))
 
 

@@ -1,9 +1,15 @@
 """All registered queries with the SQL that checks them."""
 
-from review_lens.plans import label_queries, quality_queries, record_queries
+from review_lens.plans import (
+    label_queries,
+    model_queries,
+    quality_queries,
+    record_queries,
+    stream_queries,
+)
 
 REGISTERED = {}
-for _module in (label_queries, record_queries, quality_queries):
+for _module in (label_queries, record_queries, quality_queries, model_queries, stream_queries):
     REGISTERED.update(_module.QUERIES)
 
 

@@ -43,9 +43,6 @@ def publish(messages: DataFrame, outlet: Outlet, batch_id: int) -> None:
     )
 
 
-def write_record_files(messages: DataFrame, path: str, files: int | None = None) -> None:
+def write_record_files(messages: DataFrame, path: str) -> None:
     """Write the values as text files, one JSON record per line, for `file_topic`."""
-    values = messages.select("value")
-    if files:
-        values = values.repartition(files)
-    values.write.mode("append").text(path)
+    messages.select("value").write.mode("append").text(path)

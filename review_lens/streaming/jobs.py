@@ -61,14 +61,21 @@ def retrain(spark: SparkSession, table: str, model_root: str, **fit_options):
 
 
 def start_retraining(
-    spark: SparkSession, table: str, model_root: str, checkpoint: str, trigger=None, **fit_options
+    spark: SparkSession,
+    table: str,
+    model_root: str,
+    checkpoint: str,
+    ticks: DataFrame | None = None,
+    trigger=None,
+    **fit_options,
 ):
-    """Retrain on every tick of a clock."""
+    """Retrain on every trigger of a clock; whatever `ticks` carries is not read."""
 
     def tick(_, batch_id: int):
         retrain(spark, table, model_root, **fit_options)
 
-    return _start(clock(spark), tick, checkpoint, trigger or {"processingTime": "300 seconds"})
+    ticks = clock(spark) if ticks is None else ticks
+    return _start(ticks, tick, checkpoint, trigger or {"processingTime": "300 seconds"})
 
 
 def predictions(scored: DataFrame) -> DataFrame:
