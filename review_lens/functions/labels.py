@@ -1,18 +1,22 @@
-"""The label grammar as native column expressions.
+"""The label grammar as native expressions.
 
 A label is a `;`-separated list of parts, each `{ASPECT#Sentiment}` or
 `{OTHERS}`. Parts that do not open with a brace, or that hold more than one
 `#`, are ignored; a later part for the same aspect replaces an earlier one.
+
+Expressions over all aspects are long, so they are written as SQL text: one
+parse is much quicker to set up than hundreds of single column calls.
 """
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from review_lens.schema import ASPECTS, OTHERS, RATED_ASPECTS, SENTIMENT_CODES
+from review_lens.schema import ASPECTS, OTHERS, RATED_ASPECTS, SENTIMENT_CODES, SENTIMENT_NAMES
 
-_BLANKS = " \t\n\r\f\x0b"
+_BLANKS = r"' \t\n\r\f\u000b'"
 # `{`, then any text with a single `#`.
-_PAIR = r"(?s)^\{[^#]*#[^#]*\z"
+_PAIR = r"r'(?s)^\{[^#]*#[^#]*\z'"
+_PLAIN_OTHERS = "{" + OTHERS + "}"
 
 # A label as one long: three bits per aspect, of which the upper one says that
 # the aspect is mentioned and the other two hold its code. Bit 60 marks a
@@ -22,116 +26,98 @@ _MENTIONS = sum(4 * unit for unit in _UNITS.values())
 _UNLISTED = 1 << 60
 
 
-def _bigint(value: int) -> Column:
-    return F.lit(value).cast("bigint")
+def quoted(column: str) -> str:
+    return f"`{column}`"
 
 
-def _lookup(table: dict, key: Column) -> Column:
-    literals = [x for k, v in table.items() for x in (F.lit(k), _bigint(v))]
-    return F.try_element_at(F.create_map(*literals), key)
+def _lookup(table: dict, key: str) -> str:
+    literals = ", ".join(f"'{k}', {v}L" for k, v in table.items())
+    return f"try_element_at(map({literals}), {key})"
 
 
 def _common_parts() -> dict:
     """The parts that labels are normally made of, with their bits."""
     table = {
-        "{" + aspect + "#" + sentiment + "}": _UNITS[aspect] * (4 + code)
+        "{" + aspect + "#" + sentiment + "}": _UNITS[aspect] * (4 + value)
         for aspect in RATED_ASPECTS
-        for sentiment, code in SENTIMENT_CODES.items()
+        for sentiment, value in SENTIMENT_CODES.items()
     }
-    table["{" + OTHERS + "}"] = _UNITS[OTHERS] * 5
+    table[_PLAIN_OTHERS] = _UNITS[OTHERS] * 5
     return table
 
 
-def _part_bits(part: Column) -> Column:
+def _part_bits(part: str) -> str:
     """Bits of one part: a table look-up, or a closer look at an unusual one."""
-    body = F.btrim(part, F.lit("{}"))
-    aspect = F.substring_index(body, "#", 1)
-    sentiment = F.substring_index(body, "#", -1)
-    code = F.coalesce(_lookup(SENTIMENT_CODES, sentiment), _bigint(0))
-    code = F.when(aspect == OTHERS, _bigint(1)).otherwise(code)
-    unusual = F.coalesce(_lookup(_UNITS, aspect) * (code + 4), _bigint(_UNLISTED))
-    return F.coalesce(
-        _lookup(_common_parts(), part),
-        F.when(F.rlike(part, F.lit(_PAIR)), unusual).otherwise(_bigint(0)),
-    )
-
-
-def _replace_bits(bits: Column, part: Column) -> Column:
-    """Let a later part take the place of an earlier one for the same aspect."""
-    mention = part.bitwiseAND(_bigint(_MENTIONS))
-    group = mention.bitwiseOR(F.shiftright(mention, 1)).bitwiseOR(F.shiftright(mention, 2))
-    return bits.bitwiseAND(F.bitwise_not(group)).bitwiseOR(part)
+    aspect = f"substring_index(btrim({part}, '{{}}'), '#', 1)"
+    sentiment = f"substring_index(btrim({part}, '{{}}'), '#', -1)"
+    value = f"if({aspect} = '{OTHERS}', 1L, coalesce({_lookup(SENTIMENT_CODES, sentiment)}, 0L))"
+    unusual = f"coalesce({_lookup(_UNITS, aspect)} * (4L + {value}), {_UNLISTED}L)"
+    return f"coalesce({_lookup(_common_parts(), part)}, if({part} rlike {_PAIR}, {unusual}, 0L))"
 
 
-def trimmed(label: Column) -> Column:
-    """The label without outer blanks; null counts as empty."""
-    return F.btrim(F.coalesce(label, F.lit("")), F.lit(_BLANKS))
+def _pieces(label: str) -> str:
+    return f"split(btrim(coalesce({label}, ''), {_BLANKS}), ';')"
 
 
-def label_bits(label: Column) -> Column:
+def label_bits(label="label") -> Column:
     """A label as one long; 0 when it holds no well-formed part.
 
     One pass over the few parts that a label has, instead of one search per
     aspect. Select it under a name before taking it apart with `mentioned` and
     `code`, so that it is worked out once per row.
     """
-    parts = F.transform(F.split(trimmed(label), ";"), _part_bits)
-    return F.aggregate(parts, _bigint(0), _replace_bits)
+    bits = f"transform({_pieces(quoted(label))}, p -> {_part_bits('p')})"
+    # All three bits of the aspect that the later part mentions make way for it.
+    group = f"(shiftright(part & {_MENTIONS}L, 2) * 7L)"
+    return F.expr(f"aggregate({bits}, 0L, (bits, part) -> (bits & ~{group}) | part)")
 
 
-def mentioned(bits: Column, aspect: str) -> Column:
-    return bits.bitwiseAND(_bigint(4 * _UNITS[aspect])) != 0
+def mentioned(bits: str, aspect: str) -> str:
+    return f"(({bits} & {4 * _UNITS[aspect]}L) <> 0L)"
 
 
-def code(bits: Column, aspect: str) -> Column:
+def code(bits: str, aspect: str) -> str:
     """Code of an aspect, 0 when the label does not mention it."""
-    shifted = F.shiftright(bits, 3 * ASPECTS.index(aspect))
-    return shifted.bitwiseAND(_bigint(3)).cast("int")
+    return f"cast(shiftright({bits}, {3 * ASPECTS.index(aspect)}) & 3L AS INT)"
 
 
-def maybe_labelled(label: Column) -> Column:
+def maybe_labelled(label="label") -> Column:
     """A cheap test that every label with a well-formed part passes."""
-    return F.contains(label, F.lit("{"))
+    return F.contains(F.col(label), F.lit("{"))
 
 
 def decoded(rows: DataFrame, label="label", suffix="") -> DataFrame:
     """Add the codes of a label, one int column per aspect, named after it."""
-    bits = rows.select("*", label_bits(F.col(label)).alias("_bits"))
-    codes = {f"{a}{suffix}": code(F.col("_bits"), a) for a in ASPECTS}
-    return bits.withColumns(codes).drop("_bits")
+    bits = rows.select("*", label_bits(label).alias("_bits"))
+    codes = [f"{code('_bits', a)} AS {quoted(a + suffix)}" for a in ASPECTS]
+    return bits.selectExpr(*[quoted(c) for c in rows.columns], *codes)
 
 
-def aspect_array(columns=ASPECTS) -> Column:
-    """Pack one code column per aspect into an int array."""
-    return F.array(*[F.col(f"`{c}`").cast("int") for c in columns])
+def aspect_array(suffix="") -> Column:
+    """Pack one code column per aspect into an int array, in aspect order."""
+    packed = ", ".join(f"cast({quoted(a + suffix)} AS INT)" for a in ASPECTS)
+    return F.expr(f"array({packed})")
 
 
-def encode(codes: list[Column]) -> Column:
-    """Codes in aspect order back to a label; '' when every aspect is absent."""
+def encode(suffix="") -> Column:
+    """One code column per aspect back to a label; '' when every aspect is absent."""
     pieces = []
-    for aspect, code in zip(ASPECTS, codes, strict=True):
-        code = code.cast("int")
+    for aspect in ASPECTS:
+        column = f"cast({quoted(aspect + suffix)} AS INT)"
         if aspect == OTHERS:
-            pieces.append(F.when(code != 0, F.lit("{OTHERS};")))
+            pieces.append(f"CASE WHEN {column} <> 0 THEN '{_PLAIN_OTHERS};' END")
             continue
-        piece = None
-        for sentiment, value in SENTIMENT_CODES.items():
-            text = F.lit("{" + aspect + "#" + sentiment + "};")
-            piece = F.when(code == value, text) if piece is None else piece.when(code == value, text)
-        pieces.append(piece)
-    return F.concat_ws("", *pieces)
+        cases = " ".join(
+            f"WHEN {value} THEN '{{{aspect}#{name}}};'" for value, name in SENTIMENT_NAMES.items()
+        )
+        pieces.append(f"CASE {column} {cases} END")
+    return F.expr(f"concat_ws('', {', '.join(pieces)})")
 
 
-def encode_columns(suffix="") -> Column:
-    """`encode` over the columns named after the aspects plus `suffix`."""
-    return encode([F.col(f"`{a}{suffix}`") for a in ASPECTS])
-
-
-def parts(label: Column) -> Column:
+def parts(label="label") -> Column:
     """The well-formed parts of a label as an array, in order."""
-    plain = "{" + OTHERS + "}"
-    return F.filter(
-        F.split(trimmed(label), ";"), lambda p: (p == plain) | F.rlike(p, F.lit(_PAIR))
+    return F.expr(
+        f"filter({_pieces(quoted(label))}, p -> p = '{_PLAIN_OTHERS}' OR p rlike {_PAIR})"
     )
 
 
@@ -140,11 +126,7 @@ def part_body(part: Column) -> Column:
     return F.btrim(part, F.lit("{}"))
 
 
-def sentiment_code(aspect: Column, sentiment: Column) -> Column:
+def sentiment_code(aspect="aspect", sentiment="sentiment") -> Column:
     """Code of a split part; OTHERS is a mere flag, unknown sentiments are 0."""
-    known = F.coalesce(_lookup(SENTIMENT_CODES, sentiment), _bigint(0)).cast("int")
-    return F.when(aspect == OTHERS, 1).otherwise(known)
-
-
-def is_rated(aspect: Column) -> Column:
-    return aspect.isin(*RATED_ASPECTS)
+    known = f"cast(coalesce({_lookup(SENTIMENT_CODES, sentiment)}, 0L) AS INT)"
+    return F.expr(f"if({aspect} = '{OTHERS}', 1, {known})")

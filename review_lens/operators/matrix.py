@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from review_lens.functions import labels as L
+from review_lens.functions.labels import quoted
 from review_lens.schema import ASPECTS, OTHERS, RATED_ASPECTS
 
 # Below any real timestamp in microseconds, and still safe to shift by two bits.
@@ -12,37 +13,40 @@ _NEVER = -(1 << 60)
 
 def label_entries(reviews: DataFrame, *keep: str) -> DataFrame:
     """One row per well-formed label part: `keep`, position, aspect, sentiment, code."""
-    pair = F.split(F.col("body"), "#")
-    rows = reviews.select(*keep, F.posexplode(L.parts(F.col("label"))).alias("position", "part"))
-    rows = rows.withColumn("body", L.part_body(F.col("part")))
+    pair = F.split(L.part_body(F.col("part")), "#")
+    rows = reviews.select(*keep, F.posexplode(L.parts("label")).alias("position", "part"))
     rows = rows.select(
         *keep,
         "position",
         F.get(pair, F.lit(0)).alias("aspect"),
         F.get(pair, F.lit(1)).alias("sentiment"),
     )
-    return rows.withColumn("code", L.sentiment_code(F.col("aspect"), F.col("sentiment")))
+    return rows.withColumn("code", L.sentiment_code())
 
 
-def _arrival_order(arrived: str, code):
-    """Arrival time and code in one long, so that `max` finds the newest code.
+def _labelled(reviews: DataFrame, arrived: str) -> DataFrame:
+    """Comment, time of arrival and label bits of the reviews that may train models.
+
+    The time is in microseconds, moved up by two bits to leave room for a code.
+    """
+    usable = F.col("comment").isNotNull() & L.maybe_labelled("label")
+    micros = F.unix_micros(F.col(arrived).cast("timestamp"))
+    shifted = F.shiftleft(F.coalesce(micros, F.lit(_NEVER)), 2)
+    return reviews.where(usable).select("comment", shifted.alias("at"), L.label_bits().alias("bits"))
+
+
+def _newest(code: str) -> str:
+    """Aggregate that finds the newest code: time of arrival and code in one long.
 
     A single long per aspect keeps the aggregate in fixed-width buffers, hence
     hashed and combined before the shuffle, however often a comment repeats.
     Codes of the same instant are settled in favour of the higher one.
     """
-    micros = F.coalesce(F.unix_micros(F.col(arrived).cast("timestamp")), F.lit(_NEVER))
-    return F.shiftleft(micros, 2).bitwiseOR(code.cast("bigint"))
-
+    return f"max(at | cast({code} AS BIGINT))"
 
-def _newest_code(column: str):
-    return F.coalesce(F.col(column).bitwiseAND(F.lit(3).cast("bigint")), F.lit(0)).cast("int")
 
-
-def _labelled(reviews: DataFrame, arrived: str) -> DataFrame:
-    """Comment, arrival and label bits of the reviews that may train models."""
-    usable = F.col("comment").isNotNull() & L.maybe_labelled(F.col("label"))
-    return reviews.where(usable).select("comment", arrived, L.label_bits(F.col("label")).alias("bits"))
+def _unpacked(aspect: str) -> str:
+    return f"cast(coalesce({quoted(aspect)} & 3L, 0L) AS INT) AS {quoted(aspect)}"
 
 
 def aspect_matrix(reviews: DataFrame, arrived="ingestion_timestamp") -> DataFrame:
@@ -51,17 +55,16 @@ def aspect_matrix(reviews: DataFrame, arrived="ingestion_timestamp") -> DataFram
     One shuffle, on `comment`, of one pre-combined row per task and comment.
     Reviews without a comment or without any well-formed label part stay out.
     """
-    bits = F.col("bits")
     newest = [
-        F.max(F.when(L.mentioned(bits, a), _arrival_order(arrived, L.code(bits, a)))).alias(a)
+        F.expr(f"{_newest(L.code('bits', a))} FILTER (WHERE {L.mentioned('bits', a)})").alias(a)
         for a in RATED_ASPECTS
     ]
     return (
         _labelled(reviews, arrived)
         .groupBy("comment")
-        .agg(*newest, F.max(L.code(bits, OTHERS)).alias(OTHERS), F.max(bits).alias("any"))
+        .agg(*newest, F.expr(f"max({L.code('bits', OTHERS)})").alias(OTHERS), F.max("bits").alias("any"))
         .where("any <> 0")
-        .select("comment", *[_newest_code(f"`{a}`").alias(a) for a in RATED_ASPECTS], OTHERS)
+        .selectExpr("comment", *[_unpacked(a) for a in RATED_ASPECTS], OTHERS)
     )
 
 
@@ -73,45 +76,38 @@ def aspect_matrix_joined(reviews: DataFrame, arrived="ingestion_timestamp") -> D
     already hashed on it, so the joins neither multiply nor shuffle again.
     """
     labelled = _labelled(reviews, arrived)
-    bits = F.col("bits")
-    pairs = [
-        F.struct(
-            F.lit(a).alias("aspect"),
-            F.when(L.mentioned(bits, a), L.code(bits, a)).alias("code"),
-        )
+    pairs = ", ".join(
+        f"struct('{a}' AS aspect, if({L.mentioned('bits', a)}, {L.code('bits', a)}, NULL) AS code)"
         for a in ASPECTS
-    ]
-    mentions = labelled.select("comment", arrived, F.inline(F.array(*pairs)))
-    mentions = mentions.where(F.col("code").isNotNull())
+    )
+    mentions = labelled.selectExpr("comment", "at", f"inline(array({pairs}))")
+    mentions = mentions.where("code IS NOT NULL")
     pivoted = (
         mentions.where(F.col("aspect") != OTHERS)
         .groupBy("comment")
         .pivot("aspect", list(RATED_ASPECTS))
-        .agg(F.max(_arrival_order(arrived, F.col("code"))))
+        .agg(F.expr(_newest("code")))
     )
     flags = mentions.groupBy("comment").agg(
         F.max(F.when(F.col("aspect") == OTHERS, 1).otherwise(0)).alias(OTHERS)
     )
-    comments = labelled.where(bits != 0).select("comment").distinct()
+    comments = labelled.where("bits <> 0").select("comment").distinct()
     joined = comments.join(pivoted, "comment", "left").join(flags, "comment", "left")
-    rated = [_newest_code(f"`{a}`").alias(a) for a in RATED_ASPECTS]
-    return fill_absent(joined.select("comment", *rated, OTHERS), "comment")
+    rated = [_unpacked(a) for a in RATED_ASPECTS]
+    return fill_absent(joined.selectExpr("comment", *rated, OTHERS), "comment")
 
 
 def fill_absent(matrix: DataFrame, *keep: str) -> DataFrame:
     """Replace the missing codes of a wide matrix by 0."""
-    return matrix.select(
-        *keep, *[F.coalesce(F.col(f"`{a}`"), F.lit(0)).cast("int").alias(a) for a in ASPECTS]
-    )
+    filled = [f"cast(coalesce({quoted(a)}, 0) AS INT) AS {quoted(a)}" for a in ASPECTS]
+    return matrix.selectExpr(*keep, *filled)
 
 
 def code_counts(matrix: DataFrame) -> DataFrame:
     """Rows per aspect and code, i.e. the class distribution of every model."""
-    pairs = F.array(
-        *[F.struct(F.lit(a).alias("aspect"), F.col(f"`{a}`").alias("code")) for a in ASPECTS]
-    )
+    pairs = ", ".join(f"struct('{a}' AS aspect, {quoted(a)} AS code)" for a in ASPECTS)
     return (
-        matrix.select(F.inline(pairs))
+        matrix.selectExpr(f"inline(array({pairs}))")
         .groupBy("aspect", "code")
         .agg(F.count(F.lit(1)).alias("comments"))
     )

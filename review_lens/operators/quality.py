@@ -1,11 +1,9 @@
 """Quality of predicted label vectors, computed where the rows are."""
 
-from functools import reduce
-from operator import add
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from review_lens.functions.labels import quoted
 from review_lens.schema import ASPECTS, CODES
 
 
@@ -46,50 +44,57 @@ def confusion_tallies(pairs: DataFrame, batch="batch_id") -> DataFrame:
     )
 
 
-def _hits(condition_of):
-    """How many of a row's aspects satisfy a condition."""
-    return reduce(add, [condition_of(a).cast("int") for a in ASPECTS])
+def _outcomes(true: str, predicted: str) -> str:
+    """A row's outcomes as small ints: 4 * true + predicted per aspect, then 16 or 17.
+
+    The last one says whether the whole vector is right (16) or not (17).
+    """
+    pairs = [(quoted(a + true), quoted(a + predicted)) for a in ASPECTS]
+    codes = ", ".join(f"4 * {t} + {p}" for t, p in pairs)
+    whole = " AND ".join(f"{t} = {p}" for t, p in pairs)
+    return f"explode(array({codes}, if({whole}, 16, 17))) AS outcome"
+
+
+def _tallies() -> list:
+    """Per class: hits, and occurrences on either side; then whole vectors."""
+
+    def total(condition, name):
+        return F.expr(f"sum(if({condition}, n, 0L))").alias(name)
+
+    hits = [total(f"outcome = {5 * k}", f"tp_{k}") for k in CODES]
+    true = [total(f"outcome < 16 AND outcome div 4 = {k}", f"true_{k}") for k in CODES]
+    guess = [total(f"outcome < 16 AND outcome % 4 = {k}", f"pred_{k}") for k in CODES]
+    whole = [total("outcome = 16", "exact"), total("outcome >= 16", "total_records")]
+    return [*hits, *true, *guess, *whole]
 
 
 def batch_metrics(rows: DataFrame, batch="batch_id", true="_true", predicted="_pred") -> DataFrame:
     """Metrics per batch from one code column per aspect on either side.
 
-    The tallies of all classes are sums over the columns of a row, so rows are
-    not multiplied and each task sends one row of counters per batch. Classes
-    that occur on neither side do not count for the macro average.
+    There are 18 possible outcomes, so each task combines its rows into at most
+    18 counters per batch before anything is shuffled. Classes that occur on
+    neither side do not count for the macro average.
     """
-
-    def t(a):
-        return F.col(f"`{a}{true}`")
-
-    def p(a):
-        return F.col(f"`{a}{predicted}`")
-
-    sums = []
-    for k in CODES:
-        sums.append(F.sum(_hits(lambda a: (t(a) == k) & (p(a) == k))).alias(f"tp_{k}"))
-        sums.append(F.sum(_hits(lambda a: t(a) == k)).alias(f"true_{k}"))
-        sums.append(F.sum(_hits(lambda a: p(a) == k)).alias(f"pred_{k}"))
-    same = _hits(lambda a: t(a) == p(a))
-    tallies = rows.groupBy(batch).agg(
-        *sums,
-        F.sum(same).alias("same"),
-        F.sum((same == len(ASPECTS)).cast("int")).alias("exact"),
-        F.count(F.lit(1)).alias("total_records"),
+    counted = (
+        rows.selectExpr(quoted(batch), _outcomes(true, predicted))
+        .groupBy(batch, "outcome")
+        .agg(F.count(F.lit(1)).alias("n"))
     )
-    seen = {k: F.col(f"true_{k}") + F.col(f"pred_{k}") for k in CODES}
-    f1 = [F.when(seen[k] > 0, 2 * F.col(f"tp_{k}") / seen[k]).otherwise(0.0) for k in CODES]
-    classes = reduce(add, [(seen[k] > 0).cast("int") for k in CODES])
-    labels = F.col("total_records") * len(ASPECTS)
-    tp = reduce(add, [F.col(f"tp_{k}") for k in CODES])
-    fp_fn = reduce(add, [seen[k] - 2 * F.col(f"tp_{k}") for k in CODES])
-    return tallies.select(
-        F.col(batch).cast("bigint").alias("batch_id"),
-        (F.col("same") / labels).alias("accuracy_per_label"),
-        (F.col("exact") / F.col("total_records")).alias("exact_match_accuracy"),
-        (2 * tp / (2 * tp + fp_fn)).alias("f1_micro"),
-        (reduce(add, f1) / classes).alias("f1_macro"),
-        "total_records",
+    right = " + ".join(f"tp_{k}" for k in CODES)
+    seen = {k: f"(true_{k} + pred_{k})" for k in CODES}
+    f1 = " + ".join(f"if({seen[k]} > 0, 2 * tp_{k} / {seen[k]}, 0D)" for k in CODES)
+    classes = " + ".join(f"if({seen[k]} > 0, 1, 0)" for k in CODES)
+    return (
+        counted.groupBy(batch)
+        .agg(*_tallies())
+        .selectExpr(
+            f"cast({quoted(batch)} AS BIGINT) AS batch_id",
+            f"({right}) / (total_records * {len(ASPECTS)}) AS accuracy_per_label",
+            "exact / total_records AS exact_match_accuracy",
+            f"2 * ({right}) / ({' + '.join(seen.values())}) AS f1_micro",
+            f"({f1}) / ({classes}) AS f1_macro",
+            "total_records",
+        )
     )
 
 

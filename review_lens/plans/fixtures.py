@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from review_lens.functions.labels import encode
-from review_lens.schema import ASPECTS, OTHERS, RATED_ASPECTS, SENTIMENT_NAMES
+from review_lens.schema import ASPECTS, OTHERS, SENTIMENT_NAMES
 
 GENERAL = "GENERAL"
 ARRIVAL_ROWS = 256
@@ -18,13 +18,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _code(j: int, aspect: str):
+def _code(j: int, aspect: str) -> str:
     if aspect == GENERAL:
-        return F.when(F.col("quality") == 1, 3).when(F.col("quality") == 0, 1).otherwise(0)
+        return "CASE quality WHEN 1 THEN 3 WHEN 0 THEN 1 ELSE 0 END"
     if aspect == OTHERS:
-        return F.when(F.col("toxic") == 1, 1).otherwise(0)
-    e = (F.col("doc_id") * (j + 1) + 3 * j) % 11
-    return F.when(e <= 3, e.cast("int")).otherwise(0)
+        return "CASE toxic WHEN 1 THEN 1 ELSE 0 END"
+    e = f"cast((doc_id * {j + 1} + {3 * j}) % 11 AS INT)"
+    return f"if({e} <= 3, {e}, 0)"
 
 
 def arrival(doc_id):
@@ -37,8 +37,8 @@ def arrival(doc_id):
 def coded_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, text and one code column per aspect."""
     joined = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id", "left")
-    codes = [_code(j, a).alias(a) for j, a in enumerate(ASPECTS)]
-    return joined.select("doc_id", "text", *codes)
+    codes = [f"{_code(j, a)} AS `{a}`" for j, a in enumerate(ASPECTS)]
+    return joined.selectExpr("doc_id", "text", *codes)
 
 
 def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -51,7 +51,7 @@ def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("text").alias("comment"),
         (1 + doc_id % 5).cast("int").alias("n_star"),
         (posted + F.make_dt_interval(secs=doc_id.cast("decimal(18,6)"))).alias("date_time"),
-        encode([F.col(f"`{a}`") for a in ASPECTS]).alias("label"),
+        encode().alias("label"),
         arrival(doc_id).alias("ingestion_timestamp"),
     )
 
@@ -65,14 +65,13 @@ def wire_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def predicted(spark: SparkSession, sf_dir: str, rows_per_batch=ARRIVAL_ROWS) -> DataFrame:
     """Codes with made-up predictions that are wrong here and there, in batches."""
-    coded = coded_documents(spark, sf_dir)
-    batch = F.floor(F.col("doc_id") / F.lit(rows_per_batch)).cast("bigint").alias("batch_id")
-    guesses = []
-    for j, a in enumerate(ASPECTS):
-        off = F.when((F.col("doc_id") + j) % 37 == 0, 1).otherwise(0)
-        guesses.append(((F.col(f"`{a}`") + off) % (2 if a == OTHERS else 4)).alias(f"{a}_pred"))
-    truth = [F.col(f"`{a}`").alias(f"{a}_true") for a in ASPECTS]
-    return coded.select("doc_id", "text", batch, *truth, *guesses)
+    batch = f"cast(doc_id div {rows_per_batch} AS BIGINT) AS batch_id"
+    truth = [f"`{a}` AS `{a}_true`" for a in ASPECTS]
+    guesses = [
+        f"(`{a}` + if((doc_id + {j}) % 37 = 0, 1, 0)) % {2 if a == OTHERS else 4} AS `{a}_pred`"
+        for j, a in enumerate(ASPECTS)
+    ]
+    return coded_documents(spark, sf_dir).selectExpr("doc_id", "text", batch, *truth, *guesses)
 
 
 # --- the same, as SQL -------------------------------------------------------

@@ -5,11 +5,7 @@ from pyspark.sql import functions as F
 from review_lens.functions import labels as L
 from review_lens.operators import matrix as X
 from review_lens.plans import fixtures as P
-from review_lens.schema import ASPECTS
-
-
-def _all(columns):
-    return [F.col(f"`{c}`") for c in columns]
+from review_lens.schema import ASPECTS, OTHERS
 
 
 def review_records(spark, sf_dir):
@@ -46,7 +42,7 @@ def label_decode_array(spark, sf_dir):
 def label_encode_roundtrip(spark, sf_dir):
     """Label to codes and back again."""
     decoded = L.decoded(P.reviews(spark, sf_dir).select("id", "label"))
-    encoded = decoded.select("id", "label", L.encode(_all(ASPECTS)).alias("encoded"))
+    encoded = decoded.select("id", "label", L.encode().alias("encoded"))
     return encoded.withColumn("same", F.col("label") == F.col("encoded"))
 
 
@@ -89,14 +85,14 @@ def damaged_label_matrix(spark, sf_dir):
 
 def distinct_comments(spark, sf_dir):
     """Comments that carry at least one label part."""
-    labelled = P.reviews(spark, sf_dir).where(L.label_bits(F.col("label")) != 0)
+    labelled = P.reviews(spark, sf_dir).where(L.label_bits() != 0)
     return labelled.where(F.col("comment").isNotNull()).select("comment").distinct()
 
 
 def others_flag(spark, sf_dir):
     """Whether any review of a comment carries the OTHERS mark."""
     entries = X.label_entries(P.reviews(spark, sf_dir), "comment")
-    flag = F.max(F.when(L.is_rated(F.col("aspect")), 0).otherwise(1))
+    flag = F.max(F.when(F.col("aspect") == OTHERS, 1).otherwise(0))
     return entries.groupBy("comment").agg(flag.alias("OTHERS"))
 
 

@@ -21,8 +21,8 @@ def _rounded(rows):
 
 
 def _vectors(spark, sf_dir):
-    true = L.aspect_array([f"{a}_true" for a in ASPECTS]).alias("true_array")
-    guess = L.aspect_array([f"{a}_pred" for a in ASPECTS]).alias("prediction_array")
+    true = L.aspect_array("_true").alias("true_array")
+    guess = L.aspect_array("_pred").alias("prediction_array")
     return P.predicted(spark, sf_dir).select("doc_id", "batch_id", true, guess)
 
 
@@ -54,13 +54,13 @@ def training_overlap_by_batch(spark, sf_dir):
 
 
 def _predictions(spark, sf_dir):
-    rows = P.predicted(spark, sf_dir).withColumn("predicted_label", L.encode_columns("_pred"))
+    rows = P.predicted(spark, sf_dir).withColumn("predicted_label", L.encode("_pred"))
     return rows.select(
         F.col("doc_id").cast("string").alias("id"),
         F.col("text").alias("comment"),
         (1 + F.col("doc_id") % 5).cast("int").alias("n_star"),
         F.lit(None).cast("timestamp").alias("date_time"),
-        L.encode_columns("_true").alias("label"),
+        L.encode("_true").alias("label"),
         "predicted_label",
         P.arrival(F.col("doc_id")).cast("timestamp").alias("processing_timestamp"),
     ).select(*PREDICTION_COLUMNS)

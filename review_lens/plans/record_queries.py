@@ -34,11 +34,8 @@ def event_json_in(spark, sf_dir):
     return P.table(spark, sf_dir, "events").select("event_id", parsed).select("event_id", "data.k")
 
 
-def damaged_messages(spark, sf_dir):
-    """Messages of which some are cut short, lack a field or hold a wrong type."""
-    kind = F.col("doc_id") % 9
-    value = F.col("value")
-    damaged = (
+def _damage(kind, value):
+    return (
         F.when(kind == 1, F.substring(value, 1, 7))
         .when(kind == 2, F.regexp_replace(value, '^\\{"id":"[0-9]+",', "{"))
         .when(kind == 3, F.regexp_replace(value, '"n_star":([0-9])', '"n_star":$1.5'))
@@ -47,6 +44,13 @@ def damaged_messages(spark, sf_dir):
         .when(kind == 6, F.regexp_replace(value, '^\\{', '{"extra":[1],'))
         .otherwise(value)
     )
+
+
+def damaged_messages(spark, sf_dir):
+    """Messages of which some are cut short, lack a field or hold a wrong type."""
+    kind = F.col("doc_id") % 9
+    # Through a lambda, so that `value` is not copied into every branch.
+    damaged = F.get(F.transform(F.array("value"), lambda value: _damage(kind, value)), F.lit(0))
     return P.wire_records(spark, sf_dir).select("doc_id", damaged.alias("value"))
 
 
