@@ -9,7 +9,7 @@ from review_lens.session import scratch_dir
 
 def slice_rows(rows: DataFrame, row_index="row_index", size=SLICE_ROWS) -> DataFrame:
     """Add `slice`, the number of the run of `size` rows that a row falls into."""
-    return rows.withColumn("slice", F.floor(F.col(row_index) / F.lit(size)).cast("bigint"))
+    return rows.withColumn("slice", F.expr(f"cast(`{row_index}` AS BIGINT) div {size}"))
 
 
 def replay(sliced: DataFrame, cycles: int) -> DataFrame:

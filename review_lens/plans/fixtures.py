@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from review_lens.functions.labels import encode
 from review_lens.schema import ASPECTS, OTHERS, SENTIMENT_NAMES
+from review_lens.session import spread
 
 GENERAL = "GENERAL"
 ARRIVAL_ROWS = 256
@@ -27,32 +28,33 @@ def _code(j: int, aspect: str) -> str:
     return f"if({e} <= 3, {e}, 0)"
 
 
-def arrival(doc_id):
+def arrival():
     """When a review came in: every 256 reviews share one instant."""
-    start = F.lit("2024-02-01 00:00:00").cast("timestamp_ntz")
-    minutes = F.floor(doc_id / F.lit(ARRIVAL_ROWS)).cast("int")
-    return start + F.make_dt_interval(mins=minutes)
+    minutes = f"make_dt_interval(0, 0, cast(doc_id div {ARRIVAL_ROWS} AS INT))"
+    return F.expr(f"TIMESTAMP_NTZ'2024-02-01 00:00:00' + {minutes}")
 
 
-def coded_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+def coded_documents(spark: SparkSession, sf_dir: str, all_cores=False) -> DataFrame:
     """doc_id, text and one code column per aspect."""
-    joined = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id", "left")
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    documents = spread(documents) if all_cores else documents
+    joined = documents.join(table(spark, sf_dir, "labels"), "doc_id", "left")
     codes = [f"{_code(j, a)} AS `{a}`" for j, a in enumerate(ASPECTS)]
     return joined.selectExpr("doc_id", "text", *codes)
 
 
-def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+def reviews(spark: SparkSession, sf_dir: str, all_cores=False) -> DataFrame:
     """doc_id, id, comment, n_star, date_time, label, ingestion_timestamp."""
     doc_id = F.col("doc_id")
     posted = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
-    return coded_documents(spark, sf_dir).select(
+    return coded_documents(spark, sf_dir, all_cores).select(
         "doc_id",
         doc_id.cast("string").alias("id"),
         F.col("text").alias("comment"),
         (1 + doc_id % 5).cast("int").alias("n_star"),
         (posted + F.make_dt_interval(secs=doc_id.cast("decimal(18,6)"))).alias("date_time"),
         encode().alias("label"),
-        arrival(doc_id).alias("ingestion_timestamp"),
+        arrival().alias("ingestion_timestamp"),
     )
 
 

@@ -62,7 +62,7 @@ def _predictions(spark, sf_dir):
         F.lit(None).cast("timestamp").alias("date_time"),
         L.encode("_true").alias("label"),
         "predicted_label",
-        P.arrival(F.col("doc_id")).cast("timestamp").alias("processing_timestamp"),
+        P.arrival().cast("timestamp").alias("processing_timestamp"),
     ).select(*PREDICTION_COLUMNS)
 
 
