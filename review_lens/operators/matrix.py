@@ -1,6 +1,6 @@
 """Labels in long form, and the comment x aspect matrix that models train on."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from review_lens.functions import labels as L
@@ -68,31 +68,39 @@ def aspect_matrix(reviews: DataFrame, arrived="ingestion_timestamp") -> DataFram
     )
 
 
+def comment_digest() -> Column:
+    """SHA-256 of a comment: 32 bytes that stand for a text of any length."""
+    return F.unhex(F.sha2("comment", 256))
+
+
 def aspect_matrix_joined(reviews: DataFrame, arrived="ingestion_timestamp") -> DataFrame:
     """The same matrix as distinct comments, left-joined to a pivot and to a flag.
 
     The pivot list is explicit, so no extra job looks for values and an aspect
-    nobody mentions is a column of zeros. Every side is unique per comment and
-    already hashed on it, so the joins neither multiply nor shuffle again.
+    nobody mentions is a column of zeros. Every side is unique per comment, so
+    the joins do not multiply rows. Pivot and flag carry the digest of their
+    comment instead of its text, which leaves the text out of most shuffles.
     """
     labelled = _labelled(reviews, arrived)
     pairs = ", ".join(
         f"struct('{a}' AS aspect, if({L.mentioned('bits', a)}, {L.code('bits', a)}, NULL) AS code)"
         for a in ASPECTS
     )
-    mentions = labelled.selectExpr("comment", "at", f"inline(array({pairs}))")
+    digested = labelled.select(comment_digest().alias("digest"), "at", "bits")
+    mentions = digested.selectExpr("digest", "at", f"inline(array({pairs}))")
     mentions = mentions.where("code IS NOT NULL")
     pivoted = (
         mentions.where(F.col("aspect") != OTHERS)
-        .groupBy("comment")
+        .groupBy("digest")
         .pivot("aspect", list(RATED_ASPECTS))
         .agg(F.expr(_newest("code")))
     )
-    flags = mentions.groupBy("comment").agg(
+    flags = mentions.groupBy("digest").agg(
         F.max(F.when(F.col("aspect") == OTHERS, 1).otherwise(0)).alias(OTHERS)
     )
     comments = labelled.where("bits <> 0").select("comment").distinct()
-    joined = comments.join(pivoted, "comment", "left").join(flags, "comment", "left")
+    comments = comments.withColumn("digest", comment_digest())
+    joined = comments.join(pivoted, "digest", "left").join(flags, "digest", "left")
     rated = [_unpacked(a) for a in RATED_ASPECTS]
     return fill_absent(joined.selectExpr("comment", *rated, OTHERS), "comment")
 

@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from review_lens.functions.labels import quoted
+from review_lens.operators.matrix import comment_digest
 from review_lens.schema import ASPECTS, CODES
 
 
@@ -118,11 +119,13 @@ def training_overlap(batches: DataFrame, trained: DataFrame, batch="batch_id") -
     Scored reviews come back as training rows, so a repeated feed measures
     examples that the models already know; this count tells how many.
     """
-    known = trained.select("comment").distinct().withColumn("known", F.lit(1))
-    # Combine equal comments of a batch first: a hot comment joins as one row.
-    asked = batches.groupBy(batch, "comment").agg(F.count(F.lit(1)).alias("n"))
+    # Both sides meet on digests, so that no text is shuffled, and equal comments
+    # of a batch are combined first, so that a hot one joins as a single row.
+    digest = comment_digest().alias("digest")
+    known = trained.select(digest).distinct().withColumn("known", F.lit(1))
+    asked = batches.select(batch, digest).groupBy(batch, "digest").agg(F.count(F.lit(1)).alias("n"))
     return (
-        asked.join(known, "comment", "left")
+        asked.join(known, "digest", "left")
         .groupBy(batch)
         .agg(
             F.sum("n").alias("total_records"),

@@ -7,13 +7,19 @@ from review_lens.operators import models as M
 from review_lens.plans import fixtures as P
 from review_lens.plans.model_queries import trained_root
 from review_lens.plans.record_queries import damaged_messages
-from review_lens.schema import ASPECTS, METRICS_SCHEMA
+from review_lens.schema import ASPECTS, METRICS_SCHEMA, WIRE_SCHEMA
 from review_lens.session import scratch_dir, spread
 from review_lens.sinks.tables import land_reviews
 from review_lens.sinks.topics import file_outlet, write_record_files
 from review_lens.sources.reviews import read_landed, read_quarantine, read_reviews
 from review_lens.sources.topics import file_topic, read_messages
-from review_lens.streaming.jobs import start_ingest, start_retraining, start_scoring
+from review_lens.streaming.jobs import (
+    start_feed,
+    start_ingest,
+    start_retraining,
+    start_scoring,
+    store_feed,
+)
 
 _ALL = {"availableNow": True}
 
@@ -25,6 +31,28 @@ def _feed(spark, messages, base):
     return file_topic(f"{base}/feed", max_files_per_trigger=cores)
 
 
+def stream_feed(spark, sf_dir):
+    """Four ticks of a feed that has three slices: the last tick starts again."""
+    base = scratch_dir(spark, "feeding")
+    rows = P.reviews(spark, sf_dir).select("doc_id", "comment", "n_star", "label")
+    stored = store_feed(rows, "doc_id")
+    size = -(-rows.count() // 3)
+    for _ in range(4):
+        ticks = spark.readStream.format("rate-micro-batch").option("rowsPerBatch", 1).load()
+        query = start_feed(
+            spark, stored, file_outlet(f"{base}/sent"), f"{base}/state", size, ticks, trigger=_ALL
+        )
+        query.awaitTermination()
+    sent = read_messages(spark, f"{base}/sent")
+    records = sent.select("batch_id", F.from_json("value", WIRE_SCHEMA).alias("data"))
+    return records.groupBy(F.col("batch_id").alias("tick")).agg(
+        F.count(F.lit(1)).alias("records"),
+        F.sum("data.n_star").alias("stars"),
+        F.sum(F.length("data.label")).alias("label_letters"),
+        F.count("data.id").alias("ids"),
+    )
+
+
 def _ingest(spark, messages):
     base = scratch_dir(spark, "ingest")
     topic = _feed(spark, messages, base)
@@ -111,6 +139,15 @@ def scheduled_retrain(spark, sf_dir):
 
 
 QUERIES = {
+    "stream_feed": (
+        stream_feed,
+        f"WITH {P.REVIEWS_SQL}, sizes AS (SELECT (count(*) + 2) // 3 AS size FROM reviews), "
+        "slices AS (SELECT doc_id // (SELECT size FROM sizes) AS slice, n_star, label FROM reviews), "
+        "sent AS (SELECT slice AS tick, * FROM slices UNION ALL "
+        "SELECT 3 AS tick, * FROM slices WHERE slice = 0) "
+        "SELECT tick, count(*) AS records, CAST(sum(n_star) AS BIGINT) AS stars, "
+        "CAST(sum(length(label)) AS BIGINT) AS label_letters, count(*) AS ids FROM sent GROUP BY tick",
+    ),
     "stream_ingest_to_table": (
         stream_ingest_to_table,
         f"WITH {P.REVIEWS_SQL} SELECT id, comment, n_star, date_time, label FROM reviews",

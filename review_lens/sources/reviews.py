@@ -22,6 +22,19 @@ def read_review_csv(spark: SparkSession, path: str, schema=CSV_SCHEMA) -> DataFr
     return spark.read.schema(schema).options(**CSV_FORMAT).csv(path)
 
 
+def in_file_order(rows: DataFrame) -> DataFrame:
+    """Add `file` and `place`, which together follow the order of the rows on disk.
+
+    A delimited file with line breaks in its fields is read by one task, so ids
+    that grow along a task also grow along the file.
+    """
+    return rows.select(
+        "*",
+        F.col("_metadata.file_path").alias("file"),
+        F.monotonically_increasing_id().alias("place"),
+    )
+
+
 def read_landed(spark: SparkSession, path: str) -> DataFrame:
     """Every landed version of every review; prunes by `source` and `batch_id`."""
     return spark.read.schema(LANDED_SCHEMA).parquet(path)

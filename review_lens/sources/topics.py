@@ -4,16 +4,18 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from review_lens.schema import MESSAGE_SCHEMA, SLICE_ROWS
 
 
 @dataclass(frozen=True)
 class Topic:
-    """A topic to read: `format` and `options` of a Spark source."""
+    """A topic to read: `format`, `options` and perhaps `schema` of a Spark source."""
 
     format: str
     options: dict = field(default_factory=dict)
+    schema: StructType | None = None
 
 
 def kafka_topic(servers: str, name: str, starting="earliest", max_per_trigger=SLICE_ROWS) -> Topic:
@@ -38,9 +40,16 @@ def file_topic(path: str, max_files_per_trigger=1) -> Topic:
     return Topic("text", {"path": path, "maxFilesPerTrigger": str(max_files_per_trigger)})
 
 
+def message_topic(path: str, max_files_per_trigger=10) -> Topic:
+    """A folder that `sinks.topics.publish` writes its messages to."""
+    options = {"path": path, "maxFilesPerTrigger": str(max_files_per_trigger)}
+    return Topic("parquet", options, MESSAGE_SCHEMA)
+
+
 def stream_topic(spark: SparkSession, topic: Topic) -> DataFrame:
     """The endless stream of a topic's messages as one string column `value`."""
-    stream = spark.readStream.format(topic.format).options(**topic.options).load()
+    reader = spark.readStream.format(topic.format).options(**topic.options)
+    stream = (reader.schema(topic.schema) if topic.schema else reader).load()
     return stream.select(F.col("value").cast("string").alias("value"))
 
 
@@ -49,12 +58,6 @@ def read_messages(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(MESSAGE_SCHEMA).parquet(path)
 
 
-def stream_messages(spark: SparkSession, path: str, max_files_per_trigger=10) -> DataFrame:
-    """The same messages as a stream, for a reader that follows the topic."""
-    stream = spark.readStream.schema(MESSAGE_SCHEMA)
-    return stream.option("maxFilesPerTrigger", str(max_files_per_trigger)).parquet(path)
-
-
 def clock(spark: SparkSession) -> DataFrame:
     """A stream that only serves to fire a trigger; its rows mean nothing."""
     return spark.readStream.format("rate").option("rowsPerSecond", 1).load()

@@ -1,4 +1,4 @@
-"""The three continuous jobs, wired on micro-batches."""
+"""The continuous jobs, wired on micro-batches."""
 
 import logging
 
@@ -11,7 +11,9 @@ from review_lens.functions.records import accepted, as_messages, parse_records,
 from review_lens.operators import models as M
 from review_lens.operators.matrix import aspect_matrix
 from review_lens.operators.quality import batch_metrics, metrics_messages
-from review_lens.schema import ASPECTS, PREDICTION_COLUMNS
+from review_lens.operators.slices import feed_records, number_rows
+from review_lens.schema import ASPECTS, PREDICTION_COLUMNS, SLICE_ROWS, WIRE_SCHEMA
+from review_lens.session import scratch_dir
 from review_lens.sinks.tables import land, land_reviews
 from review_lens.sinks.topics import Outlet, publish
 from review_lens.sources.reviews import read_reviews
@@ -25,6 +27,44 @@ def _start(stream: DataFrame, write, checkpoint: str, trigger: dict):
     return writer.trigger(**trigger).start()
 
 
+def store_feed(rows: DataFrame, *order: str) -> str:
+    """Write a table with its row numbers, for a feed to cut slices from."""
+    path = scratch_dir(rows.sparkSession, "feed")
+    number_rows(rows, *order).write.parquet(path)
+    return path
+
+
+def start_feed(
+    spark: SparkSession,
+    stored: str,
+    outlet: Outlet,
+    checkpoint: str,
+    size=SLICE_ROWS,
+    ticks: DataFrame | None = None,
+    trigger=None,
+):
+    """Send the next `size` rows of a stored table on every tick, over and over.
+
+    The number of the micro-batch is the cursor: it lives in the checkpoint and
+    wraps round at the last slice. A range of row numbers reaches the scan as a
+    filter, so a tick reads the row groups of its slice only.
+    """
+    rows = spark.read.parquet(stored)
+    total = rows.agg(F.coalesce(F.max("row_index") + 1, F.lit(0))).first()[0]
+    slices = -(-total // size)
+
+    def tick(_, batch_id: int):
+        if slices == 0:
+            return
+        first = (batch_id % slices) * size
+        part = rows.where((F.col("row_index") >= first) & (F.col("row_index") < first + size))
+        records = feed_records(part).select(*WIRE_SCHEMA.fieldNames())
+        publish(as_messages(records), outlet, batch_id)
+
+    ticks = clock(spark) if ticks is None else ticks
+    return _start(ticks, tick, checkpoint, trigger or {"processingTime": "20 seconds"})
+
+
 def start_ingest(
     spark: SparkSession,
     topic: Topic,
@@ -88,6 +128,11 @@ def feedback(scored: DataFrame) -> DataFrame:
     return scored.withColumnRenamed("processing_timestamp", "ingestion_timestamp")
 
 
+def aside(batch: DataFrame) -> DataFrame:
+    """The useless records of a scoring batch in the layout of the side table."""
+    return feedback(rejected(batch, "processing_timestamp"))
+
+
 def quality(scored: DataFrame, batch_id: int) -> DataFrame:
     """The metrics row of a scored batch; no row for a batch without reviews."""
     guesses = [F.col(f"`{a}_pred`") for a in ASPECTS]
@@ -126,8 +171,7 @@ def start_scoring(
         try:
             publish(as_messages(predictions(scored), key="id"), prediction_outlet, batch_id)
             land_reviews(feedback(scored), table, "test", batch_id)
-            land(rejected(batch, "processing_timestamp").withColumnRenamed(
-                "processing_timestamp", "ingestion_timestamp"), quarantine, "test", batch_id)
+            land(aside(batch), quarantine, "test", batch_id)
             metrics = metrics_messages(quality(scored, batch_id))
             publish(as_messages(metrics), metrics_outlet, batch_id)
         finally:

@@ -12,7 +12,7 @@ from review_lens.operators.matrix import aspect_matrix
 from review_lens.schema import ASPECTS, METRICS_SCHEMA, PREDICTION_SCHEMA
 from review_lens.sinks.topics import file_outlet
 from review_lens.sources.reviews import read_landed, read_quarantine, read_reviews
-from review_lens.sources.topics import clock, file_topic, read_messages, stream_messages
+from review_lens.sources.topics import clock, file_topic, message_topic, read_messages, stream_topic
 from review_lens.streaming import jobs
 from tests.test_models import TEXTS, matrix_of
 
@@ -181,7 +181,9 @@ def test_retraining_from_an_empty_table_publishes_nothing(spark, tmp_path):
 def test_readers_follow_published_messages(spark, tmp_path, model_root):
     write_feed(tmp_path / "feed", 0, 10, files=1)
     score(spark, tmp_path, model_root)
-    stream = from_messages(stream_messages(spark, str(tmp_path / "predictions")), PREDICTION_SCHEMA)
+    stream = from_messages(
+        stream_topic(spark, message_topic(str(tmp_path / "predictions"))), PREDICTION_SCHEMA
+    )
     query = stream.writeStream.format("memory").queryName("followed").trigger(availableNow=True).start()
     query.awaitTermination()
     assert spark.table("followed").count() == 10
