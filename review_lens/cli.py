@@ -74,7 +74,9 @@ def start(spark, a):
         return create_review_table(spark, a.name, a.table)
     if a.command == "ingest":
         source = topic(a.topic, "earliest", a.per_trigger)
-        return jobs.start_ingest(spark, source, a.table, a.quarantine, a.checkpoint, trigger=trigger)
+        return jobs.start_ingest(
+            spark, source, a.table, a.quarantine, a.checkpoint, trigger=trigger
+        )
     if a.command == "retrain":
         return jobs.start_retraining(spark, a.table, a.models, a.checkpoint, trigger=trigger)
     if a.command == "score":

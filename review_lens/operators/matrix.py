@@ -32,7 +32,8 @@ def _labelled(reviews: DataFrame, arrived: str) -> DataFrame:
     usable = F.col("comment").isNotNull() & L.maybe_labelled("label")
     micros = F.unix_micros(F.col(arrived).cast("timestamp"))
     shifted = F.shiftleft(F.coalesce(micros, F.lit(_NEVER)), 2)
-    return reviews.where(usable).select("comment", shifted.alias("at"), L.label_bits().alias("bits"))
+    bits = L.label_bits().alias("bits")
+    return reviews.where(usable).select("comment", shifted.alias("at"), bits)
 
 
 def _newest(code: str) -> str:
@@ -59,18 +60,23 @@ def aspect_matrix(reviews: DataFrame, arrived="ingestion_timestamp") -> DataFram
         F.expr(f"{_newest(L.code('bits', a))} FILTER (WHERE {L.mentioned('bits', a)})").alias(a)
         for a in RATED_ASPECTS
     ]
+    others = F.expr(f"max({L.code('bits', OTHERS)})").alias(OTHERS)
     return (
         _labelled(reviews, arrived)
         .groupBy("comment")
-        .agg(*newest, F.expr(f"max({L.code('bits', OTHERS)})").alias(OTHERS), F.max("bits").alias("any"))
+        .agg(*newest, others, F.max("bits").alias("any"))
         .where("any <> 0")
         .selectExpr("comment", *[_unpacked(a) for a in RATED_ASPECTS], OTHERS)
     )
 
 
 def comment_digest() -> Column:
-    """SHA-256 of a comment: 32 bytes that stand for a text of any length."""
-    return F.unhex(F.sha2("comment", 256))
+    """SHA-256 of a comment: 32 bytes that stand for a text of any length.
+
+    Empty, not null, for a null comment: on a key that cannot be null the
+    planner adds no filter, which would work out the digest a second time.
+    """
+    return F.expr("coalesce(unhex(sha2(comment, 256)), X'')")
 
 
 def aspect_matrix_joined(reviews: DataFrame, arrived="ingestion_timestamp") -> DataFrame:

@@ -122,13 +122,15 @@ def training_overlap(batches: DataFrame, trained: DataFrame, batch="batch_id") -
     # Both sides meet on digests, so that no text is shuffled, and equal comments
     # of a batch are combined first, so that a hot one joins as a single row.
     digest = comment_digest().alias("digest")
-    known = trained.select(digest).distinct().withColumn("known", F.lit(1))
-    asked = batches.select(batch, digest).groupBy(batch, "digest").agg(F.count(F.lit(1)).alias("n"))
+    known = trained.where("comment IS NOT NULL").select(digest).distinct()
+    known = known.withColumn("known", F.lit(1))
+    asked = batches.select(batch, digest).groupBy(batch, "digest")
+    asked = asked.agg(F.count(F.lit(1)).alias("n"))
     return (
         asked.join(known, "digest", "left")
         .groupBy(batch)
         .agg(
             F.sum("n").alias("total_records"),
-            F.sum(F.when(F.col("known").isNotNull(), F.col("n")).otherwise(0)).alias("trained_records"),
+            F.expr("sum(if(known IS NOT NULL, n, 0L))").alias("trained_records"),
         )
     )

@@ -39,7 +39,7 @@ def number_rows(rows: DataFrame, *order: str) -> DataFrame:
     stored = spark.read.schema(rows.schema).parquet(path)
     placed = stored.select(
         *rows.columns,
-        F.regexp_extract(F.col("_metadata.file_name"), r"^part-(\d+)", 1).cast("int").alias("_file"),
+        F.expr(r"cast(regexp_extract(_metadata.file_name, r'^part-(\d+)', 1) AS INT)").alias("_file"),
         F.col("_metadata.row_index").alias("_place"),
     )
     counts = placed.groupBy("_file").agg(F.count(F.lit(1)).alias("_rows"))

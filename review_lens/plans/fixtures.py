@@ -138,7 +138,8 @@ entries AS (
 
 
 def _pick(aspect: str) -> str:
-    return f"CAST(coalesce(max(code) FILTER (WHERE aspect = '{aspect}'), 0) AS INTEGER) AS {_q(aspect)}"
+    code = f"max(code) FILTER (WHERE aspect = '{aspect}')"
+    return f"CAST(coalesce({code}, 0) AS INTEGER) AS {_q(aspect)}"
 
 
 # Newest arrival per comment and aspect; the higher code settles a tie.

@@ -122,8 +122,8 @@ def _label_sql(suffix):
         if aspect == "OTHERS":
             return f"CASE WHEN {column} <> 0 THEN '{{OTHERS}};' ELSE '' END"
         return (
-            f"CASE {column} WHEN 1 THEN '{{{aspect}#Negative}};' WHEN 2 THEN '{{{aspect}#Neutral}};' "
-            f"WHEN 3 THEN '{{{aspect}#Positive}};' ELSE '' END"
+            f"CASE {column} WHEN 1 THEN '{{{aspect}#Negative}};' "
+            f"WHEN 2 THEN '{{{aspect}#Neutral}};' WHEN 3 THEN '{{{aspect}#Positive}};' ELSE '' END"
         )
 
     return " || ".join(piece(a) for a in ASPECTS)

@@ -6,7 +6,7 @@ from review_lens.functions.records import accepted, as_messages, parse_records,
 from review_lens.operators import slices as S
 from review_lens.operators.keyed import latest_per_key
 from review_lens.plans import fixtures as P
-from review_lens.schema import REVIEW_COLUMNS, SLICE_ROWS
+from review_lens.schema import REVIEW_COLUMNS, SLICE_ROWS, WIRE_SCHEMA
 from review_lens.session import scratch_dir
 from review_lens.sinks.tables import compact, create_review_table, land_reviews
 from review_lens.sources.reviews import CSV_FORMAT, read_review_csv, read_reviews
@@ -109,7 +109,7 @@ def feed_records(spark, sf_dir):
     value = F.to_json(F.struct("id", "comment", "n_star", "date_time", "label"))
     sent.select("slice", "row_index", value.alias("value")).write.parquet(path)
     read = spark.read.parquet(path)
-    fields = F.from_json("value", "id STRING, comment STRING, n_star INT, date_time STRING").alias("data")
+    fields = F.from_json("value", WIRE_SCHEMA).alias("data")
     received = read.select("slice", "row_index", fields)
     return received.select(
         "slice",
@@ -181,7 +181,8 @@ _DAMAGED_SQL = (
     P.REVIEWS_SQL
     + """, damaged AS (
   SELECT doc_id % 9 AS kind, CASE WHEN doc_id % 9 = 3 THEN -1 ELSE n_star END AS n_star,
-         CASE WHEN doc_id % 9 = 4 THEN '' ELSE strftime(date_time, '%Y-%m-%d %H:%M:%S') END AS date_time,
+         CASE WHEN doc_id % 9 = 4 THEN ''
+              ELSE strftime(date_time, '%Y-%m-%d %H:%M:%S') END AS date_time,
          id, comment, label FROM reviews)"""
 )
 

@@ -104,7 +104,8 @@ def stream_score_and_measure(spark, sf_dir):
     landed = read_landed(spark, f"{base}/reviews")
 
     def fact(rows, name, value):
-        return rows.agg(value.cast("bigint").alias("amount")).select(F.lit(name).alias("fact"), "amount")
+        amount = rows.agg(value.cast("bigint").alias("amount"))
+        return amount.select(F.lit(name).alias("fact"), "amount")
 
     return (
         fact(metrics, "measured", F.sum("total_records"))
@@ -135,18 +136,21 @@ def scheduled_retrain(spark, sf_dir):
     query.awaitTermination()
     models = M.load(spark, f"{base}/models")
     published = spark.read.parquet(f"{base}/models/published")
-    return published.select("version", "training_rows", F.lit(len(models.classifiers)).alias("models"))
+    count = F.lit(len(models.classifiers)).alias("models")
+    return published.select("version", "training_rows", count)
 
 
 QUERIES = {
     "stream_feed": (
         stream_feed,
         f"WITH {P.REVIEWS_SQL}, sizes AS (SELECT (count(*) + 2) // 3 AS size FROM reviews), "
-        "slices AS (SELECT doc_id // (SELECT size FROM sizes) AS slice, n_star, label FROM reviews), "
+        "slices AS (SELECT doc_id // (SELECT size FROM sizes) AS slice, n_star, label "
+        "FROM reviews), "
         "sent AS (SELECT slice AS tick, * FROM slices UNION ALL "
         "SELECT 3 AS tick, * FROM slices WHERE slice = 0) "
         "SELECT tick, count(*) AS records, CAST(sum(n_star) AS BIGINT) AS stars, "
-        "CAST(sum(length(label)) AS BIGINT) AS label_letters, count(*) AS ids FROM sent GROUP BY tick",
+        "CAST(sum(length(label)) AS BIGINT) AS label_letters, count(*) AS ids "
+        "FROM sent GROUP BY tick",
     ),
     "stream_ingest_to_table": (
         stream_ingest_to_table,

@@ -17,7 +17,8 @@ from review_lens.session import build_session  # noqa: E402
 
 def rows_of(frame):
     columns = sorted(frame.columns)
-    return columns, sorted(map(repr, frame[columns].astype(object).where(frame[columns].notna(), None).itertuples(index=False, name=None)))
+    plain = frame[columns].astype(object).where(frame[columns].notna(), None)
+    return columns, sorted(map(repr, plain.itertuples(index=False, name=None)))
 
 
 def main(sf_dir="/root/testdata/sf0.01", *names):
@@ -43,7 +44,8 @@ def main(sf_dir="/root/testdata/sf0.01", *names):
                 continue
             mine, theirs = rows_of(ours), rows_of(db.execute(sql).df())
             same = mine == theirs
-            print(f"{'ok   ' if same else 'DIFF '} {name}: {len(mine[1])} rows, {took:.1f} s", flush=True)
+            verdict = "ok   " if same else "DIFF "
+            print(f"{verdict} {name}: {len(mine[1])} rows, {took:.1f} s", flush=True)
             if not same:
                 failed.append(name)
                 print("  columns", mine[0], theirs[0], "rows", len(mine[1]), len(theirs[1]))
