@@ -69,16 +69,10 @@ def _tallies() -> list:
     return [*hits, *true, *guess, *whole]
 
 
-def batch_metrics(rows: DataFrame, batch="batch_id", true="_true", predicted="_pred") -> DataFrame:
-    """Metrics per batch from one code column per aspect on either side.
-
-    There are 18 possible outcomes, so each task combines its rows into at most
-    18 counters per batch before anything is shuffled. Classes that occur on
-    neither side do not count for the macro average.
-    """
+def _measures(rows: DataFrame, keys: list, true: str, predicted: str) -> DataFrame:
     counted = (
-        rows.selectExpr(quoted(batch), _outcomes(true, predicted))
-        .groupBy(batch, "outcome")
+        rows.selectExpr(*keys, _outcomes(true, predicted))
+        .groupBy(*keys, "outcome")
         .agg(F.count(F.lit(1)).alias("n"))
     )
     right = " + ".join(f"tp_{k}" for k in CODES)
@@ -86,10 +80,11 @@ def batch_metrics(rows: DataFrame, batch="batch_id", true="_true", predicted="_p
     f1 = " + ".join(f"if({seen[k]} > 0, 2 * tp_{k} / {seen[k]}, 0D)" for k in CODES)
     classes = " + ".join(f"if({seen[k]} > 0, 1, 0)" for k in CODES)
     return (
-        counted.groupBy(batch)
+        counted.groupBy(*keys)
         .agg(*_tallies())
+        .where("total_records > 0")
         .selectExpr(
-            f"cast({quoted(batch)} AS BIGINT) AS batch_id",
+            *keys,
             f"({right}) / (total_records * {len(ASPECTS)}) AS accuracy_per_label",
             "exact / total_records AS exact_match_accuracy",
             f"2 * ({right}) / ({' + '.join(seen.values())}) AS f1_micro",
@@ -99,6 +94,27 @@ def batch_metrics(rows: DataFrame, batch="batch_id", true="_true", predicted="_p
     )
 
 
+def batch_metrics(rows: DataFrame, batch="batch_id", true="_true", predicted="_pred") -> DataFrame:
+    """Metrics per batch from one code column per aspect on either side.
+
+    There are 18 possible outcomes, so each task combines its rows into at most
+    18 counters per batch before anything is shuffled. Classes that occur on
+    neither side do not count for the macro average.
+    """
+    numbered = rows.withColumn("batch_id", F.col(batch).cast("bigint"))
+    return _measures(numbered, ["batch_id"], true, predicted)
+
+
+def one_batch_metrics(rows: DataFrame, batch_id: int, true="_true", predicted="_pred") -> DataFrame:
+    """Metrics of rows that are all of one batch; no row when there are none.
+
+    The number of the batch joins last, so that the code compiled for one
+    micro-batch serves the next one too.
+    """
+    number = F.lit(batch_id).cast("bigint").alias("batch_id")
+    return _measures(rows, [], true, predicted).select(number, "*")
+
+
 def metrics_messages(metrics: DataFrame) -> DataFrame:
     """Metrics rows in the field order of their message, stamped with local time."""
     now = F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")

@@ -7,10 +7,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from review_lens.functions import labels as L
+from review_lens.functions.labels import quoted
 from review_lens.functions.records import accepted, as_messages, parse_records, rejected
 from review_lens.operators import models as M
 from review_lens.operators.matrix import aspect_matrix
-from review_lens.operators.quality import batch_metrics, metrics_messages
+from review_lens.operators.quality import metrics_messages, one_batch_metrics
 from review_lens.operators.slices import feed_records, number_rows
 from review_lens.schema import ASPECTS, PREDICTION_COLUMNS, SLICE_ROWS, WIRE_SCHEMA
 from review_lens.session import scratch_dir
@@ -135,10 +136,8 @@ def aside(batch: DataFrame) -> DataFrame:
 
 def quality(scored: DataFrame, batch_id: int) -> DataFrame:
     """The metrics row of a scored batch; no row for a batch without reviews."""
-    guesses = [F.col(f"`{a}_pred`") for a in ASPECTS]
-    coded = scored.select(F.lit(batch_id).cast("bigint").alias("batch_id"), "label", *guesses)
-    both = L.decoded(coded, suffix="_true")
-    return batch_metrics(both, true="_true", predicted="_pred")
+    coded = scored.select("label", *[quoted(f"{a}_pred") for a in ASPECTS])
+    return one_batch_metrics(L.decoded(coded, suffix="_true"), batch_id)
 
 
 def start_scoring(

@@ -62,7 +62,15 @@ def test_metrics_per_batch(spark):
 
 
 def test_an_empty_batch_has_no_metrics(spark):
-    assert Q.batch_metrics(spark.createDataFrame([], SCHEMA)).count() == 0
+    nothing = spark.createDataFrame([], SCHEMA)
+    assert Q.batch_metrics(nothing).count() == 0
+    assert Q.one_batch_metrics(nothing, 7).count() == 0
+
+
+def test_one_batch_alone_has_the_same_metrics(spark):
+    rows = random_batch(random.Random(9), 50, 0.2)
+    frame = spark.createDataFrame([(7, *t, *p) for t, p in rows], SCHEMA)
+    assert Q.one_batch_metrics(frame, 7).collect() == Q.batch_metrics(frame).collect()
 
 
 def test_confusion_agrees_with_the_pairs(spark):
