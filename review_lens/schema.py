@@ -115,3 +115,12 @@ MESSAGE_SCHEMA = T.StructType(
         T.StructField("batch_id", T.LongType()),
     ]
 )
+
+# One published generation of models.
+PUBLISHED_SCHEMA = T.StructType(
+    [
+        T.StructField("version", T.LongType()),
+        T.StructField("training_rows", T.LongType()),
+        T.StructField("published_at", T.TimestampType()),
+    ]
+)

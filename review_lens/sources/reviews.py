@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from review_lens.operators.keyed import latest_per_key
 from review_lens.schema import CSV_SCHEMA, LANDED_SCHEMA, QUARANTINE_SCHEMA
+from review_lens.sources.files import read_or_empty
 
 # Quotes are doubled inside quoted fields, and comments may hold line breaks.
 CSV_FORMAT = {
@@ -37,7 +38,7 @@ def in_file_order(rows: DataFrame) -> DataFrame:
 
 def read_landed(spark: SparkSession, path: str) -> DataFrame:
     """Every landed version of every review; prunes by `source` and `batch_id`."""
-    return spark.read.schema(LANDED_SCHEMA).parquet(path)
+    return read_or_empty(spark, path, LANDED_SCHEMA)
 
 
 def read_reviews(spark: SparkSession, path: str) -> DataFrame:
@@ -61,4 +62,4 @@ def read_reviews(spark: SparkSession, path: str) -> DataFrame:
 
 def read_quarantine(spark: SparkSession, path: str) -> DataFrame:
     """Records that could not be stored, with the reason and the raw text."""
-    return spark.read.schema(QUARANTINE_SCHEMA).parquet(path)
+    return read_or_empty(spark, path, QUARANTINE_SCHEMA)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from review_lens.schema import MESSAGE_SCHEMA, SLICE_ROWS
+from review_lens.sources.files import read_or_empty
 
 
 @dataclass(frozen=True)
@@ -55,7 +56,7 @@ def stream_topic(spark: SparkSession, topic: Topic) -> DataFrame:
 
 def read_messages(spark: SparkSession, path: str) -> DataFrame:
     """All messages published so far to a topic that is kept as files."""
-    return spark.read.schema(MESSAGE_SCHEMA).parquet(path)
+    return read_or_empty(spark, path, MESSAGE_SCHEMA)
 
 
 def clock(spark: SparkSession) -> DataFrame:

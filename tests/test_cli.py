@@ -41,7 +41,7 @@ def tick(spark, stored, base, size):
 
 
 def test_rows_of_a_file_keep_their_order(spark, tmp_path):
-    write_csv(tmp_path / "Train.csv", 500)
+    write_csv(tmp_path / "reviews.csv", 500)
     rows = in_file_order(read_review_csv(spark, str(tmp_path)))
     stored = spark.read.parquet(jobs.store_feed(rows, "file", "place"))
     lines = [r.comment.split("\n")[1] for r in stored.orderBy("row_index").collect()]
@@ -49,15 +49,15 @@ def test_rows_of_a_file_keep_their_order(spark, tmp_path):
 
 
 def test_a_tick_reads_only_its_slice(spark, tmp_path, plan_of):
-    write_csv(tmp_path / "Train.csv", 10)
+    write_csv(tmp_path / "reviews.csv", 10)
     rows = in_file_order(read_review_csv(spark, str(tmp_path)))
     stored = spark.read.parquet(jobs.store_feed(rows, "file", "place"))
     assert "GreaterThanOrEqual(row_index,4)" in plan_of(stored.where("row_index >= 4"))
 
 
 def test_the_whole_round(spark, tmp_path, capsys):
-    write_csv(tmp_path / "Train.csv", 60)
-    rows = in_file_order(read_review_csv(spark, str(tmp_path / "Train.csv")))
+    write_csv(tmp_path / "reviews.csv", 60)
+    rows = in_file_order(read_review_csv(spark, str(tmp_path / "reviews.csv")))
     stored = jobs.store_feed(rows, "file", "place")
     for _ in range(4):
         tick(spark, stored, tmp_path, 25)

@@ -89,6 +89,17 @@ def test_models_learn_their_training_rows(spark, trained):
     assert (classes["BATTERY"], classes["OTHERS"], classes["SCREEN"]) == (4, 2, 1)
 
 
+def test_predictions_follow_the_weights(spark, trained):
+    texts = [*TEXTS, "price of a bad screen", "good good camera", "unheard words only"]
+    rows = spark.createDataFrame([(t,) for t in texts], "comment STRING")
+    scored = {r.comment: r for r in M.score(trained, rows).collect()}
+    weighted = trained.featuriser.transform(rows).select("comment", vector_to_array(X.FEATURES).alias("v"))
+    for row in weighted.collect():
+        for aspect, model in trained.classifiers.items():
+            margins = model.coefficientMatrix.toArray() @ row.v + model.interceptVector.toArray()
+            assert scored[row.comment][f"{aspect}_pred"] == margins.argmax(), (row.comment, aspect)
+
+
 def test_scoring_keeps_rows_order_free_and_whole(spark, trained):
     rows = [("1", TEXTS[0], 5), ("1", TEXTS[0], 5), (None, TEXTS[1], 1), ("3", None, 2), ("4", "unheard words", 3)]
     frame = spark.createDataFrame(rows, "id STRING, comment STRING, n_star INT")

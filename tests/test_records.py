@@ -101,7 +101,7 @@ def test_csv_with_quotes_and_line_breaks(spark, tmp_path):
 
 
 def test_csv_written_by_another_program(spark, tmp_path):
-    path = tmp_path / "Train.csv"
+    path = tmp_path / "reviews.csv"
     path.write_text('comment,n_star,date_time,label\n"a ""b""\nc",4,2021,{CAMERA#Positive};\n', "utf-8")
     assert tuple(read_review_csv(spark, str(path)).first()) == ('a "b"\nc', 4, "2021", "{CAMERA#Positive};")
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from review_lens.functions.records import from_messages, parse_records
 from review_lens.operators import models as M
+from review_lens.operators import views as V
 from review_lens.operators.matrix import aspect_matrix
 from review_lens.schema import ASPECTS, METRICS_SCHEMA, PREDICTION_SCHEMA
 from review_lens.sinks.topics import file_outlet
@@ -170,12 +171,19 @@ def test_retraining_reads_what_was_landed(spark, tmp_path):
     assert again.version == 1 and M.load(spark, str(tmp_path / "m"), models).version == 1
 
 
-def test_retraining_from_an_empty_table_publishes_nothing(spark, tmp_path):
+def test_retraining_without_reviews_publishes_nothing(spark, tmp_path):
+    places = str(tmp_path / "t"), str(tmp_path / "m")
+    assert jobs.retrain(spark, *places) is None
     write_feed(tmp_path / "feed", 0, 0, files=1, extra=["junk"])
     ingest(spark, tmp_path)
-    (tmp_path / "t").mkdir(exist_ok=True)
-    assert jobs.retrain(spark, str(tmp_path / "t"), str(tmp_path / "m")) is None
-    assert M.load(spark, str(tmp_path / "m")) is None
+    assert jobs.retrain(spark, *places) is None
+    assert M.load(spark, places[1]) is None
+
+
+def test_views_wait_for_their_topics(spark, tmp_path):
+    nothing = read_messages(spark, str(tmp_path / "none"))
+    assert V.recent_predictions(from_messages(nothing, PREDICTION_SCHEMA)).count() == 0
+    assert V.metrics_history(from_messages(nothing, METRICS_SCHEMA)).count() == 0
 
 
 def test_readers_follow_published_messages(spark, tmp_path, model_root):
