@@ -44,10 +44,10 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return whole[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def pieces(batches, limit: int = PIECE_BYTES):
+def pieces(batches, text: str, limit: int = PIECE_BYTES):
     """Slices of Arrow batches with about `limit` bytes of the column `text`; a longer text comes alone."""
     for batch in batches:
-        column = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False)
+        column = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
         place = np.concatenate(([0], np.cumsum(column, dtype=np.int64)))
         start = 0
         while start < len(column):

@@ -1,10 +1,20 @@
 """Helpers that the operators share: tables, folds, samples, settled tables, components."""
 
+import tempfile
+import zipfile
+from collections.abc import Iterator
+from pathlib import Path
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
+from review_lens.llm.blocks import pieces
 from review_lens.session import scratch_dir
 
+#: The library's top package, as a folder.
+PACKAGE = Path(__file__).resolve().parent.parent
 #: Bytes of text that a Python worker holds in one Arrow batch, a text longer than this aside.
 BATCH_BYTES = 16 << 20
 
@@ -14,9 +24,19 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
     return frame.select(*columns) if columns else frame
 
 
-def bounded_batches(spark: SparkSession) -> None:
-    """Keep Arrow batches small in bytes, whatever the length of the texts."""
+def ready(spark: SparkSession) -> None:
+    """Set a session up for Python tasks: Arrow batches small in bytes, whatever the length
+    of the texts, and this package sent to the executors, once for each context."""
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    context = spark.sparkContext
+    if PACKAGE.parent in getattr(context, "packages_sent", ()):
+        return
+    path = Path(tempfile.mkdtemp(prefix="package-")) / f"{PACKAGE.name}.zip"
+    with zipfile.ZipFile(path, "w") as archive:
+        for module in PACKAGE.rglob("*.py"):
+            archive.write(module, module.relative_to(PACKAGE.parent))
+    context.addPyFile(str(path))
+    context.packages_sent = (PACKAGE.parent,)
 
 
 def settled(frame: DataFrame, purpose: str) -> DataFrame:
@@ -79,3 +99,27 @@ def components(edges: DataFrame, purpose: str) -> DataFrame:
             break
     leaves = now.select(F.col("u").alias("node"), F.col("v").alias("root"))
     return leaves.union(now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
+
+
+def extended(docs: DataFrame, text_column: str, fields: str, make, keep=None) -> DataFrame:
+    """The rows with new columns made from their texts, a block of texts at a time.
+
+    `make` takes an Arrow array of texts and returns the arrays of `fields` (a schema as
+    text). `keep` names the input columns to return, all by default; an input column
+    with the name of a new one is replaced. Null texts reach `make` as null.
+    """
+    ready(docs.sparkSession)
+    added = StructType.fromDDL(fields)
+    names = docs.columns if keep is None else list(keep)
+    names = [name for name in names if name.lower() not in {f.name.lower() for f in added}]
+    text = F.col(f"`{text_column}`").cast("string").alias("text_of_row_")
+    picked = docs.select(*(F.col(f"`{name}`") for name in names), text)
+    schema = StructType([picked.schema[name] for name in names] + added.fields)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece in pieces(batches, "text_of_row_"):
+            made = make(piece.column(len(names)))
+            arrays = [piece.column(k) for k in range(len(names))] + list(made)
+            yield pa.RecordBatch.from_arrays(arrays, schema.names)
+
+    return picked.mapInArrow(run, schema)

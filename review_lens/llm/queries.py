@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from review_lens.llm import simhash
+from review_lens.llm import simhash, suffixes
 from review_lens.llm.common import table
 
 QUERIES = {}
@@ -22,3 +22,19 @@ def op10_simhash_near_dedup(spark, sf_dir):
         simhash.hex_digits("fingerprint").alias("fingerprint"),
         F.col("component").alias("component_id"),
     )
+
+
+@registered
+def op2_benchmark_decontamination(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    items = table(spark, sf_dir, "benchmark", "item_id", "text")
+    found = suffixes.leaks(docs, items, keep=["doc_id"])
+    hit, ids = suffixes.leaked_words("leaks"), suffixes.leaked_items("leaks")
+    return found.select(
+        "doc_id",
+        "n_words",
+        hit.alias("n_hit"),
+        F.size(ids).cast("bigint").alias("n_items"),
+        F.sha2(F.array_join(ids, ","), 256).alias("items_sha256"),
+        (hit > 0).alias("contaminated"),
+    )

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from review_lens.llm import blocks
-from review_lens.llm.common import bounded_batches, components, settled
+from review_lens.llm.common import components, extended, ready, settled
 
 BUDGET = 4
 BITS = 64
@@ -67,16 +67,9 @@ def fingerprint_batch(texts: pa.Array, ngram: int, seed: int) -> np.ndarray:
 
 def fingerprints(docs: DataFrame, id_column="doc_id", text_column="text", ngram=4, seed=42) -> DataFrame:
     """(id, fingerprint) of every row; the fingerprint's 64 bits as a signed long."""
-    bounded_batches(docs.sparkSession)
-    picked = docs.select(F.col(id_column).alias("id"), F.col(text_column).cast("string").alias("text"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in blocks.pieces(batches):
-            found = fingerprint_batch(piece.column("text"), ngram, seed).view(np.int64)
-            yield pa.RecordBatch.from_arrays([piece.column("id"), pa.array(found)], ["id", "fingerprint"])
-
-    id_type = picked.schema["id"].dataType.simpleString()
-    return picked.mapInArrow(run, f"id {id_type}, fingerprint bigint")
+    rows = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
+    make = lambda texts: [pa.array(fingerprint_batch(texts, ngram, seed).view(np.int64))]
+    return extended(rows, "text", "fingerprint bigint", make, keep=["id"])
 
 
 class Forest:
@@ -215,6 +208,7 @@ def trie_links(prints: DataFrame, budget: int = BUDGET) -> DataFrame:
     # The sort is of signed longs; flipped, their order is that of unsigned values.
     flipped = F.col("turned").bitwiseXOR(F.lit(-(1 << 63)))
     tries = tries.select("trie", "side", flipped.alias("flipped"), "lead")
+    ready(prints.sparkSession)
     dealt = tries.repartition("trie").sortWithinPartitions("trie", "side", "flipped")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
