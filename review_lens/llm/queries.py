@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from review_lens.llm import simhash, suffixes
+from review_lens.llm import sharding, simhash, suffixes
 from review_lens.llm.common import table
 
 QUERIES = {}
@@ -38,3 +38,17 @@ def op2_benchmark_decontamination(spark, sf_dir):
         F.sha2(F.array_join(ids, ","), 256).alias("items_sha256"),
         (hit > 0).alias("contaminated"),
     )
+
+
+@registered
+def op7_sharding(spark, sf_dir):
+    found = sharding.sharded(table(spark, sf_dir, "documents", "doc_id", "text"), 24)
+    return found.select(
+        F.col("id").alias("doc_id"),
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
