@@ -52,8 +52,9 @@ def fold(id_column: str, folds: int):
     return F.pmod(F.crc32(F.coalesce(F.col(id_column).cast("string"), F.lit(""))), F.lit(folds))
 
 
-def bounded_sample(rows: DataFrame, group, key, bound: int) -> DataFrame:
-    """About `bound` rows of each group at most, picked by a hash of `key`.
+def bounded_sample(rows: DataFrame, group, keys: list, bound: int) -> DataFrame:
+    """About `bound` rows of each group at most, picked by a hash of `keys`, which should
+    tell rows with equal texts apart.
 
     The share to take follows from one count of each group, so a group that fits is
     taken whole. Only for fitting models; `group` must have few values (labels).
@@ -63,7 +64,7 @@ def bounded_sample(rows: DataFrame, group, key, bound: int) -> DataFrame:
     for row in counts:
         taken = F.lit(min(1.0, bound / row["count"]))
         share = F.when(group.eqNullSafe(F.lit(row["sample_group"])), taken).otherwise(share)
-    drawn = F.pmod(F.xxhash64(key, F.lit("sample")), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    drawn = F.pmod(F.xxhash64(*keys, F.lit("sample")), F.lit(1 << 30)) / F.lit(float(1 << 30))
     return rows.where(drawn < share)
 
 

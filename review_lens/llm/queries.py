@@ -2,8 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from review_lens.llm import sharding, simhash, suffixes
-from review_lens.llm.common import table
+from review_lens.llm import language, personal, sharding, simhash, suffixes
+from review_lens.llm.common import fold, table
 
 QUERIES = {}
 ORACLES = {}
@@ -52,3 +52,25 @@ def op7_sharding(spark, sf_dir):
         "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+@registered
+def op3_language_id(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    held_out = fold("doc_id", 4) == 2
+    scorer = language.fit(docs.where(~held_out))
+    found = language.identified(docs, scorer, keep=["doc_id"])
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", F.col("lang_score").alias("score"))
+
+
+@registered
+def op9_pii(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    found = personal.with_spans(docs, personal.fit(docs), keep=["doc_id"])
+    counts = [personal.count_of("base_spans", kind).alias(f"n_{kind}") for kind in personal.KINDS]
+    return found.select(
+        "doc_id",
+        *counts,
+        F.sha2(personal.listed("base_spans"), 256).alias("base_sha256"),
+        personal.listed("all_spans").alias("spans"),
+    )
