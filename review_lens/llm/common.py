@@ -124,3 +124,12 @@ def extended(docs: DataFrame, text_column: str, fields: str, make, keep=None) ->
             yield pa.RecordBatch.from_arrays(arrays, schema.names)
 
     return picked.mapInArrow(run, schema)
+
+
+def kept_where(docs: DataFrame, text_column: str, judge, condition) -> DataFrame:
+    """The rows for which `condition` holds on what `judge(rows, text column)` adds. The
+    rows come back as they were, also columns with names that the judge uses itself."""
+    names = docs.columns
+    plain = docs.toDF(*(f"c{k}_" for k in range(len(names))))
+    judged = judge(plain, f"c{names.index(text_column)}_")
+    return judged.where(condition).select(*(F.col(f"c{k}_").alias(name) for k, name in enumerate(names)))

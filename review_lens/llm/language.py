@@ -15,7 +15,6 @@ label are not learned from. All rows stay; other columns are not read.
 """
 
 import re
-from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from review_lens.llm import blocks
-from review_lens.llm.common import bounded_sample, extended, ready, settled
+from review_lens.llm.common import bounded_sample, extended, kept_where, ready, settled
 
 VOCABULARY = "piece_bpe_32k.model"
 UNDETERMINED = "und"
@@ -32,7 +31,8 @@ SAMPLE = 400
 ROUNDS = 3
 #: Expected count that every piece has to begin with, so that none has probability 0.
 SMOOTHING = 0.05
-SPACE = 0x20
+#: Share of the likelihood that a document's language must exceed to be accepted.
+LEAST_SHARE = 0.5
 LETTERS = blocks.byte_table(lambda b: 0x61 <= b <= 0x7A or b >= 0x80)
 ASCII_LETTER = re.compile("[A-Za-z]")
 
@@ -286,3 +286,10 @@ def identified(docs: DataFrame, scorer: Scorer | None, text_column="text", keep=
         return [pa.array(names, pa.string()), pa.array(share, pa.float64())]
 
     return extended(docs, text_column, "lang_pred string, lang_score double", make, keep)
+
+
+def accepted(docs: DataFrame, scorer: Scorer | None, text_column="text", least: float = LEAST_SHARE) -> DataFrame:
+    """The documents in some learned language; rejected are those without letters, and those
+    for which no language has more than `least` of the likelihood."""
+    judge = lambda rows, text: identified(rows, scorer, text)
+    return kept_where(docs, text_column, judge, (F.col("lang_pred") != UNDETERMINED) & (F.col("lang_score") > least))

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from review_lens.llm import language, personal, sharding, simhash, suffixes
+from review_lens.llm import language, personal, sharding, simhash, suffixes, transducer
 from review_lens.llm.common import fold, table
 
 QUERIES = {}
@@ -74,3 +74,9 @@ def op9_pii(spark, sf_dir):
         F.sha2(personal.listed("base_spans"), 256).alias("base_sha256"),
         personal.listed("all_spans").alias("spans"),
     )
+
+
+@registered
+def op8_sentencepiece(spark, sf_dir):
+    found = transducer.encoded(table(spark, sf_dir, "documents", "doc_id", "text"), keep=["doc_id"])
+    return found.select("doc_id", "ids", F.coalesce(F.size("ids"), F.lit(0)).cast("bigint").alias("n_ids"), "round_trip")

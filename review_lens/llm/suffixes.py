@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from review_lens.llm import blocks
-from review_lens.llm.common import extended
+from review_lens.llm.common import extended, kept_where
 
 WINDOW = 10
 #: Words of a test suffix that a training suffix must share to stand in a shard's array.
@@ -214,9 +214,5 @@ def leaked_items(matches):
 
 def decontaminated(docs: DataFrame, items: DataFrame, text_column="text", **options) -> DataFrame:
     """The documents without any match; their columns as they were."""
-    # New names, so that a column of the documents that has one of them stays.
-    plain = [F.col(f"`{name}`").alias(f"c{k}") for k, name in enumerate(docs.columns)]
-    place = docs.columns.index(text_column)
-    found = leaks(docs.select(*plain), items, f"c{place}", **options)
-    clean = found.where(F.size("leaks") == 0)
-    return clean.select(*(F.col(f"c{k}").alias(name) for k, name in enumerate(docs.columns)))
+    judge = lambda rows, text: leaks(rows, items, text, **options)
+    return kept_where(docs, text_column, judge, F.size("leaks") == 0)
