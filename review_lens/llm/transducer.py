@@ -36,9 +36,12 @@ from review_lens.llm.language import vocabulary_path
 INFINITE = float("inf")
 MARK = "▁"
 #: Encodings and pair weights that a Python worker keeps.
-KEPT_RUNS = 400_000
+KEPT_RUNS = 500_000
 KEPT_PAIRS = 600_000
 LONGEST_KEPT = 48
+LETTER = r"[^\W\d_]"
+MARKS = r"[!-@\[-`{-~]"
+BESIDE = re.compile(f"{LETTER}(?={MARKS})|{MARKS}(?={LETTER})")
 
 
 class Machine:
@@ -68,7 +71,6 @@ class Machine:
                 self.ids[text], self.scores[text] = k, piece.score
                 out = text.encode()
             self.outputs.append(out)
-        self.longest = max(map(len, self.ids), default=1)
         self.texts = {k: text for text, k in self.ids.items()}
         if any(" " in text.lstrip(" ") for text in self.ids):
             raise ValueError("a piece reads over a space inside it")
@@ -84,16 +86,26 @@ class Machine:
                     self.ids.pop(text)
                 elif before:
                     self.parts[text] = before
-        # A line end outside the vocabulary stands alone on every path.
-        self.runs = re.compile(r" +[^ ]*|[^ ]+" if any("\n" in t for t in self.ids) else r"\n| +[^ \n]*|[^ \n]+")
+        self.longest = {}
+        for text in self.ids:
+            self.longest[text[-1]] = max(len(text), self.longest.get(text[-1], 0))
+        # A line end outside the vocabulary stands alone on every path, and between an
+        # ASCII mark and a letter that no piece holds side by side, every path has an end.
+        breaks = "" if any("\n" in t for t in self.ids) else r"\n"
+        runs = [breaks] * bool(breaks)
+        mixed = {c for t in self.ids if BESIDE.search(t) for c in t if re.match(LETTER, c)}
+        if not any(c.isascii() for c in mixed):
+            end, letter = rf"[ {breaks}]|\Z", LETTER[:-1] + "".join(sorted(mixed)) + "]"
+            runs += [f" *+{letter}++(?={MARKS}|{end})", f" *+{MARKS}++(?={letter}|{end})"]
+        self.runs = re.compile("|".join([*runs, f" +[^ {breaks}]*", f"[^ {breaks}]+"]))
         self.clear()
 
     def clear(self):
-        self.kept, self.pairs = {}, {}
+        self.kept, self.kept_before, self.pairs = {}, {}, {}
         self.spine = cache(self._spine)
 
     def __getstate__(self):
-        return {k: v for k, v in self.__dict__.items() if k not in ("kept", "pairs", "spine")}
+        return {k: v for k, v in self.__dict__.items() if k not in ("kept", "kept_before", "pairs", "spine")}
 
     def __setstate__(self, state):
         self.__dict__.update(state)
@@ -157,14 +169,14 @@ class Machine:
 
     def path(self, run: str) -> list[int]:
         """Output of the shortest path that reads the run."""
-        ids, weights = self.ids, self.weights
+        ids, weights, longest = self.ids, self.weights, self.longest
         n = len(run)
         cost = [0.0] + [INFINITE] * n
         last = [-1] * (n + 1)
         back = [0] * (n + 1)
         for end in range(1, n + 1):
             best = INFINITE
-            for start in range(end - 1, max(-1, end - self.longest - 1), -1):
+            for start in range(end - 1, max(-1, end - longest.get(run[end - 1], 0) - 1), -1):
                 piece = ids.get(run[start:end])
                 if piece is None or cost[start] == INFINITE:
                     continue
@@ -197,14 +209,22 @@ class Machine:
         for run in self.runs.findall((self.prefix + text).replace(MARK, " ")):
             ids = kept.get(run)
             if ids is None:
-                ids = array("i", self.path(run)).tobytes()
-                if len(run) <= LONGEST_KEPT:
-                    if len(kept) >= KEPT_RUNS:
-                        kept.clear()
-                    kept[run] = ids
+                ids = self.remembered(run)
+                kept = self.kept
             out.append(ids)
         return b"".join(out)
 
+    def remembered(self, run: str) -> bytes:
+        """A run's ids, kept while it is among those last asked for."""
+        ids = self.kept_before.get(run)
+        if ids is None:
+            ids = array("i", self.path(run)).tobytes()
+        if len(self.kept) >= KEPT_RUNS:
+            self.kept, self.kept_before = {}, self.kept
+        if len(run) <= LONGEST_KEPT:
+            self.kept[run] = ids
+        return ids
+
     def decode(self, ids) -> str:
         outputs, size = self.outputs, len(self.outputs)
         data = b"".join([outputs[k] for k in ids if 0 <= k < size])
