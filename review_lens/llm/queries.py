@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from review_lens.llm import language, personal, sharding, simhash, suffixes, transducer
+from review_lens.llm import language, personal, sharding, simhash, suffixes, toxicity, transducer
 from review_lens.llm.common import fold, table
 
 QUERIES = {}
@@ -80,3 +80,16 @@ def op9_pii(spark, sf_dir):
 def op8_sentencepiece(spark, sf_dir):
     found = transducer.encoded(table(spark, sf_dir, "documents", "doc_id", "text"), keep=["doc_id"])
     return found.select("doc_id", "ids", F.coalesce(F.size("ids"), F.lit(0)).cast("bigint").alias("n_ids"), "round_trip")
+
+
+@registered
+def op4_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    labels = table(spark, sf_dir, "labels", "doc_id", "toxic")
+    held_out = fold("doc_id", 4) == 2
+    model = toxicity.fit(docs.where(~held_out), labels)
+    found = toxicity.scored(docs, model, keep=["doc_id"])
+    score = F.col("toxicity")
+    return found.select(
+        "doc_id", held_out.alias("held_out"), score.alias("score"), (score >= 0.3).cast("int").alias("predicted")
+    )
