@@ -2,14 +2,14 @@
 
 Two dictionaries are trained from labelled texts, one on toxic and one on ordinary
 text. Each holds strings that are typical of its own class, and the same common words
-at its end, so that whatever is typical of neither is compressed alike by both. A text
+before them, so that whatever is typical of neither is compressed alike by both. A text
 is cut into windows of words, each window is compressed with both, and the difference
 of the two lengths tells whose strings it holds. Mean, extremes and the shares of
 windows above thresholds are calibrated to a probability, on labelled texts and dictionaries that
 haven't seen them.
 
-Strings are typical by how many different words they follow, not by how often they
-occur, so a text that was copied many times doesn't make its words typical.
+Strings are typical by how many texts have them, and a text only counts with the pairs
+of words that it is the first to have, so many copies don't make their words typical.
 
 Defined results: null and empty texts, and those without words, score like a text
 without any difference. Without labelled rows of both classes every score is 0. Rows
@@ -18,7 +18,6 @@ are; of several labels for an id the highest counts.
 """
 
 import re
-from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +30,7 @@ from review_lens.llm.common import bounded_sample, extended, ready, settled
 WINDOW = 12
 #: Labelled texts of each class that a fit uses, about and at most, picked by a hash.
 SAMPLE = 6_000
-#: Words that the dictionaries are chosen from, those after most different words.
+#: Words and grams that the dictionaries are chosen from, those in the most texts.
 VOCABULARY = 60_000
 #: Bytes of words common to both dictionaries, and of a class's own strings.
 COMMON_BYTES = 4_000
@@ -39,10 +38,10 @@ OWN_BYTES = 8_000
 #: Length of the strings that are tested, how sure and how large a difference must be.
 GRAM = 5
 SURE = 6.0
-LIFT = 4.0
+LIFT = 8.0
 #: Bytes of common words that lead every window, so that none is stored uncompressed.
 LEAD_BYTES = 47
-THRESHOLDS = (2, 3, 4)
+THRESHOLDS = (1, 2, 3)
 WORD = re.compile("[a-z\u0080-\U0010ffff]+")
 
 
@@ -94,7 +93,7 @@ class Coder:
     def features(self, text: str | None) -> list[float]:
         found = np.array(self.differences(text) or [0], float)
         shares = [float((found >= t).mean()) for t in THRESHOLDS]
-        above = float(np.log1p((found >= THRESHOLDS[1]).sum()))
+        above = float(np.log1p((found >= THRESHOLDS[0]).sum()))
         return [float(found.mean()), float(found.max()), float(found.min()), *shares, above, float(np.log1p(len(found)))]
 
 
@@ -109,18 +108,16 @@ def grams_of(word: str) -> set[str]:
     return {f" {word} "[k : k + GRAM] for k in range(len(word) + 3 - GRAM)}
 
 
-def typical(words: dict[str, tuple[int, int]], totals: tuple[int, int], side: int) -> list[str]:
-    """Parts of words that the class has far more often than the other, up to OWN_BYTES."""
-    counts = (Counter(), Counter())
-    for word, pair in words.items():
-        for gram in grams_of(word):
-            counts[0][gram] += pair[0]
-            counts[1][gram] += pair[1]
-    mine, other = counts[side], counts[1 - side]
+Counts = dict[str, tuple[int, int]]
+
+
+def typical(words: Counts, grams: Counts, totals: tuple[int, int], side: int) -> list[str]:
+    """Parts of words that far more texts of the class have than of the other, up to OWN_BYTES."""
     sure = set()
-    for gram, count in mine.items():
-        rates = [(count + 0.5) / (totals[side] + 1), (other[gram] + 0.5) / (totals[1 - side] + 1)]
-        if rates[0] >= LIFT * rates[1] and signed_surprise(count, other[gram], totals[side], totals[1 - side]) >= SURE:
+    for gram, pair in grams.items():
+        mine, other = pair[side], pair[1 - side]
+        rates = [(mine + 0.5) / (totals[side] + 1), (other + 0.5) / (totals[1 - side] + 1)]
+        if rates[0] >= LIFT * rates[1] and signed_surprise(mine, other, totals[side], totals[1 - side]) >= SURE:
             sure.add(gram)
     out, size = [], 0
     for word in sorted((w for w in words if grams_of(w) & sure), key=lambda w: (-words[w][side], w)):
@@ -140,8 +137,8 @@ def typical(words: dict[str, tuple[int, int]], totals: tuple[int, int], side: in
     return out
 
 
-def trained(words: dict[str, tuple[int, int]], totals: tuple[int, int]) -> Coder:
-    """Dictionaries from words with their counts in toxic and in ordinary text."""
+def trained(words: Counts, grams: Counts, totals: tuple[int, int]) -> Coder:
+    """Dictionaries from words and grams, with the toxic and the ordinary texts that have them."""
     common, size = [], 0
     for word in sorted(words, key=lambda w: (-sum(words[w]), w)):
         if abs(signed_surprise(*words[word], *totals)) < SURE / 2:
@@ -150,8 +147,10 @@ def trained(words: dict[str, tuple[int, int]], totals: tuple[int, int]) -> Coder
                 break
             common.append(word)
     end = f" {' '.join(reversed(common))} ".encode()
-    own = ["\n".join(typical(words, totals, side)).encode() for side in (0, 1)]
-    return Coder(own[0] + b"\n" + end, own[1] + b"\n" + end, end[-LEAD_BYTES - 1 : -1])
+    own = ["\n".join(typical(words, grams, totals, side)).encode() for side in (0, 1)]
+    # Filled up to one length, so that the common words lie equally far from a window's start.
+    length = max(map(len, own)) + 1
+    return Coder(*(end + part.rjust(length, b"\n") for part in own), end[-LEAD_BYTES - 1 : -1])
 
 
 def logistic(rows: np.ndarray, labels: np.ndarray, rounds: int = 30) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -206,24 +205,44 @@ def fit(
             found.append(sorted({f"{a} {b}" for a, b in zip(["", *words], words, strict=False)}))
         return [pa.array(found, pa.list_(pa.string()))]
 
-    pairs = extended(rows.withColumn("half", half), "text", "pairs array<string>", follow, keep=["toxic", "half"])
-    pairs = pairs.select("toxic", "half", F.explode("pairs").alias("pair")).groupBy("pair")
+    # Each pair of words belongs to the first text that has it, so copies own next to nothing.
+    pairs = extended(rows.withColumn("half", half), "text", "pairs array<string>", follow, keep=["id", "toxic", "half"])
+    pairs = pairs.select("toxic", "half", "id", F.explode("pairs").alias("pair"))
+    owned = pairs.groupBy("pair", "toxic").agg(F.min(F.struct("id", "half")).alias("owner"))
+    owned = owned.groupBy("owner", "toxic").agg(F.collect_set(F.substring_index("pair", " ", -1)).alias("words"))
+
+    def parts_of(batches):
+        for batch in batches:
+            words = batch.column("words").to_pylist()
+            strings = [w + sorted(set().union(*map(grams_of, w))) for w in words]
+            kinds = [[False] * len(w) + [True] * (len(s) - len(w)) for w, s in zip(words, strings, strict=True)]
+            sizes = [len(s) for s in strings]
+            columns = [batch.column(k).take(pa.array(np.repeat(np.arange(len(sizes)), sizes))) for k in (0, 1)]
+            flat = [pa.array([x for s in strings for x in s], pa.string()), pa.array([x for k in kinds for x in k], pa.bool_())]
+            yield pa.RecordBatch.from_arrays(columns + flat, ["toxic", "half", "string", "gram"])
+
+    strings = owned.select("toxic", F.col("owner.half").alias("half"), "words")
+    strings = strings.mapInArrow(parts_of, "toxic int, half bigint, string string, gram boolean")
     # Parts of the labelled texts that have dictionaries: all, and both halves.
     parts = {"": F.lit(True), "0": F.col("half") == 0, "1": F.col("half") == 1}
     of = {f"{side}{part}": (F.col("toxic") == mark) & use for side, mark in (("a", 1), ("b", 0)) for part, use in parts.items()}
-    pairs = pairs.agg(*(F.max(seen.cast("int")).alias(name) for name, seen in of.items()))
-    counts = pairs.groupBy(F.substring_index("pair", " ", -1).alias("word"))
-    counts = settled(counts.agg(*(F.sum(name).alias(name) for name in of)), "toxicity-words")
-    totals = counts.agg(*(F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in of)).first()
+    counts = strings.groupBy("gram", "string").agg(*(F.sum(seen.cast("int")).alias(name) for name, seen in of.items()))
+    counts = settled(counts, "toxicity-strings")
+    texts = owned.select("toxic", F.col("owner.half").alias("half"))
+    totals = texts.agg(*(F.coalesce(F.sum(seen.cast("int")), F.lit(0)).alias(name) for name, seen in of.items())).first()
     if not all(totals):
         return None
     often = F.col("a") / F.lit(float(totals["a"])) + F.col("b") / F.lit(float(totals["b"]))
-    top = counts.orderBy(often.desc(), "word").limit(VOCABULARY).toArrow().to_pydict()
+    top = [
+        counts.where(F.col("gram") == gram).orderBy(often.desc(), "string").limit(VOCABULARY).toArrow().to_pydict()
+        for gram in (False, True)
+    ]
     coders = []
     for part in parts:
-        pairs_of = zip(top[f"a{part}"], top[f"b{part}"], strict=True)
-        words = {w: p for w, p in zip(top["word"], pairs_of, strict=True) if sum(p)}
-        coders.append(trained(words, (totals[f"a{part}"], totals[f"b{part}"])))
+        words, grams = (
+            {s: (a, b) for s, a, b in zip(t["string"], t[f"a{part}"], t[f"b{part}"], strict=True) if a + b} for t in top
+        )
+        coders.append(trained(words, grams, (totals[f"a{part}"], totals[f"b{part}"])))
     sent = spark.sparkContext.broadcast(coders[1:])
 
     def measure(texts):
