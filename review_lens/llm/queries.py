@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from review_lens.llm import language, personal, sharding, simhash, suffixes, toxicity, transducer
+from review_lens.llm import language, personal, sharding, simhash, suffixes, toxicity, transducer, urls
 from review_lens.llm.common import fold, table
 
 QUERIES = {}
@@ -93,3 +93,19 @@ def op4_toxicity(spark, sf_dir):
     return found.select(
         "doc_id", held_out.alias("held_out"), score.alias("score"), (score >= 0.3).cast("int").alias("predicted")
     )
+
+
+#: The rules of the URL query: verdict, host and path.
+URL_RULES = [
+    ("allow", "org", "/"),
+    ("block", "example.org", "/es/"),
+    ("block", "example.org", "/en/1"),
+    ("allow", "com", "/fr/"),
+    ("block", "com", "/de/"),
+]
+
+
+@registered
+def op1_url_filters(spark, sf_dir):
+    found = urls.judged(table(spark, sf_dir, "pages", "page_id", "url"), URL_RULES)
+    return found.withColumnRenamed("id", "page_id")
