@@ -133,3 +133,22 @@ def kept_where(docs: DataFrame, text_column: str, judge, condition) -> DataFrame
     plain = docs.toDF(*(f"c{k}_" for k in range(len(names))))
     judged = judge(plain, f"c{names.index(text_column)}_")
     return judged.where(condition).select(*(F.col(f"c{k}_").alias(name) for k, name in enumerate(names)))
+
+
+def labelled_sample(
+    docs: DataFrame, labels: DataFrame, label: str, id_column: str, text_column: str, bound: int
+) -> tuple[DataFrame, dict[int, int]]:
+    """(id, label, text) of about `bound` documents of each class 0 and 1 at most, and how
+    many labelled documents each class has. Of several labels for an id the highest counts.
+
+    Labels are sampled before they are joined: about 2 * `bound` ids at most are
+    broadcast, and no text is shuffled.
+    """
+    known = docs.select(F.col(id_column).alias("id")).distinct()
+    marks = labels.select(F.col(id_column).alias("id"), F.col(label).cast("int").alias("label"))
+    marks = marks.where("id is not null and label in (0, 1)").groupBy("id").agg(F.max("label").alias("label"))
+    marks = settled(marks.join(known, "id", "left_semi"), f"{label}-labels")
+    counts = {r["label"]: r["count"] for r in marks.groupBy("label").count().collect()}
+    marks = bounded_sample(marks, F.col("label"), [F.col("id")], bound)
+    texts = docs.select(F.col(id_column).alias("id"), F.col(text_column).cast("string").alias("text"))
+    return texts.join(F.broadcast(marks), "id"), counts

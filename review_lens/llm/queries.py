@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from review_lens.llm import language, personal, sharding, simhash, suffixes, toxicity, transducer, urls
+from review_lens.llm import language, personal, quality, sharding, simhash, suffixes, toxicity, transducer, urls
 from review_lens.llm.common import fold, table
 
 QUERIES = {}
@@ -109,3 +109,10 @@ URL_RULES = [
 def op1_url_filters(spark, sf_dir):
     found = urls.judged(table(spark, sf_dir, "pages", "page_id", "url"), URL_RULES)
     return found.withColumnRenamed("id", "page_id")
+
+
+@registered
+def op5_quality_rules(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    chain = quality.fit(docs, table(spark, sf_dir, "labels", "doc_id", "quality"))
+    return quality.judged(docs, chain, keep=["doc_id"])

@@ -25,7 +25,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from review_lens.llm.common import bounded_sample, extended, ready, settled
+from review_lens.llm.common import extended, labelled_sample, ready, settled
 
 WINDOW = 12
 #: Labelled texts of each class that a fit uses, about and at most, picked by a hash.
@@ -180,22 +180,15 @@ def fit(
 ) -> Model | None:
     """A model learned from the documents that have a label; None without both classes.
 
-    The labels are sampled before they are joined, so at most about 2 * `sample` ids are
-    broadcast and no text is shuffled. Dictionaries of either half of the texts measure
+    Dictionaries of either half of the texts measure
     the other half for the calibration; scores use those of all.
     """
     spark = docs.sparkSession
     ready(spark)
-    known = docs.select(F.col(id_column).alias("id")).distinct()
-    marks = labels.select(F.col(id_column).alias("id"), F.col(label).cast("int").alias("toxic"))
-    marks = marks.where("id is not null and toxic in (0, 1)").groupBy("id").agg(F.max("toxic").alias("toxic"))
-    marks = settled(marks.join(known, "id", "left_semi"), "toxicity-labels")
-    shares = {r["toxic"]: r["count"] for r in marks.groupBy("toxic").count().collect()}
+    rows, shares = labelled_sample(docs, labels, label, id_column, text_column, sample)
     if len(shares) < 2:
         return None
-    marks = bounded_sample(marks, F.col("toxic"), [F.col("id")], sample)
-    texts = docs.select(F.col(id_column).alias("id"), F.col(text_column).cast("string").alias("text"))
-    rows = texts.join(F.broadcast(marks), "id")
+    rows = rows.withColumnRenamed("label", "toxic")
     half = F.pmod(F.crc32(F.concat(F.lit("half-"), F.col("id").cast("string"))), F.lit(2))
 
     def follow(texts):
