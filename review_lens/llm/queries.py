@@ -2,7 +2,18 @@
 
 from pyspark.sql import functions as F
 
-from review_lens.llm import language, personal, quality, sharding, simhash, suffixes, toxicity, transducer, urls
+from review_lens.llm import (
+    language,
+    personal,
+    quality,
+    sharding,
+    simhash,
+    suffixes,
+    toxicity,
+    transducer,
+    urls,
+    weighting,
+)
 from review_lens.llm.common import fold, table
 
 QUERIES = {}
@@ -116,3 +127,11 @@ def op5_quality_rules(spark, sf_dir):
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     chain = quality.fit(docs, table(spark, sf_dir, "labels", "doc_id", "quality"))
     return quality.judged(docs, chain, keep=["doc_id"])
+
+
+@registered
+def op6_lm_scoring(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    held_out = fold("doc_id", 5) == 1
+    found = weighting.scored(docs, docs.where(~held_out)).withColumnRenamed("id", "doc_id")
+    return found.withColumn("held_out", held_out)
