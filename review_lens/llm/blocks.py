@@ -37,6 +37,8 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of all texts and where each begins, one offset more than texts; null is empty."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
+    if not len(column):
+        return np.zeros(0, np.uint8), np.zeros(1, np.int64)
     column = pc.fill_null(column.cast(pa.large_string()), "")
     _, places, data = column.buffers()
     offsets = np.frombuffer(places, np.int64)[column.offset : column.offset + len(column) + 1]

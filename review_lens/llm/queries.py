@@ -135,3 +135,31 @@ def op6_lm_scoring(spark, sf_dir):
     held_out = fold("doc_id", 5) == 1
     found = weighting.scored(docs, docs.where(~held_out)).withColumnRenamed("id", "doc_id")
     return found.withColumn("held_out", held_out)
+
+
+_WORDS = r"""list_filter(regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '')"""
+
+ORACLES["op2_benchmark_decontamination"] = f"""
+WITH items AS (SELECT CAST(item_id AS VARCHAR) AS item, {_WORDS} AS words FROM benchmark),
+tests AS (
+  SELECT DISTINCT item, size, array_to_string(words[k:k + size - 1], ' ') AS gram
+  FROM (SELECT item, words, least(10, len(words)) AS size,
+               unnest(range(1, len(words) - least(10, len(words)) + 2)) AS k FROM items WHERE len(words) > 0)),
+docs AS (SELECT doc_id, {_WORDS} AS words FROM documents),
+places AS (
+  SELECT doc_id, size, k, array_to_string(words[k:k + size - 1], ' ') AS gram
+  FROM (SELECT doc_id, words, size, unnest(range(1, len(words) - size + 2)) AS k
+        FROM docs, (SELECT DISTINCT size FROM tests) WHERE len(words) >= size)),
+found AS (SELECT doc_id, k, p.size, item FROM places p JOIN tests t ON p.gram = t.gram AND p.size = t.size),
+hit AS (
+  SELECT doc_id, count(DISTINCT w) AS n_hit
+  FROM (SELECT doc_id, unnest(range(k, k + size)) AS w FROM found) GROUP BY doc_id),
+named AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS listed
+  FROM (SELECT DISTINCT doc_id, item FROM found) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(listed, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs d LEFT JOIN hit h ON d.doc_id = h.doc_id LEFT JOIN named n ON d.doc_id = n.doc_id
+"""

@@ -64,7 +64,7 @@ class TestSuffixes:
         ).astype(np.int64)
         item = np.searchsorted(words.rows, places, "right") - 1
         table = columns_at(hashes, places, places + cut[item], window)
-        table, of = np.unique(table, axis=0, return_inverse=True)
+        table, of = np.unique(table, axis=0, return_inverse=True) if len(table) else (table, np.zeros(0, np.int64))
         order = np.argsort(of.reshape(-1), kind="stable")
         self.table = table
         self.lengths = np.zeros(len(table), np.int64)
