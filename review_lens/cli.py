@@ -9,14 +9,23 @@ from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
+from pyspark.sql import functions as F  # noqa: E402
+
 from review_lens.functions.records import from_messages  # noqa: E402
 from review_lens.operators import views as V  # noqa: E402
+from review_lens.operators.models import KEPT  # noqa: E402
 from review_lens.schema import METRICS_SCHEMA, PREDICTION_SCHEMA, SLICE_ROWS  # noqa: E402
 from review_lens.session import build_session  # noqa: E402
 from review_lens.sinks.tables import compact, create_review_table  # noqa: E402
 from review_lens.sinks.topics import file_outlet, kafka_outlet  # noqa: E402
 from review_lens.sources.reviews import in_file_order, read_review_csv  # noqa: E402
-from review_lens.sources.topics import kafka_topic, message_topic, read_messages  # noqa: E402
+from review_lens.sources.topics import (  # noqa: E402
+    kafka_topic,
+    message_topic,
+    newest_messages,
+    read_kafka,
+    read_messages,
+)
 from review_lens.streaming import jobs  # noqa: E402
 
 
@@ -25,9 +34,15 @@ def _kafka(name):
     return servers, topic
 
 
-def topic(name, starting, per_trigger):
+def topic(name, starting=None, per_trigger=None):
+    """A topic to read. A folder has no offsets and no single records to count: it is
+    read from its beginning, some files at a time, and other wishes are refused."""
     if name.startswith("kafka:"):
-        return kafka_topic(*_kafka(name), starting=starting, max_per_trigger=per_trigger)
+        return kafka_topic(
+            *_kafka(name), starting=starting or "earliest", max_per_trigger=per_trigger or SLICE_ROWS
+        )
+    if starting == "latest" or per_trigger is not None:
+        raise SystemExit(f"{name} is a folder: it takes neither --starting latest nor --per-trigger")
     return message_topic(name)
 
 
@@ -39,58 +54,83 @@ def parser():
     top = argparse.ArgumentParser(prog="review-lens", description=__doc__)
     commands = top.add_subparsers(dest="command", required=True)
 
-    def command(name, help, *options, **defaults):
-        sub = commands.add_parser(name, help=help)
+    def command(word, help, *options, **defaults):
+        sub = commands.add_parser(word, help=help)
         for option in options:
             sub.add_argument(f"--{option}", required=True)
         for option, value in defaults.items():
-            sub.add_argument(f"--{option.replace('_', '-')}", default=value, type=type(value))
+            kind = int if option in ("per_trigger", "size", "keep") else str
+            sub.add_argument(f"--{option.replace('_', '-')}", default=value, type=kind)
         return sub
 
-    command("feed", "send a review file to a topic, slice by slice", "csv", "to", "checkpoint",
-            every="20 seconds", size=SLICE_ROWS)
+    command("feed", "publish a review file once, in slices", "csv", "to", size=SLICE_ROWS)
     command("define", "define the landed table in the catalog", "table", "name")
     command("ingest", "land a topic", "topic", "table", "quarantine", "checkpoint",
-            every="20 seconds", per_trigger=SLICE_ROWS)
+            every="20 seconds", starting=None, per_trigger=None, name=None)
     command("retrain", "retrain all aspect models by the clock", "table", "models", "checkpoint",
-            every="300 seconds")
+            every="300 seconds", keep=KEPT)
     command("score", "score, publish, feed back and measure a topic", "topic", "models", "table",
             "quarantine", "predictions", "metrics", "checkpoint",
-            every="60 seconds", per_trigger=SLICE_ROWS)
-    command("compact", "merge the versions of the landed table", "table", "target")
-    command("recent", "show the newest predictions of a message folder", "predictions")
-    command("history", "show the newest metrics of a message folder", "metrics")
+            every="60 seconds", starting=None, per_trigger=None, name=None)
+    command("compact", "merge the versions of the landed table in place", "table", name=None)
+    command("recent", "show the newest predictions of a topic", "predictions")
+    command("history", "show the newest metrics of a topic", "metrics")
     return top
 
 
+def published(spark, name):
+    return read_kafka(spark, *_kafka(name)) if name.startswith("kafka:") else read_messages(spark, name)
+
+
+def recent(spark, name):
+    """The newest predictions; of a folder only the newest batches are read."""
+    messages = published(spark, name)
+    if not name.startswith("kafka:"):
+        field = lambda path: F.get_json_object("value", path)
+        wanted = V.RECENT_PREDICTIONS
+        reviews = lambda m: m.select(field("$.id")).distinct().limit(wanted).count() >= wanted
+        messages = newest_messages(messages, field("$.processing_timestamp").cast("timestamp"), reviews)
+    return V.recent_predictions(from_messages(messages, PREDICTION_SCHEMA))
+
+
+def history(spark, name):
+    """The newest metrics; of a folder only the newest batches are read."""
+    messages = published(spark, name)
+    if not name.startswith("kafka:"):
+        # A batch has one row of metrics.
+        batches = lambda m: m.select("run", "batch_id").distinct().count() >= V.METRICS_HISTORY
+        messages = newest_messages(messages, F.get_json_object("value", "$.timestamp"), batches)
+    return V.metrics_history(from_messages(messages, METRICS_SCHEMA, "key"))
+
+
 def start(spark, a):
     """Run a command; a continuous job comes back as its running query."""
     trigger = {"processingTime": a.every} if "every" in a else None
     if a.command == "feed":
         rows = in_file_order(read_review_csv(spark, a.csv))
-        stored = jobs.store_feed(rows, "file", "place")
-        return jobs.start_feed(spark, stored, outlet(a.to), a.checkpoint, a.size, trigger=trigger)
+        return jobs.publish_rows(rows, outlet(a.to), "file", "place", size=a.size)
     if a.command == "define":
         return create_review_table(spark, a.name, a.table)
     if a.command == "ingest":
-        source = topic(a.topic, "earliest", a.per_trigger)
+        source = topic(a.topic, a.starting, a.per_trigger)
         return jobs.start_ingest(
-            spark, source, a.table, a.quarantine, a.checkpoint, trigger=trigger
+            spark, source, a.table, a.quarantine, a.checkpoint, trigger=trigger, name=a.name
         )
     if a.command == "retrain":
-        return jobs.start_retraining(spark, a.table, a.models, a.checkpoint, trigger=trigger)
+        return jobs.start_retraining(
+            spark, a.table, a.models, a.checkpoint, trigger=trigger, keep=a.keep
+        )
     if a.command == "score":
+        live = a.starting or ("latest" if a.topic.startswith("kafka:") else None)
         return jobs.start_scoring(
-            spark, topic(a.topic, "latest", a.per_trigger), a.models, a.table, a.quarantine,
-            outlet(a.predictions), outlet(a.metrics), a.checkpoint, trigger=trigger,
+            spark, topic(a.topic, live, a.per_trigger), a.models, a.table, a.quarantine,
+            outlet(a.predictions), outlet(a.metrics), a.checkpoint, trigger=trigger, name=a.name,
         )
     if a.command == "compact":
-        return compact(spark, a.table, a.target)
+        return compact(spark, a.table, a.name)
     if a.command == "recent":
-        messages = read_messages(spark, a.predictions)
-        return V.recent_predictions(from_messages(messages, PREDICTION_SCHEMA)).show(50)
-    messages = read_messages(spark, a.metrics)
-    return V.metrics_history(from_messages(messages, METRICS_SCHEMA)).show()
+        return recent(spark, a.predictions).show(V.RECENT_PREDICTIONS, truncate=False)
+    return history(spark, a.metrics).show(V.METRICS_HISTORY, truncate=False)
 
 
 def main(arguments=None):

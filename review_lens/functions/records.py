@@ -40,12 +40,15 @@ def rejected(parsed: DataFrame, stamp="ingestion_timestamp") -> DataFrame:
 
 
 def as_messages(rows: DataFrame, key=None) -> DataFrame:
-    """One (key, value) message per row, the value being the row as JSON."""
+    """One (key, value) message per row, the value being the row as JSON.
+
+    Times in a message have milliseconds, as Spark's JSON writer cuts them.
+    """
     key_column = F.col(key).cast("string") if key else F.lit(None).cast("string")
     columns = [F.col(f"`{c}`") for c in rows.columns]
     return rows.select(key_column.alias("key"), F.to_json(F.struct(*columns)).alias("value"))
 
 
-def from_messages(messages: DataFrame, schema) -> DataFrame:
-    """Decode JSON values written by `as_messages`."""
-    return messages.select(F.from_json("value", schema).alias("data")).select("data.*")
+def from_messages(messages: DataFrame, schema, *keep: str) -> DataFrame:
+    """Decode JSON values written by `as_messages`; `keep` names columns to keep beside."""
+    return messages.select(*keep, F.from_json("value", schema).alias("data")).select(*keep, "data.*")

@@ -5,10 +5,13 @@ from pyspark.sql import functions as F
 
 from review_lens.functions import labels as L
 from review_lens.functions.labels import quoted
+from review_lens.operators.keyed import latest_per_key
 from review_lens.schema import ASPECTS, OTHERS, RATED_ASPECTS
 
-# Below any real timestamp in microseconds, and still safe to shift by two bits.
-_NEVER = -(1 << 60)
+# Bits of a code, and of the hash of an id that settles which of several reviews of one
+# instant counts. What is left holds microseconds until the year 2112.
+_CODE_BITS, _ID_BITS = 2, 9
+_NEVER = -(1 << 52)
 
 
 def label_entries(reviews: DataFrame, *keep: str) -> DataFrame:
@@ -25,23 +28,33 @@ def label_entries(reviews: DataFrame, *keep: str) -> DataFrame:
 
 
 def _labelled(reviews: DataFrame, arrived: str) -> DataFrame:
-    """Comment, time of arrival and label bits of the reviews that may train models.
+    """Comment, time of arrival and label bits of the reviews that may train models."""
+    usable = F.col("comment").isNotNull() & L.maybe_labelled("label")
+    return reviews.where(usable).select("comment", _rank(reviews, arrived), L.label_bits().alias("bits"))
+
+
+def _rank(reviews: DataFrame, arrived: str) -> Column:
+    """Time of arrival in microseconds, bits of the id's MD5, and room for a code, in one long.
 
-    The time is in microseconds, moved up by two bits to leave room for a code.
+    All reviews of a micro-batch arrive at one instant. The id decides between them,
+    so that no sentiment has an advantage. Reviews without an id share one rank.
     """
-    usable = F.col("comment").isNotNull() & L.maybe_labelled("label")
     micros = F.unix_micros(F.col(arrived).cast("timestamp"))
-    shifted = F.shiftleft(F.coalesce(micros, F.lit(_NEVER)), 2)
-    bits = L.label_bits().alias("bits")
-    return reviews.where(usable).select("comment", shifted.alias("at"), bits)
+    held = F.when(micros.isNull(), _NEVER).otherwise(
+        F.greatest(F.least(micros, F.lit(-_NEVER - 1)), F.lit(_NEVER))
+    )
+    digest = "0"
+    if "id" in reviews.columns:
+        digest = f"cast(conv(substr(md5(coalesce(id, '')), 1, 3), 16, 10) AS BIGINT) % {1 << _ID_BITS}"
+    shifted = F.shiftleft(held, _CODE_BITS + _ID_BITS)
+    return shifted.bitwiseOR(F.expr(f"shiftleft(cast({digest} AS BIGINT), {_CODE_BITS})")).alias("at")
 
 
 def _newest(code: str) -> str:
-    """Aggregate that finds the newest code: time of arrival and code in one long.
+    """Aggregate that finds the newest code: rank and code in one long.
 
     A single long per aspect keeps the aggregate in fixed-width buffers, hence
     hashed and combined before the shuffle, however often a comment repeats.
-    Codes of the same instant are settled in favour of the higher one.
     """
     return f"max(at | cast({code} AS BIGINT))"
 
@@ -56,18 +69,40 @@ def aspect_matrix(reviews: DataFrame, arrived="ingestion_timestamp") -> DataFram
     One shuffle, on `comment`, of one pre-combined row per task and comment.
     Reviews without a comment or without any well-formed label part stay out.
     """
+    return _coded(_labelled(reviews, arrived), "comment")
+
+
+def _coded(labelled: DataFrame, key: str) -> DataFrame:
+    """The newest code of each aspect for every `key` with a well-formed label part."""
     newest = [
         F.expr(f"{_newest(L.code('bits', a))} FILTER (WHERE {L.mentioned('bits', a)})").alias(a)
         for a in RATED_ASPECTS
     ]
     others = F.expr(f"max({L.code('bits', OTHERS)})").alias(OTHERS)
     return (
-        _labelled(reviews, arrived)
-        .groupBy("comment")
+        labelled.groupBy(key)
         .agg(*newest, others, F.max("bits").alias("any"))
         .where("any <> 0")
-        .selectExpr("comment", *[_unpacked(a) for a in RATED_ASPECTS], OTHERS)
+        .selectExpr(key, *[_unpacked(a) for a in RATED_ASPECTS], OTHERS)
+    )
+
+
+def landed_matrix(landed: DataFrame, arrived="ingestion_timestamp") -> DataFrame:
+    """The matrix of the newest version of each review, straight from all landed versions.
+
+    Versions and labels are worked out on digests of the comments; each distinct text
+    is then shuffled once, to where its digest's codes already are.
+    """
+    digested = landed.withColumn("digest", comment_digest())
+    slim = digested.select(
+        "id", "digest", F.col("comment").isNotNull().alias("told"), arrived, "date_time", "label", "n_star"
     )
+    order = [F.col(c).desc_nulls_last() for c in ("date_time", "label", "digest", "n_star")]
+    newest = latest_per_key(slim, "id", arrived, *order)
+    usable = newest.where(F.col("told") & L.maybe_labelled("label"))
+    coded = _coded(usable.select("digest", _rank(usable, arrived), L.label_bits().alias("bits")), "digest")
+    texts = digested.where("comment IS NOT NULL").select("digest", "comment").dropDuplicates(["digest"])
+    return texts.join(coded, "digest").drop("digest")
 
 
 def comment_digest() -> Column:

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from review_lens.functions.labels import encode
 from review_lens.schema import ASPECTS, OTHERS, SENTIMENT_NAMES
-from review_lens.session import spread
 
 GENERAL = "GENERAL"
 ARRIVAL_ROWS = 256
@@ -34,20 +33,19 @@ def arrival():
     return F.expr(f"TIMESTAMP_NTZ'2024-02-01 00:00:00' + {minutes}")
 
 
-def coded_documents(spark: SparkSession, sf_dir: str, all_cores=False) -> DataFrame:
+def coded_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, text and one code column per aspect."""
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
-    documents = spread(documents) if all_cores else documents
     joined = documents.join(table(spark, sf_dir, "labels"), "doc_id", "left")
     codes = [f"{_code(j, a)} AS `{a}`" for j, a in enumerate(ASPECTS)]
     return joined.selectExpr("doc_id", "text", *codes)
 
 
-def reviews(spark: SparkSession, sf_dir: str, all_cores=False) -> DataFrame:
+def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, id, comment, n_star, date_time, label, ingestion_timestamp."""
     doc_id = F.col("doc_id")
     posted = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
-    return coded_documents(spark, sf_dir, all_cores).select(
+    return coded_documents(spark, sf_dir).select(
         "doc_id",
         doc_id.cast("string").alias("id"),
         F.col("text").alias("comment"),
@@ -142,12 +140,13 @@ def _pick(aspect: str) -> str:
     return f"CAST(coalesce({code}, 0) AS INTEGER) AS {_q(aspect)}"
 
 
-# Newest arrival per comment and aspect; the higher code settles a tie.
+# Newest arrival per comment and aspect; bits of the id's hash settle a tie.
 MATRIX_SQL = (
     ENTRIES_SQL
     + """, ranked AS (
   SELECT comment, aspect, code, row_number() OVER (
-    PARTITION BY comment, aspect ORDER BY ingestion_timestamp DESC, code DESC) AS rank
+    PARTITION BY comment, aspect ORDER BY ingestion_timestamp DESC,
+    CAST('0x' || substr(md5(id), 1, 3) AS BIGINT) % 512 DESC, code DESC) AS rank
   FROM entries WHERE comment IS NOT NULL),
 matrix AS (SELECT comment, """
     + ", ".join(_pick(a) for a in ASPECTS)

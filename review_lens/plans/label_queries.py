@@ -91,9 +91,8 @@ def distinct_comments(spark, sf_dir):
 
 def others_flag(spark, sf_dir):
     """Whether any review of a comment carries the OTHERS mark."""
-    entries = X.label_entries(P.reviews(spark, sf_dir), "comment")
-    flag = F.max(F.when(F.col("aspect") == OTHERS, 1).otherwise(0))
-    return entries.groupBy("comment").agg(flag.alias("OTHERS"))
+    bits = P.reviews(spark, sf_dir).select("comment", L.label_bits().alias("bits")).where("bits <> 0")
+    return bits.groupBy("comment").agg(F.expr(f"max({L.code('bits', OTHERS)})").alias("OTHERS"))
 
 
 _DAMAGED_SQL = (
@@ -182,7 +181,8 @@ QUERIES = {
     "damaged_label_matrix": (
         damaged_label_matrix,
         f"WITH {_DAMAGED_SQL}, ranked AS (SELECT comment, aspect, code, row_number() OVER ("
-        "PARTITION BY comment, aspect ORDER BY ingestion_timestamp DESC, code DESC) AS rank "
+        "PARTITION BY comment, aspect ORDER BY ingestion_timestamp DESC, "
+        "CAST('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 3) AS BIGINT) % 512 DESC, code DESC) AS rank "
         "FROM own) SELECT comment, "
         + ", ".join(f"CAST({_own_code(a)} AS INTEGER) AS \"{a}\"" for a in ASPECTS)
         + " FROM ranked WHERE rank = 1 AND comment IS NOT NULL GROUP BY comment",

@@ -69,7 +69,7 @@ def _predictions(spark, sf_dir):
 def prediction_messages(spark, sf_dir):
     """Predictions published as JSON and decoded again."""
     path = scratch_dir(spark, "predictions")
-    publish(as_messages(_predictions(spark, sf_dir), key="id"), file_outlet(path), 0)
+    publish(as_messages(_predictions(spark, sf_dir), key="id"), file_outlet(path), "run", 0)
     decoded = from_messages(read_messages(spark, path), PREDICTION_SCHEMA)
     time = F.col("processing_timestamp").cast("timestamp_ntz").alias("processing_timestamp")
     return decoded.select("id", "comment", "n_star", "label", "predicted_label", time)
@@ -77,7 +77,15 @@ def prediction_messages(spark, sf_dir):
 
 def recent_predictions_50(spark, sf_dir):
     """The fifty newest predictions, as a dashboard lists them."""
-    newest = V.recent_predictions(_predictions(spark, sf_dir))
+    sent = _predictions(spark, sf_dir)
+    # Every third review was scored before, with another result.
+    before = sent.where("id % 3 = 0").withColumns(
+        {
+            "processing_timestamp": F.col("processing_timestamp") - F.expr("INTERVAL 1 HOUR"),
+            "predicted_label": F.lit("{OTHERS};"),
+        }
+    )
+    newest = V.recent_predictions(sent.union(before).union(sent))
     return newest.withColumn(
         "processing_timestamp", F.col("processing_timestamp").cast("timestamp_ntz")
     )
@@ -92,13 +100,14 @@ def _stamped(metrics):
 
 
 def _twice_published(spark, sf_dir):
-    """Metrics messages of which every one was delivered twice, decoded."""
+    """Metrics messages of which every one was delivered twice, with an older stamp once."""
     path = scratch_dir(spark, "metrics")
     rows = _stamped(_metrics(spark, sf_dir)).select(*METRICS_SCHEMA.fieldNames())
-    messages = as_messages(rows)
-    publish(messages, file_outlet(path), 0)
-    publish(messages, file_outlet(path), 1)
-    return from_messages(read_messages(spark, path), METRICS_SCHEMA)
+    older = rows.withColumn("timestamp", F.concat(F.lit("2023"), F.substring("timestamp", 5, 30)))
+    for batch, sent in enumerate((rows, older)):
+        messages = as_messages(sent).withColumn("key", F.lit("stream"))
+        publish(messages, file_outlet(path), "run", batch)
+    return from_messages(read_messages(spark, path), METRICS_SCHEMA, "key")
 
 
 def metrics_without_repeats(spark, sf_dir):

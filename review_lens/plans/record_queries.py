@@ -9,7 +9,7 @@ from review_lens.plans import fixtures as P
 from review_lens.schema import REVIEW_COLUMNS, SLICE_ROWS, WIRE_SCHEMA
 from review_lens.session import scratch_dir
 from review_lens.sinks.tables import compact, create_review_table, land_reviews
-from review_lens.sources.reviews import CSV_FORMAT, read_review_csv, read_reviews
+from review_lens.sources.reviews import CSV_FORMAT, read_landed, read_review_csv, read_reviews
 
 
 def _plain_time(name):
@@ -127,20 +127,20 @@ def latest_event_per_user(spark, sf_dir):
     return latest_per_key(events, "user_id", "ts", "event_id")
 
 
-def _land_twice(spark, sf_dir, path):
+def _land_twice(spark, sf_dir, path, name=None):
     """Land all reviews, run that batch again, then land corrections of some."""
     rows = P.reviews(spark, sf_dir).withColumns(
         {c: F.col(c).cast("timestamp") for c in ("date_time", "ingestion_timestamp")}
     )
-    land_reviews(rows, path, "train", 0)
-    land_reviews(rows, path, "train", 0)
+    land_reviews(rows, path, "train", "first", 0, name)
+    land_reviews(rows, path, "train", "first", 0, name)
     later = rows.where("n_star = 1").withColumns(
         {
             "n_star": F.lit(5),
             "ingestion_timestamp": F.col("ingestion_timestamp") + F.expr("INTERVAL 1 DAY"),
         }
     )
-    land_reviews(later, path, "test", 0)
+    land_reviews(later, path, "test", "second", 0, name)
 
 
 def _as_stored(reviews):
@@ -156,11 +156,11 @@ def latest_review_per_id(spark, sf_dir):
 
 
 def compacted_reviews(spark, sf_dir):
-    """The same table after its versions were merged."""
-    path, merged = scratch_dir(spark, "reviews"), scratch_dir(spark, "compacted")
+    """All that is stored after the versions were merged in place."""
+    path = scratch_dir(spark, "reviews")
     _land_twice(spark, sf_dir, path)
-    compact(spark, path, merged)
-    return _as_stored(read_reviews(spark, merged))
+    compact(spark, path)
+    return _as_stored(read_landed(spark, path))
 
 
 def keyed_table_ddl(spark, sf_dir):
@@ -169,8 +169,7 @@ def keyed_table_ddl(spark, sf_dir):
     name = "reviews_" + path.rsplit("-", 1)[1]
     create_review_table(spark, name, path)
     create_review_table(spark, name, path)
-    _land_twice(spark, sf_dir, path)
-    spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+    _land_twice(spark, sf_dir, path, name)
     counts = spark.table(name).groupBy("source", "batch_id")
     return counts.agg(F.count(F.lit(1)).alias("reviews"))
 

@@ -2,47 +2,47 @@
 
 from pyspark.sql import functions as F
 
+from review_lens.functions import labels as L
 from review_lens.functions.records import from_messages
 from review_lens.operators import models as M
+from review_lens.operators.quality import batch_metrics
 from review_lens.plans import fixtures as P
 from review_lens.plans.model_queries import trained_root
 from review_lens.plans.record_queries import damaged_messages
-from review_lens.schema import ASPECTS, METRICS_SCHEMA, WIRE_SCHEMA
-from review_lens.session import scratch_dir, spread
+from review_lens.schema import (
+    ASPECTS,
+    LANDED_SCHEMA,
+    METRICS_SCHEMA,
+    PREDICTION_SCHEMA,
+    WIRE_SCHEMA,
+)
+from review_lens.session import scratch_dir
 from review_lens.sinks.tables import land_reviews
 from review_lens.sinks.topics import file_outlet, write_record_files
 from review_lens.sources.reviews import read_landed, read_quarantine, read_reviews
 from review_lens.sources.topics import file_topic, read_messages
 from review_lens.streaming.jobs import (
-    start_feed,
+    publish_rows,
     start_ingest,
     start_retraining,
     start_scoring,
-    store_feed,
 )
 
 _ALL = {"availableNow": True}
+_FILES = 24
 
 
 def _feed(spark, messages, base):
-    """Text files to stream, and the topic that takes in one file per core and batch."""
-    cores = spark.sparkContext.defaultParallelism
-    write_record_files(spread(messages, 3 * cores), f"{base}/feed")
-    return file_topic(f"{base}/feed", max_files_per_trigger=cores)
+    """Text files to stream, and a topic that takes in a third of them with each batch."""
+    write_record_files(messages.repartition(_FILES), f"{base}/feed")
+    return file_topic(f"{base}/feed", max_files_per_trigger=_FILES // 3)
 
 
 def stream_feed(spark, sf_dir):
-    """Four ticks of a feed that has three slices: the last tick starts again."""
+    """A table published once, in three slices."""
     base = scratch_dir(spark, "feeding")
     rows = P.reviews(spark, sf_dir).select("doc_id", "comment", "n_star", "label")
-    stored = store_feed(rows, "doc_id")
-    size = -(-rows.count() // 3)
-    for _ in range(4):
-        ticks = spark.readStream.format("rate-micro-batch").option("rowsPerBatch", 1).load()
-        query = start_feed(
-            spark, stored, file_outlet(f"{base}/sent"), f"{base}/state", size, ticks, trigger=_ALL
-        )
-        query.awaitTermination()
+    publish_rows(rows, file_outlet(f"{base}/sent"), "doc_id", size=-(-rows.count() // 3))
     sent = read_messages(spark, f"{base}/sent")
     records = sent.select("batch_id", F.from_json("value", WIRE_SCHEMA).alias("data"))
     return records.groupBy(F.col("batch_id").alias("tick")).agg(
@@ -70,6 +70,28 @@ def stream_ingest_to_table(spark, sf_dir):
     return read_reviews(spark, f"{base}/reviews").select("id", "comment", "n_star", time, "label")
 
 
+def two_topics_one_table(spark, sf_dir):
+    """Two topics with streams of their own land in one table; one of them is run again."""
+    base = scratch_dir(spark, "two-topics")
+    records = P.wire_records(spark, sf_dir)
+    for part in (0, 1):
+        topic = _feed(spark, records.where(F.col("doc_id") % 2 == part), f"{base}/{part}")
+        for _ in range(1 + part):
+            query = start_ingest(
+                spark, topic, f"{base}/reviews", f"{base}/aside", f"{base}/state-{part}", trigger=_ALL
+            )
+            query.awaitTermination()
+    # What a batch landed before it failed is replaced when it is run again.
+    landed = read_landed(spark, f"{base}/reviews")
+    again = landed.where("batch_id = 0").groupBy("run").count().orderBy("run").first().run
+    copy = f"{base}/again"
+    landed.where((F.col("run") == again) & (F.col("batch_id") == 0)).write.parquet(copy)
+    rows = spark.read.schema(LANDED_SCHEMA).parquet(copy)
+    land_reviews(rows, f"{base}/reviews", "train", again, 0)
+    time = F.col("date_time").cast("timestamp_ntz").alias("date_time")
+    return read_landed(spark, f"{base}/reviews").select("id", "comment", "n_star", time, "label")
+
+
 def stream_quarantine(spark, sf_dir):
     """Damaged messages through the ingestion job: stored, or set aside with a reason."""
     base = _ingest(spark, damaged_messages(spark, sf_dir))
@@ -78,13 +100,13 @@ def stream_quarantine(spark, sf_dir):
     return stored.union(aside).groupBy("outcome").agg(F.count(F.lit(1)).alias("messages"))
 
 
-def _score(spark, sf_dir):
-    base = scratch_dir(spark, "scoring")
-    topic = _feed(spark, P.wire_records(spark, sf_dir), base)
+def _score(spark, sf_dir, records=None, base=None, models=None):
+    base = base or scratch_dir(spark, "scoring")
+    records = P.wire_records(spark, sf_dir) if records is None else records
     query = start_scoring(
         spark,
-        topic,
-        trained_root(spark, sf_dir),
+        _feed(spark, records, base),
+        models or trained_root(spark, sf_dir),
         f"{base}/reviews",
         f"{base}/quarantine",
         file_outlet(f"{base}/predictions"),
@@ -96,6 +118,22 @@ def _score(spark, sf_dir):
     return base
 
 
+def score_after_late_models(spark, sf_dir):
+    """Half of the reviews come in before any model is published, half after."""
+    base = scratch_dir(spark, "late-models")
+    records = P.wire_records(spark, sf_dir)
+    models = f"{base}/models"
+    _score(spark, sf_dir, records.where("doc_id % 2 = 0"), base, models)
+    trained = M.load(spark, trained_root(spark, sf_dir))
+    M.publish(spark, trained, models)
+    _score(spark, sf_dir, records.where("doc_id % 2 = 1"), base, models)
+    sent = from_messages(read_messages(spark, f"{base}/predictions"), PREDICTION_SCHEMA)
+    landed = read_landed(spark, f"{base}/reviews")
+    predicted = sent.groupBy("id").agg(F.count(F.lit(1)).alias("predictions"))
+    fed_back = landed.groupBy("id").agg(F.count(F.lit(1)).alias("fed_back"))
+    return predicted.join(fed_back, "id", "full")
+
+
 def stream_score_and_measure(spark, sf_dir):
     """Reviews through the scoring job; what came out of it on each side."""
     base = _score(spark, sf_dir)
@@ -116,10 +154,19 @@ def stream_score_and_measure(spark, sf_dir):
 
 
 def stream_batch_metrics(spark, sf_dir):
-    """The metrics that the scoring job published, batch by batch."""
+    """The published metrics against those worked out anew from the published predictions."""
     base = _score(spark, sf_dir)
-    metrics = from_messages(read_messages(spark, f"{base}/metrics"), METRICS_SCHEMA)
-    return metrics.drop("timestamp")
+    metrics = from_messages(read_messages(spark, f"{base}/metrics"), METRICS_SCHEMA).drop("timestamp")
+    sent = from_messages(read_messages(spark, f"{base}/predictions"), PREDICTION_SCHEMA, "batch_id")
+    coded = L.decoded(sent.select("batch_id", "label", "predicted_label"), suffix="_true")
+    coded = L.decoded(coded, "predicted_label", "_pred")
+    names = [c for c in metrics.columns if c != "batch_id"]
+    anew = batch_metrics(coded).select("batch_id", *(F.col(c).alias(f"{c}_anew") for c in names))
+    same = F.lit(True)
+    for c in names:
+        same = same & F.coalesce(F.abs(F.col(c) - F.col(f"{c}_anew")) < 1e-9, F.lit(False))
+    both = metrics.join(anew, "batch_id", "full")
+    return both.agg(F.sum("total_records").alias("records"), F.bool_and(same).alias("same"))
 
 
 def scheduled_retrain(spark, sf_dir):
@@ -128,7 +175,7 @@ def scheduled_retrain(spark, sf_dir):
     rows = P.reviews(spark, sf_dir).withColumns(
         {c: F.col(c).cast("timestamp") for c in ("date_time", "ingestion_timestamp")}
     )
-    land_reviews(rows, f"{base}/reviews", "train", 0)
+    land_reviews(rows, f"{base}/reviews", "train", "once", 0)
     ticks = spark.readStream.format("rate-micro-batch").option("rowsPerBatch", 1).load()
     query = start_retraining(
         spark, f"{base}/reviews", f"{base}/models", f"{base}/state", ticks, trigger=_ALL
@@ -146,8 +193,7 @@ QUERIES = {
         f"WITH {P.REVIEWS_SQL}, sizes AS (SELECT (count(*) + 2) // 3 AS size FROM reviews), "
         "slices AS (SELECT doc_id // (SELECT size FROM sizes) AS slice, n_star, label "
         "FROM reviews), "
-        "sent AS (SELECT slice AS tick, * FROM slices UNION ALL "
-        "SELECT 3 AS tick, * FROM slices WHERE slice = 0) "
+        "sent AS (SELECT slice AS tick, * FROM slices) "
         "SELECT tick, count(*) AS records, CAST(sum(n_star) AS BIGINT) AS stars, "
         "CAST(sum(length(label)) AS BIGINT) AS label_letters, count(*) AS ids "
         "FROM sent GROUP BY tick",
@@ -169,7 +215,18 @@ QUERIES = {
         "UNION ALL SELECT 'micro f1 unlike accuracy', CAST(0 AS BIGINT) FROM n "
         "UNION ALL SELECT 'published', n FROM n UNION ALL SELECT 'fed back', n FROM n",
     ),
-    "stream_batch_metrics": (stream_batch_metrics, None),
+    "two_topics_one_table": (
+        two_topics_one_table,
+        f"WITH {P.REVIEWS_SQL} SELECT id, comment, n_star, date_time, label FROM reviews",
+    ),
+    "score_after_late_models": (
+        score_after_late_models,
+        f"WITH {P.REVIEWS_SQL} SELECT id, CAST(1 AS BIGINT) AS predictions, CAST(1 AS BIGINT) AS fed_back FROM reviews",
+    ),
+    "stream_batch_metrics": (
+        stream_batch_metrics,
+        f"WITH {P.REVIEWS_SQL} SELECT count(*) AS records, true AS same FROM reviews",
+    ),
     "scheduled_retrain": (
         scheduled_retrain,
         f"WITH {P.MATRIX_SQL} SELECT CAST(0 AS BIGINT) AS version, count(*) AS training_rows, "

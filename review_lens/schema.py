@@ -27,7 +27,7 @@ CODES = (0, *SENTIMENT_NAMES)
 # Default slice of a feed and default cap of a trigger, in records.
 SLICE_ROWS = 1024
 
-# One JSON record of a review topic. Never inferred; every field nullable.
+# One JSON record of a review topic. Never inferred; every field nullable.
 WIRE_SCHEMA = T.StructType(
     [
         T.StructField("id", T.StringType()),
@@ -38,9 +38,19 @@ WIRE_SCHEMA = T.StructType(
     ]
 )
 
-# Columns of a stored review; `source` and `batch_id` are its partitions.
-REVIEW_COLUMNS = ("id", "comment", "n_star", "date_time", "label", "ingestion_timestamp")
-LANDED_SCHEMA = T.StructType(
+# Partitions of what micro-batches land: where it came from, the day it came in, the
+# stream (by its checkpoint) and the number of its micro-batch.
+LANDING_PARTITIONS = T.StructType(
+    [
+        T.StructField("source", T.StringType()),
+        T.StructField("day", T.DateType()),
+        T.StructField("run", T.StringType()),
+        T.StructField("batch_id", T.LongType()),
+    ]
+)
+
+# A stored review.
+REVIEW_SCHEMA = T.StructType(
     [
         T.StructField("id", T.StringType()),
         T.StructField("comment", T.StringType()),
@@ -48,21 +58,23 @@ LANDED_SCHEMA = T.StructType(
         T.StructField("date_time", T.TimestampType()),
         T.StructField("label", T.StringType()),
         T.StructField("ingestion_timestamp", T.TimestampType()),
-        T.StructField("source", T.StringType()),
-        T.StructField("batch_id", T.LongType()),
     ]
 )
+REVIEW_COLUMNS = tuple(REVIEW_SCHEMA.fieldNames())
+LANDED_SCHEMA = T.StructType(REVIEW_SCHEMA.fields + LANDING_PARTITIONS.fields)
 
 QUARANTINE_SCHEMA = T.StructType(
     [
         T.StructField("value", T.StringType()),
         T.StructField("reason", T.StringType()),
         T.StructField("ingestion_timestamp", T.TimestampType()),
-        T.StructField("source", T.StringType()),
-        T.StructField("batch_id", T.LongType()),
+        *LANDING_PARTITIONS.fields,
     ]
 )
 
+# Reviews that came in before any model was published, until one scores them.
+WAITING_SCHEMA = LANDED_SCHEMA
+
 # A delimited review file: header row, fields in this order.
 CSV_SCHEMA = T.StructType(
     [
@@ -73,15 +85,7 @@ CSV_SCHEMA = T.StructType(
     ]
 )
 
-PREDICTION_COLUMNS = (
-    "id",
-    "comment",
-    "n_star",
-    "date_time",
-    "label",
-    "predicted_label",
-    "processing_timestamp",
-)
+# The fields of a prediction message, in its order.
 PREDICTION_SCHEMA = T.StructType(
     [
         T.StructField("id", T.StringType()),
@@ -94,7 +98,9 @@ PREDICTION_SCHEMA = T.StructType(
     ]
 )
 
-# Fields of a metrics message, in the (alphabetical) order of the message.
+PREDICTION_COLUMNS = tuple(PREDICTION_SCHEMA.fieldNames())
+
+# The fields of a metrics message, in its (alphabetical) order.
 METRICS_SCHEMA = T.StructType(
     [
         T.StructField("accuracy_per_label", T.DoubleType()),
@@ -112,6 +118,7 @@ MESSAGE_SCHEMA = T.StructType(
     [
         T.StructField("key", T.StringType()),
         T.StructField("value", T.StringType()),
+        T.StructField("run", T.StringType()),
         T.StructField("batch_id", T.LongType()),
     ]
 )
@@ -120,6 +127,7 @@ MESSAGE_SCHEMA = T.StructType(
 PUBLISHED_SCHEMA = T.StructType(
     [
         T.StructField("version", T.LongType()),
+        T.StructField("folder", T.StringType()),
         T.StructField("training_rows", T.LongType()),
         T.StructField("published_at", T.TimestampType()),
     ]

@@ -35,12 +35,7 @@ def scratch_dir(spark, purpose):
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
-def spread(rows, at_least=None):
-    """Deal out a scan that has fewer partitions than the cluster has cores.
-
-    A small table in one file would keep a single core busy. A large scan has
-    partitions enough and passes through untouched, without a shuffle. Only for
-    plain scans: counting the partitions of a shuffled plan would run it.
-    """
-    wanted = at_least or rows.sparkSession.sparkContext.defaultParallelism
-    return rows if rows.rdd.getNumPartitions() >= wanted else rows.repartition(wanted)
+def remove(spark, path):
+    """Delete a file or folder in whatever store it is; nothing happens if there is none."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

@@ -1,47 +1,98 @@
 """The landed review table, its side table, and its definition."""
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from review_lens.schema import LANDED_SCHEMA, REVIEW_COLUMNS
-from review_lens.sources.reviews import read_reviews
+from review_lens.schema import LANDED_SCHEMA, LANDING_PARTITIONS, REVIEW_COLUMNS
+from review_lens.session import remove
+from review_lens.sources.reviews import read_landed, without_old_versions
+
+PARTITIONS = LANDING_PARTITIONS.fieldNames()
 
 
-def land(rows: DataFrame, path: str, source: str, batch_id: int) -> None:
-    """Write one micro-batch as its own partition.
+def land(rows: DataFrame, path: str, source: str, run: str, batch_id: int, name=None) -> None:
+    """Write one micro-batch of a stream as partitions of its own, by day of arrival.
 
-    A batch that is run again after a failure replaces the partition it wrote
-    before, so nothing is lost and nothing doubled.
+    `run` names the stream for as long as its checkpoint lives. A batch that is run
+    again has the same time of arrival, as that is part of the checkpoint, and so
+    replaces the partitions it wrote before: nothing is lost and nothing doubled,
+    whatever other streams land in the table. `name` is the catalog's name of it.
     """
     tagged = rows.withColumns(
-        {"source": F.lit(source), "batch_id": F.lit(batch_id).cast("bigint")}
+        {
+            "source": F.lit(source),
+            "day": F.to_date("ingestion_timestamp"),
+            "run": F.lit(run),
+            "batch_id": F.lit(batch_id).cast("bigint"),
+        }
     )
     (
         tagged.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("source", "batch_id")
+        .partitionBy(*PARTITIONS)
         .parquet(path)
     )
+    if name:
+        # One day per micro-batch, but for reviews that bring their own time.
+        for (day,) in tagged.select("day").distinct().collect():
+            value = "NULL" if day is None else f"DATE'{day}'"
+            spec = f"source = '{source}', day = {value}, run = '{run}', batch_id = {batch_id}"
+            rows.sparkSession.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS PARTITION ({spec})")
 
 
-def land_reviews(reviews: DataFrame, path: str, source: str, batch_id: int) -> None:
-    land(reviews.select(*REVIEW_COLUMNS), path, source, batch_id)
+def land_reviews(reviews: DataFrame, path: str, source: str, run: str, batch_id: int, name=None):
+    land(reviews.select(*REVIEW_COLUMNS), path, source, run, batch_id, name)
 
 
-def compact(spark: SparkSession, path: str, target: str) -> None:
-    """Rewrite the table with one row per id, as batch 0 of source `compacted`.
+def compact(spark: SparkSession, path: str, name=None) -> None:
+    """Merge what has landed so far into few large files, one row per id, in the same table.
 
-    A separate job for a quiet hour: many small batch partitions become few
-    large files. The caller points its readers at `target` once this returns.
+    The merged rows are written as a run of source `compacted`; then exactly the files
+    that were read are deleted. Batches that land meanwhile are neither read nor
+    deleted. Between the two steps readers see a review twice, and the keyed view
+    keeps one of them; so does it after a failure there.
     """
-    newest = read_reviews(spark, path).select(*REVIEW_COLUMNS)
-    land_reviews(newest, target, "compacted", 0)
+    landed = read_landed(spark, path)
+    read = landed.inputFiles()
+    if not read:
+        return
+    fixed = spark.read.schema(LANDED_SCHEMA).option("basePath", path).parquet(*read)
+    run = uuid.uuid4().hex
+    # Few files for each day, several where a day is large.
+    newest = without_old_versions(fixed).hint("rebalance", "day")
+    land_reviews(newest, path, "compacted", run, 0, name)
+    for file in read:
+        remove(spark, file)
+    remove_empty(spark, path, {file.rsplit("/", 1)[0] for file in read})
+    if name:
+        spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")
+
+
+def remove_empty(spark: SparkSession, root: str, folders: set[str]) -> None:
+    """Delete partition folders that hold no rows any more, and those above them."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    fs = hadoop(root).getFileSystem(spark._jsc.hadoopConfiguration())
+    top = hadoop(root).getName()
+    for folder in map(hadoop, folders):
+        while folder.getName() != top and fs.exists(folder):
+            if any(not status.getPath().getName().startswith(".") for status in fs.listStatus(folder)):
+                break
+            fs.delete(folder, True)
+            folder = folder.getParent()
 
 
 def create_review_table(spark: SparkSession, name: str, location: str) -> None:
-    """Define the landed table in the catalog, over the folder of its partitions."""
+    """Define the landed table in the catalog, with all that has landed there so far.
+
+    Jobs that are given its name add the partitions that they land.
+    """
     columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in LANDED_SCHEMA.fields)
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet "
-        f"PARTITIONED BY (source, batch_id) LOCATION '{location}'"
+        f"PARTITIONED BY ({', '.join(PARTITIONS)}) LOCATION '{location}'"
     )
+    folder = spark._jvm.org.apache.hadoop.fs.Path(location)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(folder)
+    spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")

@@ -25,20 +25,24 @@ def file_outlet(path: str) -> Outlet:
     return Outlet("parquet", {"path": path})
 
 
-def publish(messages: DataFrame, outlet: Outlet, batch_id: int) -> None:
-    """Write (key, value) messages of one micro-batch.
+def publish(messages: DataFrame, outlet: Outlet, run: str, batch_id: int | str) -> None:
+    """Write (key, value) messages of one micro-batch of a stream.
 
-    Files are replaced when the batch is run again. Kafka keeps both copies;
-    the readers in `operators.views` drop repeats.
+    `batch_id` is the batch's number, or the column that has it.
+
+    Files of the batch are replaced when it is run again; a stream that follows the
+    folder reads the new files as well. Kafka keeps both copies. So a reader may see
+    a message twice: the views in `operators.views` keep the newest of each.
     """
     if outlet.format == "kafka":
         messages.select("key", "value").write.format("kafka").options(**outlet.options).save()
         return
+    number = F.col(batch_id) if isinstance(batch_id, str) else F.lit(batch_id)
     (
-        messages.select("key", "value", F.lit(batch_id).cast("bigint").alias("batch_id"))
+        messages.select("key", "value", F.lit(run).alias("run"), number.cast("bigint").alias("batch_id"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("batch_id")
+        .partitionBy("run", "batch_id")
         .parquet(outlet.options["path"])
     )
 

@@ -7,20 +7,25 @@ from review_lens.operators.keyed import latest_per_key
 from review_lens.schema import CSV_SCHEMA, LANDED_SCHEMA, QUARANTINE_SCHEMA
 from review_lens.sources.files import read_or_empty
 
-# Quotes are doubled inside quoted fields, and comments may hold line breaks.
+# Quotes are doubled inside quoted fields.
 CSV_FORMAT = {
     "header": "true",
     "quote": '"',
     "escape": '"',
-    "multiLine": "true",
     "ignoreLeadingWhiteSpace": "false",
     "ignoreTrailingWhiteSpace": "false",
 }
 
 
-def read_review_csv(spark: SparkSession, path: str, schema=CSV_SCHEMA) -> DataFrame:
-    """Delimited review files with a header; the types are given, never inferred."""
-    return spark.read.schema(schema).options(**CSV_FORMAT).csv(path)
+def read_review_csv(
+    spark: SparkSession, path: str, schema=CSV_SCHEMA, multi_line=True
+) -> DataFrame:
+    """Delimited review files with a header; the types are given, never inferred.
+
+    With `multi_line` comments may hold line breaks, and a file is read by one task.
+    Without it, large files are split among tasks.
+    """
+    return spark.read.schema(schema).options(**CSV_FORMAT, multiLine=multi_line).csv(path)
 
 
 def in_file_order(rows: DataFrame) -> DataFrame:
@@ -37,22 +42,25 @@ def in_file_order(rows: DataFrame) -> DataFrame:
 
 
 def read_landed(spark: SparkSession, path: str) -> DataFrame:
-    """Every landed version of every review; prunes by `source` and `batch_id`."""
+    """Every landed version of every review; prunes by its partitions."""
     return read_or_empty(spark, path, LANDED_SCHEMA)
 
 
 def read_reviews(spark: SparkSession, path: str) -> DataFrame:
-    """The keyed view of the landed table: the newest version of each id.
+    """The keyed view of the landed table: the newest version of each id."""
+    return without_old_versions(read_landed(spark, path))
+
+
+def without_old_versions(landed: DataFrame) -> DataFrame:
+    """The newest version of each id.
 
-    Versions that arrived at the same instant rank by batch, then by content,
-    so that every reader sees the same one.
+    Versions that arrived at the same instant rank by content, so that every
+    reader sees the same one, before and after a compaction.
     """
     return latest_per_key(
-        read_landed(spark, path),
+        landed,
         "id",
         "ingestion_timestamp",
-        "batch_id",
-        "source",
         F.col("date_time").desc_nulls_last(),
         F.col("label").desc_nulls_last(),
         F.col("comment").desc_nulls_last(),

@@ -59,6 +59,51 @@ def read_messages(spark: SparkSession, path: str) -> DataFrame:
     return read_or_empty(spark, path, MESSAGE_SCHEMA)
 
 
+def kafka_history(servers: str, name: str) -> dict:
+    """Options to read all messages of a Kafka topic in one batch."""
+    return {
+        "kafka.bootstrap.servers": servers,
+        "subscribe": name,
+        "startingOffsets": "earliest",
+        "endingOffsets": "latest",
+    }
+
+
+def read_kafka(spark: SparkSession, servers: str, name: str) -> DataFrame:
+    """All messages of a Kafka topic (key, value); needs Spark's Kafka package."""
+    read = spark.read.format("kafka").options(**kafka_history(servers, name)).load()
+    return read.select(F.col("key").cast("string"), F.col("value").cast("string"))
+
+
+def newest_messages(messages: DataFrame, stamp, enough) -> DataFrame:
+    """The newest batches of a topic that is kept as files, as far back as `enough` asks for.
+
+    Batches of one stream follow each other in time. So the last 1, 2, 4, ... batches
+    of each stream are read, until the count that `enough` gets from those as new
+    as every batch left out is reached. `stamp` is the time in a message, and
+    `enough` takes the messages and tells whether they suffice.
+    """
+    batches: dict[str, set[int]] = {}
+    for file in messages.inputFiles():
+        parts = dict(p.split("=", 1) for p in file.split("/") if "=" in p)
+        batches.setdefault(parts["run"], set()).add(int(parts["batch_id"]))
+    last = 1
+    while any(len(numbers) > last for numbers in batches.values()):
+        wanted, edges = F.lit(False), F.lit(False)
+        for run, numbers in batches.items():
+            newest = sorted(numbers)[-last:]
+            own = F.col("run") == run
+            wanted = wanted | (own & (F.col("batch_id") >= newest[0]))
+            if len(numbers) > last:
+                edges = edges | (own & (F.col("batch_id") == newest[0]))
+        read = messages.where(wanted)
+        oldest = read.where(edges).agg(F.max(stamp)).first()[0]
+        if oldest is not None and enough(read.where(F.coalesce(stamp > F.lit(oldest), F.lit(False)))):
+            return read
+        last *= 2
+    return messages
+
+
 def clock(spark: SparkSession) -> DataFrame:
     """A stream that only serves to fire a trigger; its rows mean nothing."""
     return spark.readStream.format("rate").option("rowsPerSecond", 1).load()

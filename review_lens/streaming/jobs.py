@@ -1,6 +1,8 @@
 """The continuous jobs, wired on micro-batches."""
 
 import logging
+import uuid
+from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -10,60 +12,63 @@ from review_lens.functions import labels as L
 from review_lens.functions.labels import quoted
 from review_lens.functions.records import accepted, as_messages, parse_records, rejected
 from review_lens.operators import models as M
-from review_lens.operators.matrix import aspect_matrix
+from review_lens.operators.matrix import landed_matrix
 from review_lens.operators.quality import metrics_messages, one_batch_metrics
-from review_lens.operators.slices import feed_records, number_rows
-from review_lens.schema import ASPECTS, PREDICTION_COLUMNS, SLICE_ROWS, WIRE_SCHEMA
-from review_lens.session import scratch_dir
-from review_lens.sinks.tables import land, land_reviews
+from review_lens.operators.slices import feed_records, number_rows, slice_rows
+from review_lens.schema import (
+    ASPECTS,
+    PREDICTION_COLUMNS,
+    REVIEW_COLUMNS,
+    SLICE_ROWS,
+    WAITING_SCHEMA,
+    WIRE_SCHEMA,
+)
+from review_lens.session import remove, scratch_dir
+from review_lens.sinks.tables import land, land_reviews, remove_empty
 from review_lens.sinks.topics import Outlet, publish
-from review_lens.sources.reviews import read_reviews
+from review_lens.sources.files import read_or_empty
+from review_lens.sources.reviews import read_landed
 from review_lens.sources.topics import Topic, clock, stream_topic
 
 logger = logging.getLogger(__name__)
 
 
 def _start(stream: DataFrame, write, checkpoint: str, trigger: dict):
-    writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
-    return writer.trigger(**trigger).start()
+    """Start a stream; `write` takes a micro-batch, the stream's lasting id and the batch's number."""
 
+    def numbered(batch: DataFrame, batch_id: int):
+        run = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        if not run:
+            raise RuntimeError("a micro-batch without the id of its stream")
+        write(batch, run, batch_id)
 
-def store_feed(rows: DataFrame, *order: str) -> str:
-    """Write a table with its row numbers, for a feed to cut slices from."""
-    path = scratch_dir(rows.sparkSession, "feed")
-    number_rows(rows, *order).write.parquet(path)
-    return path
+    writer = stream.writeStream.foreachBatch(numbered).option("checkpointLocation", checkpoint)
+    return writer.trigger(**trigger).start()
 
 
-def start_feed(
-    spark: SparkSession,
-    stored: str,
-    outlet: Outlet,
-    checkpoint: str,
-    size=SLICE_ROWS,
-    ticks: DataFrame | None = None,
-    trigger=None,
-):
-    """Send the next `size` rows of a stored table on every tick, over and over.
+def publish_rows(rows: DataFrame, outlet: Outlet, *order: str, size=SLICE_ROWS) -> None:
+    """Publish a table once, as records in slices of `size` rows of the given order.
 
-    The number of the micro-batch is the cursor: it lives in the checkpoint and
-    wraps round at the last slice. A range of row numbers reaches the scan as a
-    filter, so a tick reads the row groups of its slice only.
+    A folder topic gets one partition for each slice, so that a stream can take one
+    at a time; the order of what Kafka gets is up to its partitions.
     """
-    rows = spark.read.parquet(stored)
-    total = rows.agg(F.coalesce(F.max("row_index") + 1, F.lit(0))).first()[0]
-    slices = -(-total // size)
-
-    def tick(_, batch_id: int):
-        if slices == 0:
-            return
-        first = (batch_id % slices) * size
-        part = rows.where((F.col("row_index") >= first) & (F.col("row_index") < first + size))
-        records = feed_records(part).select(*WIRE_SCHEMA.fieldNames())
-        publish(as_messages(records), outlet, batch_id)
+    sent = slice_rows(number_rows(rows, *order), size=size)
+    # Written once, as the records' ids are random.
+    path = scratch_dir(rows.sparkSession, "feed")
+    try:
+        feed_records(sent).write.parquet(path)
+        records = rows.sparkSession.read.parquet(path)
+        publish_slices(records, outlet)
+    finally:
+        remove(rows.sparkSession, path)
 
-    ticks = clock(spark) if ticks is None else ticks
-    return _start(ticks, tick, checkpoint, trigger or {"processingTime": "20 seconds"})
+
+def publish_slices(records: DataFrame, outlet: Outlet) -> None:
+    """Publish records that have the number of their slice, all in one job."""
+    fields = [F.col(name) for name in WIRE_SCHEMA.fieldNames()]
+    value = F.to_json(F.struct(*fields)).alias("value")
+    key = F.lit(None).cast("string").alias("key")
+    publish(records.select(key, value, "slice"), outlet, uuid.uuid4().hex, "slice")
 
 
 def start_ingest(
@@ -74,14 +79,18 @@ def start_ingest(
     checkpoint: str,
     source="train",
     trigger=None,
+    name=None,
 ):
-    """Land a review topic; every batch is one partition of the table."""
+    """Land a review topic; every batch has partitions of its own in the table.
 
-    def write(batch: DataFrame, batch_id: int):
+    `name` is the table's name in the catalog, if it is defined there.
+    """
+
+    def write(batch: DataFrame, run: str, batch_id: int):
         batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            land_reviews(accepted(batch), table, source, batch_id)
-            land(rejected(batch), quarantine, source, batch_id)
+            land_reviews(accepted(batch), table, source, run, batch_id, name)
+            land(rejected(batch), quarantine, source, run, batch_id)
         finally:
             batch.unpersist()
 
@@ -89,15 +98,16 @@ def start_ingest(
     return _start(parsed, write, checkpoint, trigger or {"processingTime": "20 seconds"})
 
 
-def retrain(spark: SparkSession, table: str, model_root: str, **fit_options):
+def retrain(spark: SparkSession, table: str, model_root: str, keep=M.KEPT, **fit_options):
     """One full retraining from the landed table; publishes unless it is empty."""
-    models = M.train(aspect_matrix(read_reviews(spark, table)), **fit_options)
+    models = M.train(landed_matrix(read_landed(spark, table)), **fit_options)
     if models is None:
         logger.warning("no training rows in %s; nothing is published", table)
         return None
     newest = M.published_version(spark, model_root)
     models.version = 0 if newest is None else newest + 1
     M.publish(spark, models, model_root)
+    M.retire(spark, model_root, keep)
     return models
 
 
@@ -112,7 +122,7 @@ def start_retraining(
 ):
     """Retrain on every trigger of a clock; whatever `ticks` carries is not read."""
 
-    def tick(_, batch_id: int):
+    def tick(_, run: str, batch_id: int):
         retrain(spark, table, model_root, **fit_options)
 
     ticks = clock(spark) if ticks is None else ticks
@@ -140,6 +150,38 @@ def quality(scored: DataFrame, batch_id: int) -> DataFrame:
     return one_batch_metrics(L.decoded(coded, suffix="_true"), batch_id)
 
 
+@dataclass(frozen=True)
+class Scoring:
+    """Where a scoring job publishes, and where reviews wait for the first models."""
+
+    predictions: Outlet
+    metrics: Outlet
+    waiting: str
+
+    def publish(self, models, reviews: DataFrame, run: str, batch_id: int) -> None:
+        """Score the reviews of one micro-batch, publish predictions and metrics."""
+        scored = M.score(models, reviews).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            publish(as_messages(predictions(scored), key="id"), self.predictions, run, batch_id)
+            metrics = as_messages(metrics_messages(quality(scored, batch_id)))
+            publish(metrics.withColumn("key", F.lit(run)), self.metrics, run, batch_id)
+        finally:
+            scored.unpersist()
+
+    def catch_up(self, spark: SparkSession, models) -> None:
+        """Score the micro-batches that have waited, each under its own number."""
+        waiting = read_or_empty(spark, self.waiting, WAITING_SCHEMA)
+        for run, batch_id in waiting.select("run", "batch_id").distinct().collect():
+            own = (F.col("run") == run) & (F.col("batch_id") == batch_id)
+            held = waiting.where(own).select(*REVIEW_COLUMNS)
+            files = held.inputFiles()
+            mine = [f for f in files if f"/run={run}/batch_id={batch_id}/" in f]
+            self.publish(models, held.withColumnRenamed("ingestion_timestamp", "processing_timestamp"), run, batch_id)
+            for file in mine:
+                remove(spark, file)
+            remove_empty(spark, self.waiting, {file.rsplit("/", 1)[0] for file in mine})
+
+
 def start_scoring(
     spark: SparkSession,
     topic: Topic,
@@ -150,32 +192,41 @@ def start_scoring(
     metrics_outlet: Outlet,
     checkpoint: str,
     trigger=None,
+    waiting=None,
+    name=None,
 ):
     """Score a review topic, publish, feed back and measure, batch by batch.
 
     Every batch asks for the published models and loads them only when they are
-    newer than those at hand. Without any published model a batch is left
-    unscored. All outputs are written per batch id, so a batch that fails half
-    way is simply run again.
+    newer than those at hand. Reviews are fed back and bad records set aside in
+    any case. Without any published model the reviews wait in a folder (`waiting`,
+    beside the checkpoint by default); the first batch, or start of the job, that
+    finds models scores them under their own batch numbers. All outputs are written
+    per stream and batch, so a batch that fails half way is simply run again.
     """
     held = {"models": None}
+    scoring = Scoring(prediction_outlet, metrics_outlet, waiting or f"{checkpoint.rstrip('/')}-waiting")
 
-    def write(batch: DataFrame, batch_id: int):
-        held["models"] = M.load(spark, model_root, held["models"])
-        if held["models"] is None:
-            logger.warning("batch %d: no published model yet, left unscored", batch_id)
-            return
+    def write(batch: DataFrame, run: str, batch_id: int):
+        before = held["models"]
+        held["models"] = M.load(spark, model_root, before)
         batch.persist(StorageLevel.MEMORY_AND_DISK)
-        scored = M.score(held["models"], accepted(batch)).persist(StorageLevel.MEMORY_AND_DISK)
+        reviews = accepted(batch)
         try:
-            publish(as_messages(predictions(scored), key="id"), prediction_outlet, batch_id)
-            land_reviews(feedback(scored), table, "test", batch_id)
-            land(aside(batch), quarantine, "test", batch_id)
-            metrics = metrics_messages(quality(scored, batch_id))
-            publish(as_messages(metrics), metrics_outlet, batch_id)
+            land_reviews(feedback(reviews), table, "test", run, batch_id, name)
+            land(aside(batch), quarantine, "test", run, batch_id)
+            if held["models"] is None:
+                logger.warning("batch %d: no published model yet, its reviews wait", batch_id)
+                land_reviews(feedback(reviews), scoring.waiting, "test", run, batch_id)
+                return
+            if before is None:
+                scoring.catch_up(spark, held["models"])
+            scoring.publish(held["models"], reviews, run, batch_id)
         finally:
-            scored.unpersist()
             batch.unpersist()
 
+    models = M.load(spark, model_root)
+    if models is not None:
+        scoring.catch_up(spark, models)
     parsed = parse_records(stream_topic(spark, topic), stamp="processing_timestamp")
     return _start(parsed, write, checkpoint, trigger or {"processingTime": "60 seconds"})

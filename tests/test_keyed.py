@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from review_lens.operators.keyed import latest_per_key
 from review_lens.operators.slices import feed_records, number_rows, replay, slice_rows
+from review_lens.sinks import tables
 from review_lens.sinks.tables import compact, create_review_table, land_reviews
 from review_lens.sources.reviews import read_landed, read_reviews
 
@@ -21,8 +22,8 @@ def review(i, comment="c", at=0, n_star=1):
     return (i, comment, n_star, START, "{OTHERS};", START + dt.timedelta(seconds=at))
 
 
-def land(spark, path, rows, source="train", batch=0):
-    land_reviews(spark.createDataFrame(rows, SCHEMA), path, source, batch)
+def land(spark, path, rows, source="train", batch=0, run="stream", name=None):
+    land_reviews(spark.createDataFrame(rows, SCHEMA), path, source, run, batch, name)
 
 
 def test_latest_per_key_with_a_hot_key(spark):
@@ -62,27 +63,62 @@ def test_the_newest_version_wins(spark, tmp_path):
     assert {r.id: r.comment for r in read_reviews(spark, path).collect()} == {"1": "new", "2": "only"}
 
 
-def test_compaction_keeps_the_keyed_view(spark, tmp_path):
-    path, target = str(tmp_path / "t"), str(tmp_path / "c")
+def test_streams_do_not_replace_each_other(spark, tmp_path):
+    path = str(tmp_path / "t")
+    land(spark, path, [review(str(i)) for i in range(10)], run="first")
+    land(spark, path, [review(str(i)) for i in range(10, 13)], run="second")
+    assert read_landed(spark, path).count() == 13
+    land(spark, path, [review(str(i)) for i in range(10, 13)], run="second")
+    assert read_landed(spark, path).count() == 13
+
+
+def test_compaction_in_place_keeps_the_keyed_view(spark, tmp_path):
+    path = str(tmp_path / "t")
     land(spark, path, [review(str(i), at=i) for i in range(20)])
-    land(spark, path, [review(str(i), "again", at=50) for i in range(0, 20, 3)], batch=1)
-    compact(spark, path, target)
+    land(spark, path, [review(str(i), "again", at=90_000) for i in range(0, 20, 3)], batch=1)
     columns = SCHEMA.replace(",", "").split()[::2]
-    before = read_reviews(spark, path).select(*columns)
-    after = read_landed(spark, target).select(*columns)
-    assert sorted(before.collect()) == sorted(after.collect())
+    before = sorted(read_reviews(spark, path).select(*columns).collect())
+    compact(spark, path)
+    landed = read_landed(spark, path)
+    assert sorted(landed.select(*columns).collect()) == before
+    assert {r.source for r in landed.select("source").distinct().collect()} == {"compacted"}
+    assert not (tmp_path / "t" / "source=train").exists()
+    assert {str(r.day) for r in landed.select("day").distinct().collect()} == {"2024-01-01", "2024-01-02"}
+    compact(spark, path)
+    assert sorted(read_reviews(spark, path).select(*columns).collect()) == before
+    compact(spark, str(tmp_path / "nothing"))
+
+
+def test_a_batch_that_lands_during_compaction_stays(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    land(spark, path, [review("1"), review("2")])
+    real = tables.land_reviews
+
+    def meanwhile(rows, *places):
+        land(spark, path, [review("2", "newer", at=5), review("3")], batch=1)
+        real(rows, *places)
+
+    monkeypatch.setattr(tables, "land_reviews", meanwhile)
+    compact(spark, path)
+    assert {r.id: r.comment for r in read_reviews(spark, path).collect()} == {"1": "c", "2": "newer", "3": "c"}
 
 
-def test_table_definition_is_repeatable_and_prunes(spark, tmp_path, plan_of):
+def test_a_defined_table_shows_what_lands(spark, tmp_path, plan_of):
     path = str(tmp_path / "t")
+    land(spark, path, [review("0")], batch=7)
     create_review_table(spark, "defined_reviews", path)
     create_review_table(spark, "defined_reviews", path)
-    land(spark, path, [review("1")])
-    land(spark, path, [review("2")], source="test")
-    spark.sql("ALTER TABLE defined_reviews RECOVER PARTITIONS")
-    assert [r.id for r in spark.sql("SELECT id FROM defined_reviews WHERE source = 'test'").collect()] == ["2"]
+    assert spark.table("defined_reviews").count() == 1
+    land(spark, path, [review("1")], name="defined_reviews")
+    land(spark, path, [review("2"), review("3", at=90_000)], source="test", name="defined_reviews")
+    assert spark.table("defined_reviews").count() == 4
+    found = spark.sql("SELECT id FROM defined_reviews WHERE source = 'test' ORDER BY id").collect()
+    assert [r.id for r in found] == ["2", "3"]
     plan = plan_of(read_landed(spark, path).where("source = 'test' AND batch_id = 0").select("id"))
     assert "PartitionFilters: [isnotnull(source" in plan and "PushedFilters: []" in plan
+    compact(spark, path, "defined_reviews")
+    spark.catalog.refreshTable("defined_reviews")
+    assert spark.table("defined_reviews").count() == 4
 
 
 def test_row_numbers_follow_the_order_over_many_partitions(spark):

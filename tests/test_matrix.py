@@ -1,6 +1,7 @@
 """The training matrix against a brute-force merge."""
 
 import datetime as dt
+import hashlib
 import random
 
 from review_lens.operators.matrix import (
@@ -17,18 +18,20 @@ START = dt.datetime(2024, 1, 1)
 
 
 def merged(rows):
-    """Per comment and aspect: the newest mention, the higher code on a tie."""
+    """Per comment and aspect: the newest mention; on a tie the id's MD5 decides."""
     best = {}
-    for _, comment, label, at in rows:
+    for id_, comment, label, at in rows:
+        tie = int(hashlib.md5(id_.encode()).hexdigest()[:3], 16) % 512
         parts = read_parts(label)
         if comment is None or not parts:
             continue
         codes = dict(zip(ASPECTS, read_vector(label), strict=True))
         mine = best.setdefault(comment, {})
         for aspect in {a for a, _ in parts} & set(ASPECTS):
-            key = (codes[aspect] if aspect == OTHERS else at or dt.datetime.min, codes[aspect])
+            at_ = codes[aspect] if aspect == OTHERS else at or dt.datetime.min
+            key = (at_, 0 if aspect == OTHERS else tie, codes[aspect])
             mine[aspect] = max(mine.get(aspect, key), key)
-    return {c: [m.get(a, (0, 0))[1] for a in ASPECTS] for c, m in best.items()}
+    return {c: [m.get(a, (0, 0, 0))[-1] for a in ASPECTS] for c, m in best.items()}
 
 
 def random_rows(n, seed):
@@ -89,7 +92,7 @@ def test_matrix_combines_before_its_one_shuffle(spark, tmp_path, plan_of):
     assert plan.count("HashAggregate") == 2
     assert "SortAggregate" not in plan and "Python" not in plan
     # Only the columns that matter are read, and the scan drops useless rows.
-    assert "ReadSchema: struct<comment:string,label:string,ingestion_timestamp:timestamp>" in plan
+    assert "ReadSchema: struct<id:string,comment:string,label:string,ingestion_timestamp:timestamp>" in plan
     assert "StringContains(label,{)" in plan
 
 
@@ -106,3 +109,17 @@ def test_fill_absent(spark):
     row = ", ".join(f"cast({'NULL' if i % 2 else i} AS INT) AS `{a}`" for i, a in enumerate(ASPECTS))
     filled = fill_absent(spark.sql(f"SELECT 'c' AS comment, {row}"), "comment").first()
     assert [filled[a] for a in ASPECTS] == [0 if i % 2 else i for i in range(11)]
+
+
+def test_no_sentiment_has_an_advantage_in_a_tie(spark, plan_of):
+    """Three conflicting labels for each comment in one batch: each wins about as often."""
+    rows = spark.range(900).selectExpr(
+        "concat('review-', id) AS id", "concat('c', id div 3) AS comment",
+        "concat('{BATTERY#', element_at(array('Negative', 'Neutral', 'Positive'), cast(id % 3 AS INT) + 1), '};') AS label",
+        "timestamp'2024-01-01 00:00:00' AS ingestion_timestamp",
+    )
+    matrix = aspect_matrix(rows)
+    won = {r.BATTERY: r["count"] for r in matrix.groupBy("BATTERY").count().collect()}
+    assert sum(won.values()) == 300 and all(70 <= won[c] <= 130 for c in (1, 2, 3))
+    plan = plan_of(matrix)
+    assert plan.count("HashAggregate") == 2 and "SortAggregate" not in plan

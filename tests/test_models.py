@@ -150,7 +150,7 @@ def test_whole_label_variant_answers_with_labels(spark):
         [(t, "{OTHERS};" if "bad" in t else "{PRICE#Positive};") for t in TEXTS * 2],
         "comment STRING, processed_label STRING",
     )
-    model = M.train_whole_label(rows, max_iter=20)
+    model = M.train_whole_label(rows, ["{OTHERS;}", "{OTHERS};", "{PRICE#Positive};"], max_iter=20)
     unseen = spark.createDataFrame([("x", "{SCREEN#Neutral};")], rows.schema)
     assert model.transform(rows.union(unseen)).count() == rows.count()
     answers = M.for_unlabelled(model).transform(rows.select("comment"))

@@ -124,3 +124,22 @@ def test_recent_predictions_are_the_newest_fifty(spark, plan_of):
     assert recent.columns == list(V.PREDICTION_VIEW)
     assert sorted(r.n_star for r in recent.collect()) == list(range(150, 200))
     assert "TakeOrderedAndProject" in plan_of(recent)
+
+
+def test_a_batch_measured_again_counts_once(spark):
+    rows = metrics_frame(spark, [(0, "2024-01-01T00:00"), (0, "2024-01-01T00:05"), (1, "2024-01-01T00:01")])
+    named = rows.withColumn("key", F.lit("one")).union(rows.where("batch_id = 1").withColumn("key", F.lit("two")))
+    found = V.without_repeats(named).collect()
+    assert sorted((r.batch_id, r.timestamp) for r in found) == [
+        (0, "2024-01-01T00:05"), (1, "2024-01-01T00:01"), (1, "2024-01-01T00:01")
+    ]
+
+
+def test_a_prediction_delivered_twice_is_shown_once(spark):
+    frame = spark.range(60).selectExpr(
+        "cast(id AS STRING) AS id", "'c' AS comment", "cast(id AS INT) AS n_star", "'' AS label",
+        "'' AS predicted_label", "timestamp_seconds(id) AS processing_timestamp",
+    )
+    again = frame.withColumns({"processing_timestamp": F.expr("processing_timestamp - INTERVAL 1 SECOND"), "label": F.lit("old")})
+    recent = V.recent_predictions(frame.union(frame).union(again)).collect()
+    assert sorted(r.n_star for r in recent) == list(range(10, 60)) and {r.label for r in recent} == {""}

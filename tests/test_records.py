@@ -87,8 +87,8 @@ def test_predictions_round_trip(spark, tmp_path):
         "'' AS label, '{OTHERS};' AS predicted_label, TIMESTAMP'2024-01-02 00:00:00.123' AS processing_timestamp"
     )
     outlet = file_outlet(str(tmp_path / "p"))
-    publish(as_messages(rows, key="id"), outlet, 3)
-    publish(as_messages(rows, key="id"), outlet, 3)
+    publish(as_messages(rows, key="id"), outlet, "run", 3)
+    publish(as_messages(rows, key="id"), outlet, "run", 3)
     back = from_messages(read_messages(spark, str(tmp_path / "p")), PREDICTION_SCHEMA)
     assert back.collect() == rows.collect()
 

@@ -4,7 +4,7 @@ from types import SimpleNamespace
 
 import pytest
 
-from review_lens.session import scratch_dir, spread
+from review_lens.session import remove, scratch_dir
 
 
 def fake(master, folder):
@@ -24,9 +24,8 @@ def test_a_cluster_must_name_its_folder():
     assert scratch_dir(fake("local[2]", None), "rows")
 
 
-def test_only_small_scans_are_dealt_out(spark, tmp_path, plan_of):
-    spark.range(100, numPartitions=1).write.parquet(str(tmp_path / "one"))
-    one = spark.read.parquet(str(tmp_path / "one"))
-    assert spread(one, 4).rdd.getNumPartitions() == 4
-    many = spark.range(100, numPartitions=16)
-    assert spread(many, 4) is many
+def test_folders_are_removed(spark, tmp_path):
+    spark.range(3).write.parquet(str(tmp_path / "rows"))
+    remove(spark, str(tmp_path / "rows"))
+    remove(spark, str(tmp_path / "rows"))
+    assert not (tmp_path / "rows").exists()

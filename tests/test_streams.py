@@ -9,10 +9,15 @@ from pyspark.sql import functions as F
 from review_lens.functions.records import from_messages, parse_records
 from review_lens.operators import models as M
 from review_lens.operators import views as V
-from review_lens.operators.matrix import aspect_matrix
+from review_lens.operators.matrix import aspect_matrix, landed_matrix
 from review_lens.schema import ASPECTS, METRICS_SCHEMA, PREDICTION_SCHEMA
 from review_lens.sinks.topics import file_outlet
-from review_lens.sources.reviews import read_landed, read_quarantine, read_reviews
+from review_lens.sources.reviews import (
+    read_landed,
+    read_quarantine,
+    read_reviews,
+    without_old_versions,
+)
 from review_lens.sources.topics import clock, file_topic, message_topic, read_messages, stream_topic
 from review_lens.streaming import jobs
 from tests.test_models import TEXTS, matrix_of
@@ -65,8 +70,8 @@ def test_a_failed_batch_is_run_again_without_loss_or_doubles(spark, tmp_path, mo
     write_feed(tmp_path / "feed", 0, 60)
     real, calls = jobs.land, []
 
-    def failing(rows, path, source, batch_id):
-        real(rows, path, source, batch_id)
+    def failing(rows, path, source, run, batch_id):
+        real(rows, path, source, run, batch_id)
         calls.append(batch_id)
         if len(calls) == 2:
             raise RuntimeError("lost")
@@ -149,10 +154,77 @@ def test_a_failed_scoring_batch_is_run_again(spark, tmp_path, model_root, monkey
     assert read_landed(spark, str(tmp_path / "t")).count() == 40
 
 
-def test_without_models_a_batch_is_left_unscored(spark, tmp_path):
-    write_feed(tmp_path / "feed", 0, 10, files=1)
-    score(spark, tmp_path, str(tmp_path / "nothing"))
-    assert not (tmp_path / "predictions").exists() and not (tmp_path / "t").exists()
+def test_reviews_wait_for_the_first_models(spark, tmp_path, model_root):
+    write_feed(tmp_path / "feed", 0, 10, files=2, extra=["junk"])
+    models = str(tmp_path / "models")
+    score(spark, tmp_path, models)
+    assert not (tmp_path / "predictions").exists()
+    # Fed back and set aside in any case.
+    assert read_landed(spark, str(tmp_path / "t")).count() == 10
+    assert read_quarantine(spark, str(tmp_path / "q")).count() == 1
+    M.publish(spark, M.load(spark, model_root), models)
+    # A start finds them, even if nothing new comes in.
+    score(spark, tmp_path, models)
+    messages = read_messages(spark, str(tmp_path / "predictions"))
+    assert sorted(r.key for r in messages.collect()) == sorted(str(i) for i in range(10))
+    assert messages.select("run", "batch_id").distinct().count() == 2
+    write_feed(tmp_path / "feed", 10, 13, files=1)
+    score(spark, tmp_path, models)
+    assert read_messages(spark, str(tmp_path / "predictions")).count() == 13
+    assert read_landed(spark, str(tmp_path / "t")).count() == 13
+    metrics = from_messages(read_messages(spark, str(tmp_path / "metrics")), METRICS_SCHEMA)
+    assert metrics.agg(F.sum("total_records")).first()[0] == 13
+
+
+def test_a_second_checkpoint_replaces_nothing(spark, tmp_path):
+    for name, ids in (("one", (0, 10)), ("two", (10, 13)), ("two", (10, 13))):
+        base = tmp_path / name
+        base.mkdir(exist_ok=True)
+        write_feed(base / "feed", *ids)
+        query = jobs.start_ingest(
+            spark, file_topic(str(base / "feed")), str(tmp_path / "t"), str(tmp_path / "q"), str(base / "state"), trigger=NOW
+        )
+        query.awaitTermination()
+    assert read_landed(spark, str(tmp_path / "t")).count() == 13
+
+
+def test_old_generations_are_retired(spark, tmp_path, model_root):
+    root = str(tmp_path / "m")
+    models = M.load(spark, model_root)
+    for version in range(4):
+        models.version = version
+        M.publish(spark, models, root)
+    models.version = 3
+    M.publish(spark, models, root)
+    M.retire(spark, root, keep=2)
+    left = [p.name for p in (tmp_path / "m").iterdir() if p.name.startswith("generation")]
+    # Two trainers that took the same number don't touch each other's folder.
+    assert len(left) == 2 and M.load(spark, root).folder in left
+    assert M.load(spark, root).training_rows == models.training_rows
+
+
+def test_training_leaves_no_scratch_behind(spark, tmp_path):
+    from pathlib import Path
+
+    base = Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file:"))
+    before = set(base.glob("training-*"))
+    write_feed(tmp_path / "feed", 0, 40)
+    ingest(spark, tmp_path)
+    jobs.retrain(spark, str(tmp_path / "t"), str(tmp_path / "m"), max_iter=3)
+    assert set(base.glob("training-*")) == before
+
+
+def test_the_landed_matrix_is_that_of_the_keyed_view(spark, tmp_path):
+    write_feed(tmp_path / "feed", 0, 60)
+    ingest(spark, tmp_path)
+    landed = read_landed(spark, str(tmp_path / "t"))
+    later = landed.where("id % 3 = 0").withColumns(
+        {"label": F.lit("{CAMERA#Positive};"), "ingestion_timestamp": F.expr("ingestion_timestamp + INTERVAL 1 HOUR")}
+    )
+    both = landed.union(later)
+    expected = aspect_matrix(without_old_versions(both))
+    found = landed_matrix(both).select(*expected.columns)
+    assert sorted(found.collect()) == sorted(expected.collect())
 
 
 def test_retraining_reads_what_was_landed(spark, tmp_path):
