@@ -23,17 +23,18 @@ def replay(sliced: DataFrame, cycles: int) -> DataFrame:
     return ticked.withColumn("tick", F.col("cycle") * slices + F.col("slice")).drop("cycle")
 
 
-def number_rows(rows: DataFrame, *order: str) -> DataFrame:
+def number_rows(rows: DataFrame, *order: str, path=None) -> DataFrame:
     """Add `row_index`, the position of each row in a unique order, from 0.
 
     A global `row_number` would sort the table in one task. Here the rows are
     ranged and sorted into files whose names follow the order; each row knows
     its place in its file, and a file's offset is the row count of the files
     before it. Only those counts, one per file, meet in one task. The table is
-    written once, so a task that is run again cannot see another numbering.
+    written once, so a task that is run again cannot see another numbering. It is
+    read when the result is: a caller that gives the `path` can delete it after that.
     """
     spark = rows.sparkSession
-    path = scratch_dir(spark, "row-numbers")
+    path = path or scratch_dir(spark, "row-numbers")
     ranged = rows.repartitionByRange(*[F.col(c) for c in order]).sortWithinPartitions(*order)
     ranged.write.option("maxRecordsPerFile", 0).parquet(path)
     stored = spark.read.schema(rows.schema).parquet(path)

@@ -52,15 +52,15 @@ def publish_rows(rows: DataFrame, outlet: Outlet, *order: str, size=SLICE_ROWS)
     A folder topic gets one partition for each slice, so that a stream can take one
     at a time; the order of what Kafka gets is up to its partitions.
     """
-    sent = slice_rows(number_rows(rows, *order), size=size)
-    # Written once, as the records' ids are random.
-    path = scratch_dir(rows.sparkSession, "feed")
+    spark = rows.sparkSession
+    path = scratch_dir(spark, "feed")
     try:
-        feed_records(sent).write.parquet(path)
-        records = rows.sparkSession.read.parquet(path)
-        publish_slices(records, outlet)
+        sent = slice_rows(number_rows(rows, *order, path=f"{path}/numbered"), size=size)
+        # Written once, as the records' ids are random.
+        feed_records(sent).write.parquet(f"{path}/records")
+        publish_slices(spark.read.parquet(f"{path}/records"), outlet)
     finally:
-        remove(rows.sparkSession, path)
+        remove(spark, path)
 
 
 def publish_slices(records: DataFrame, outlet: Outlet) -> None:
