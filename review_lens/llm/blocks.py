@@ -11,7 +11,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text that are worked on at once.
-PIECE_BYTES = 2 << 20
+PIECE_BYTES = 1 << 19
 
 _RANDOM = np.random.default_rng(20240229)
 BYTE_CODES = _RANDOM.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -46,8 +46,11 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return whole[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def pieces(batches, text: str, limit: int = PIECE_BYTES):
-    """Slices of Arrow batches with about `limit` bytes of the column `text`; a longer text comes alone."""
+def pieces(batches, text: str | int, limit: int = PIECE_BYTES):
+    """Slices of Arrow batches with about `limit` bytes of the column `text`, by name or place.
+
+    A longer text comes alone.
+    """
     for batch in batches:
         column = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
         place = np.concatenate(([0], np.cumsum(column, dtype=np.int64)))

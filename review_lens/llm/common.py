@@ -16,7 +16,7 @@ from review_lens.session import scratch_dir
 #: The library's top package, as a folder.
 PACKAGE = Path(__file__).resolve().parent.parent
 #: Bytes of text that a Python worker holds in one Arrow batch, a text longer than this aside.
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 8 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -118,7 +118,7 @@ def extended(docs: DataFrame, text_column: str, fields: str, make, keep=None) ->
     schema = StructType([picked.schema[name] for name in names] + added.fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in pieces(batches, "text_of_row_"):
+        for piece in pieces(batches, len(names)):
             made = make(piece.column(len(names)))
             arrays = [piece.column(k) for k in range(len(names))] + list(made)
             yield pa.RecordBatch.from_arrays(arrays, schema.names)

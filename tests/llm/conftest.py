@@ -23,7 +23,7 @@ def odd_docs(spark):
     rows = [(k, text) for k, text in enumerate(TEXTS)] + [(4, TEXTS[4]), (4, "another text for id 4"), (None, TEXTS[4])]
     schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType())])
     docs = spark.createDataFrame(rows, schema)
-    names = ["lang", "ids", "leaks", "n_words", "lang_pred", "toxicity", "kept", "all_spans", "fingerprint", "id", "source"]
+    names = ["lang", "ids", "leaks", "n_words", "lang_pred", "toxicity", "kept", "all_spans", "fingerprint", "id", "source", "text_of_row_"]
     return docs.selectExpr("*", *(f"cast(null AS STRING) AS {name}" for name in names), "length(text) AS n_chars")
 
 
