@@ -146,10 +146,11 @@ class Lattice:
     def backward(self, logs: np.ndarray) -> np.ndarray:
         sums = np.full((self.nodes, logs.shape[1]), -np.inf)
         sums[self.last] = 0.0
-        order = np.lexsort((self.node_from, -self.node_from + self.first[np.searchsorted(self.first, self.node_from, "right") - 1]))
-        depth = self.node_from - self.first[np.searchsorted(self.first, self.node_from, "right") - 1]
-        at, to, which, depth = self.node_from[order], self.node_to[order], self.which[order], depth[order]
-        cuts = np.flatnonzero(np.diff(depth, prepend=-1, append=-1))
+        begin = self.first[np.searchsorted(self.first, self.node_from, "right") - 1]
+        depth = self.node_from - begin
+        order = np.lexsort((self.node_from, -depth))
+        at, to, which = self.node_from[order], self.node_to[order], self.which[order]
+        cuts = np.flatnonzero(np.diff(depth[order], prepend=-1, append=-1))
         for a, b in zip(cuts[:-1], cuts[1:], strict=True):
             self._add(sums, at[a:b], sums[to[a:b]] + logs[which[a:b]])
         return sums
@@ -172,7 +173,6 @@ class Scorer:
     """Log probabilities of words in all languages; those of recent words are kept."""
 
     KEPT = 200_000
-    LONGEST = 200
 
     def __init__(self, languages: list[str], pieces: list[bytes], logs: np.ndarray):
         self.languages, self.pieces, self.logs = languages, Pieces(pieces), logs
@@ -191,7 +191,8 @@ class Scorer:
             taken = first[new]
             for a in range(0, len(new), 20_000):
                 part = taken[a : a + 20_000]
-                table = lattice([words.data[s:e].tobytes() for s, e in zip(words.starts[part], words.ends[part], strict=True)], self.pieces)
+                spans = zip(words.starts[part], words.ends[part], strict=True)
+                table = lattice([words.data[s:e].tobytes() for s, e in spans], self.pieces)
                 out[new[a : a + 20_000]] = table.forward(self.logs)[table.last]
             if len(self.hashes) + len(new) > self.KEPT:
                 self.hashes, self.known = distinct, out
@@ -208,9 +209,9 @@ class Scorer:
         words = blocks.find_words(data, offsets, LETTERS)
         logs, of = self.word_logs(words, blocks.word_hashes(words))
         rows = words.row_of()
-        total = np.stack(
-            [np.bincount(rows, logs[of, k], len(texts)) for k in range(len(self.languages))], axis=1
-        ) if len(of) else np.zeros((len(texts), len(self.languages)))
+        total = np.zeros((len(texts), len(self.languages)))
+        for k in range(len(self.languages) if len(of) else 0):
+            total[:, k] = np.bincount(rows, logs[of, k], len(texts))
         letters = np.bincount(rows, words.ends - words.starts + 1, len(texts))
         best = total.argmax(axis=1)
         share = np.exp(total - total.max(axis=1, keepdims=True))

@@ -17,7 +17,6 @@ rows to fit on, the field adds nothing.
 
 import random
 import re
-from collections import Counter
 
 import numpy as np
 import pyarrow as pa

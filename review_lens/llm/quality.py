@@ -51,7 +51,7 @@ FOLLOWS = _class(range(0x80, 0xC0))
 #: Upper ends of the steps into which shares, and numbers of words, are cut.
 SHARES = np.array([0.0, 0.01, 0.03, 0.08, 0.2, 0.5])
 SIZES = np.array([0, 1, 2, 4, 8, 16, 40, 120])
-ENDS = (b".", b"!?", b",;:", SYMBOLS)
+ENDS = [_class(chars) for chars in (b".", b"!?", b",;:", SYMBOLS)] + [blocks.ALNUM]
 
 
 class Lines:
@@ -135,7 +135,7 @@ class Lines:
             first[full] = self.data[self.words.starts[begin]]
             last[full] = self.data[self.words.ends[finish] - 1]
         group(np.select([CLASSES[c][first] for c in ("capital", "small", "digit", "high")], [1, 2, 3, 4], 0), 5)
-        group(np.select([_class(e)[last] for e in ENDS] + [blocks.ALNUM[last]], [1, 2, 3, 4, 5], 0), 6)
+        group(np.select([end[last] for end in ENDS], [1, 2, 3, 4, 5], 0), 6)
         return np.stack(found, axis=1)
 
 

@@ -14,6 +14,7 @@ others get the verdict of the labelled ones, or allow. Rows stay as they are, re
 ones too; other columns than id and URL are not read.
 """
 
+import numpy as np
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -140,7 +141,7 @@ class Statistics:
 
     def features(self, own: bool) -> dict:
         """Two features for each bucket of a row. own: leave out the label of the row itself."""
-        urls, known, blocked = (F.array(*(F.lit(float(x)) for x in part)) for part in (self.urls, self.known, self.blocked))
+        urls, known, blocked = (F.lit(np.array(part)) for part in (self.urls, self.known, self.blocked))
         mine = F.lit(1.0 if own else 0.0)
         its = (F.col("ruled") == BLOCK).cast("double") if own else F.lit(0.0)
         out = {}
@@ -162,7 +163,8 @@ def judged(
     if len(kinds) < 2:
         only = kinds.pop() if kinds else ALLOW
         score = F.lit(float(only == BLOCK))
-        return rows.select("id", "host", "path", "rule", F.coalesce("ruled", F.lit(only)).alias("verdict"), score.alias("block_score"))
+        verdict = F.coalesce("ruled", F.lit(only)).alias("verdict")
+        return rows.select("id", "host", "path", "rule", verdict, score.alias("block_score"))
     names = [*lexical(F.lit(""), F.lit(""), F.lit("")), *statistics.features(False)]
     assembler = VectorAssembler(inputCols=names, outputCol="features")
     train = bounded_sample(labelled, F.col("ruled"), [F.col("id"), F.col("url")], sample)
