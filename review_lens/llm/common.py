@@ -113,12 +113,15 @@ def extended(docs: DataFrame, text_column: str, fields: str, make, keep=None) ->
     added = StructType.fromDDL(fields)
     names = docs.columns if keep is None else list(keep)
     names = [name for name in names if name.lower() not in {f.name.lower() for f in added}]
-    text = F.col(f"`{text_column}`").cast("string").alias("text_of_row_")
+    own = "text_of_row_"
+    while own in {name.lower() for name in names}:
+        own += "_"
+    text = F.col(f"`{text_column}`").cast("string").alias(own)
     picked = docs.select(*(F.col(f"`{name}`") for name in names), text)
     schema = StructType([picked.schema[name] for name in names] + added.fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in pieces(batches, len(names)):
+        for piece in pieces(batches, own):
             made = make(piece.column(len(names)))
             arrays = [piece.column(k) for k in range(len(names))] + list(made)
             yield pa.RecordBatch.from_arrays(arrays, schema.names)
