@@ -14,6 +14,7 @@ any labelled row all texts are. Ties go to the language first in order. Rows wit
 label are not learned from. All rows stay; other columns are not read.
 """
 
+import random
 import re
 
 import numpy as np
@@ -33,6 +34,9 @@ ROUNDS = 3
 SMOOTHING = 0.05
 #: Share of the likelihood that a document's language must exceed to be accepted.
 LEAST_SHARE = 0.5
+#: A floor is set from one part of so many of the labelled texts, about MEASURED of a language.
+PARTS = 5
+MEASURED = 2_000
 LETTERS = blocks.byte_table(lambda b: 0x61 <= b <= 0x7A or b >= 0x80)
 ASCII_LETTER = re.compile("[A-Za-z]")
 
@@ -203,7 +207,12 @@ class Scorer:
         return out, of.reshape(-1)
 
     def score(self, texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
-        """Best language, its share of the likelihoods per letter, and log likelihood per byte."""
+        """Best language, its share of the likelihoods, and log likelihood per byte."""
+        return self.measured(texts)[:3]
+
+    def measured(self, texts: pa.Array) -> tuple[list[str], *tuple[np.ndarray, ...]]:
+        """Best language, its share, its log likelihood per byte and per letter, letters (each
+        word's leading space counts as one), and the least log likelihood of a word."""
         lowered = [x.lower() if x is not None else "" for x in texts.to_pylist()]
         data, offsets = blocks.text_bytes(pa.array(lowered, pa.large_string()))
         words = blocks.find_words(data, offsets, LETTERS)
@@ -212,14 +221,20 @@ class Scorer:
         total = np.zeros((len(texts), len(self.languages)))
         for k in range(len(self.languages) if len(of) else 0):
             total[:, k] = np.bincount(rows, logs[of, k], len(texts))
-        letters = np.bincount(rows, words.ends - words.starts + 1, len(texts))
+        size = np.bincount(rows, words.ends - words.starts + 1, len(texts))
+        begun = np.concatenate(([0], np.cumsum((words.data & 0xC0) != 0x80)))
+        letters = np.maximum(np.bincount(rows, begun[words.ends] - begun[words.starts] + 1, len(texts)), 1)
         best = total.argmax(axis=1)
         share = np.exp(total - total.max(axis=1, keepdims=True))
         share = share.max(axis=1) / share.sum(axis=1)
         found = [has_letter(x) for x in lowered]
         names = [self.languages[k] if f else UNDETERMINED for k, f in zip(best, found, strict=True)]
-        rate = total[np.arange(len(texts)), best] / np.maximum(letters, 1)
-        return names, np.where(found, share, 0.0), np.where(found, rate, 0.0)
+        own = total[np.arange(len(texts)), best]
+        rate = own / np.maximum(size, 1)
+        worst = np.zeros(len(texts))
+        if len(of):
+            np.minimum.at(worst, rows, logs[of, best[rows]])
+        return names, np.where(found, share, 0.0), np.where(found, rate, 0.0), own / letters, letters, worst
 
 
 def has_letter(text: str) -> bool:
@@ -289,8 +304,73 @@ def identified(docs: DataFrame, scorer: Scorer | None, text_column="text", keep=
     return extended(docs, text_column, "lang_pred string, lang_score double", make, keep)
 
 
-def accepted(docs: DataFrame, scorer: Scorer | None, text_column="text", least: float = LEAST_SHARE) -> DataFrame:
-    """The documents in some learned language; rejected are those without letters, and those
-    for which no language has more than `least` of the likelihood."""
-    judge = lambda rows, text: identified(rows, scorer, text)
-    return kept_where(docs, text_column, judge, (F.col("lang_pred") != UNDETERMINED) & (F.col("lang_score") > least))
+def shuffled(text: str) -> str:
+    """The text with all its letters in another order; words keep their lengths."""
+    words = re.findall("[a-z\u0080-\U0010ffff]+", text.lower())
+    letters = list("".join(words))
+    random.Random(len(letters)).shuffle(letters)
+    ends = np.cumsum([len(w) for w in words]).tolist()
+    return " ".join("".join(letters[a:b]) for a, b in zip([0, *ends], ends, strict=False))
+
+
+def floors(
+    docs: DataFrame, label="lang", id_column="doc_id", text_column="text", path: str | None = None, sample: int = MEASURED
+) -> dict[str, tuple[float, float]]:
+    """For each language the least log likelihood per letter to be taken for it, and what a
+    text may lack in all: as much as the worst word of a usual text costs, so that one odd
+    word is not held against a short text. Per letter, as bytes of other scripts are cheap:
+    most of them follow from the ones before.
+
+    The least is halfway between the median of its texts and that of the same texts with
+    their letters shuffled. Both are measured on about `sample` labelled texts a language
+    that were left out of a fit of their own; a language without such texts has no floor.
+    """
+    part = F.pmod(F.xxhash64(id_column, F.col(text_column).cast("string")), F.lit(PARTS))
+    scorer = fit(docs.where(part != 0), label, id_column, text_column, path)
+    if scorer is None:
+        return {}
+    rows = docs.where(part == 0).select(
+        F.col(label).cast("string").alias("label"),
+        F.col(id_column).alias("id"),
+        F.col(text_column).cast("string").alias("text"),
+    )
+    rows = bounded_sample(rows.where("label is not null"), F.col("label"), [F.col("id"), F.col("text")], sample)
+    sent = docs.sparkSession.sparkContext.broadcast(scorer)
+
+    def make(texts):
+        names, _, _, rate, _, worst = sent.value.measured(texts)
+        mixed = sent.value.measured(pa.array([shuffled(x or "") for x in texts.to_pylist()], pa.large_string()))[3]
+        return [pa.array(names, pa.string()), pa.array(rate), pa.array(mixed), pa.array(worst)]
+
+    found = extended(rows, "text", "lang_pred string, rate double, mixed double, worst double", make, keep=["label"])
+    middle = [F.percentile(c, F.lit(0.5)).alias(c) for c in ("rate", "mixed", "worst")]
+    found = found.where("label = lang_pred").groupBy("label").agg(*middle)
+    return {r["label"]: ((r["rate"] + r["mixed"]) / 2, -r["worst"]) for r in found.collect()}
+
+
+def accepted(
+    docs: DataFrame,
+    scorer: Scorer | None,
+    text_column="text",
+    least: float = LEAST_SHARE,
+    limits: dict[str, tuple[float, float]] | None = None,
+) -> DataFrame:
+    """The documents in some learned language; rejected are those without letters, those for
+    which no language has more than `least` of the likelihood, and those that even the
+    best language fits worse, letter for letter, than `limits` (from `floors`) allow."""
+    limits = limits or {}
+    if scorer is None:
+        judge = lambda rows, text: identified(rows, None, text).withColumn("lang_fits", F.lit(False))
+    else:
+        sent = docs.sparkSession.sparkContext.broadcast(scorer)
+
+        def make(texts):
+            names, share, _, rate, letters, _ = sent.value.measured(texts)
+            floor = np.array([limits.get(name, (-np.inf, 0.0)) for name in names]).reshape(-1, 2)
+            fits = rate >= floor[:, 0] - floor[:, 1] / letters
+            return [pa.array(names, pa.string()), pa.array(share, pa.float64()), pa.array(fits)]
+
+        fields = "lang_pred string, lang_score double, lang_fits boolean"
+        judge = lambda rows, text: extended(rows, text, fields, make)
+    fitting = (F.col("lang_pred") != UNDETERMINED) & (F.col("lang_score") > least) & F.col("lang_fits")
+    return kept_where(docs, text_column, judge, fitting)
