@@ -6,8 +6,8 @@ LONGEST tokens; features of a whole span (its digits, their checksum, separators
 of addresses, what stands beside it) score it for each kind, and weights between labels
 score what follows what. A dynamic programme over span ends picks boundaries and kinds
 together. It is fitted by likelihood on base spans and on stated variations of them
-(a phone without its country code, a card with dots, an address with spaces round @),
-so it also finds forms that the patterns don't know. Spans of the field that overlap no
+(a phone without its country code, a card with dots, an address with spaces round @,
+blanks round the marks of a number), so it also finds forms that the patterns don't know. Spans of the field that overlap no
 base span are added; base spans always stay.
 
 Defined results: a null or empty text has no spans. Offsets are code points, ends
@@ -44,6 +44,9 @@ SHAPES = 1_200
 ROUNDS = 12
 
 TOKEN = re.compile(r"[^\W_]+|\s|[\W_]")
+#: Blanks between an @ and what it joins, at most.
+GAP = 3
+WORDLIKE = re.compile(r"[^\W_]")
 TRIGGER = re.compile(r"[0-9@]+")
 SPACES = re.compile(r"\s")
 LOCAL_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -89,21 +92,35 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return out
 
 
+def unbroken(text: str, a: int, b: int) -> tuple[int, int]:
+    """The range with the text up to the next white space on both sides, REACH at most."""
+    low, high = max(0, a - REACH), min(len(text), b + REACH)
+    left = max((s.end() for s in SPACES.finditer(text, low, a)), default=low)
+    right = SPACES.search(text, b, high)
+    return left, right.start() if right else high
+
+
 def surroundings(text: str) -> list[tuple[int, int]]:
-    """Where digits or @ signs stand, with the unbroken text beside them; near ones joined."""
+    """Where digits or @ signs stand, with the unbroken text beside them. An @ with a blank
+    beside it has the unbroken text beyond the blank, too. Neighbours are joined if nothing
+    but blanks and separators, fewer than a span has tokens, stands between them."""
     out = []
     for m in TRIGGER.finditer(text):
         a, b = m.span()
-        if out and b <= out[-1][1]:
+        if out and b <= out[-1][1] and "@" not in m[0]:
             continue
-        low = max(0, a - REACH)
-        left = max((s.end() for s in SPACES.finditer(text, low, a)), default=low)
-        right = SPACES.search(text, b, min(len(text), b + REACH))
-        end = right.start() if right else min(len(text), b + REACH)
-        if out and left - out[-1][1] <= 3 and not text[out[-1][1] : left].strip():
+        left, end = unbroken(text, a, b)
+        if m[0][0] == "@" and a and text[a - 1] in " \t":
+            beyond = len(text[max(0, a - GAP) : a].rstrip(" \t")) + max(0, a - GAP)
+            left = min(left, unbroken(text, beyond, beyond)[0])
+        if m[0][-1] == "@" and text[b : b + 1] in (" ", "\t"):
+            beyond = min(len(text), b + GAP) - len(text[b : b + GAP].lstrip(" \t"))
+            end = max(end, unbroken(text, beyond, beyond)[1])
+        if out and left <= out[-1][1]:
+            low, high = out.pop()
+            out.append((min(low, left), max(end, high)))
+        elif out and left - out[-1][1] < LONGEST and not WORDLIKE.search(text, out[-1][1], left):
             out[-1] = (out[-1][0], end)
-        elif out and left < out[-1][1]:
-            out[-1] = (out[-1][0], max(end, out[-1][1]))
         else:
             out.append((left, end))
     return out
@@ -249,10 +266,10 @@ def variation(kind: str, text: str, draw: random.Random) -> str:
         return text.replace("@", " @ ")
     if kind == "card":
         n = digits_of(text)
-        return draw.choice(". -").join(n[k : k + 4] for k in range(0, len(n), 4))
+        return draw.choice((".", " ", "-", " - ")).join(n[k : k + 4] for k in range(0, len(n), 4))
     if kind == "phone":
         n = digits_of(text)[-10:]
-        return draw.choice(["({}) {}-{}", "{}-{}-{}", "{}.{}.{}"]).format(n[:-7], n[-7:-4], n[-4:])
+        return draw.choice(["({}) {}-{}", "{}-{}-{}", "{}.{}.{}", "{} - {} - {}"]).format(n[:-7], n[-7:-4], n[-4:])
     return text
 
 
@@ -309,13 +326,15 @@ class Field:
         # Without any text there is nothing to set ordinary numbers against.
         for text in texts + [ordinary(draw) for _ in range(len(texts))]:
             changed, spans = example(text, draw)
-            region = Region(changed)
-            if not len(region.starts):
-                continue
-            first = {a: k for k, (a, _) in enumerate(region.tokens)}
-            last = {b: k + 1 for k, (_, b) in enumerate(region.tokens)}
-            gold = {(first[a], last[b]): KINDS.index(kind) for kind, a, b in spans if a in first and b in last}
-            examples.append((region, gold))
+            # Regions are cut as for decoding, after the spans were rewritten.
+            for low, high in surroundings(changed):
+                region = Region(changed[low:high])
+                if not len(region.starts):
+                    continue
+                first = {low + a: k for k, (a, _) in enumerate(region.tokens)}
+                last = {low + b: k + 1 for k, (_, b) in enumerate(region.tokens)}
+                gold = {(first[a], last[b]): KINDS.index(kind) for kind, a, b in spans if a in first and b in last}
+                examples.append((region, gold))
         seen = [np.full_like(self.weights, 1e-3), np.full_like(self.follows, 1e-3)]
         for _ in range(ROUNDS):
             draw.shuffle(examples)
