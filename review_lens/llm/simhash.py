@@ -245,14 +245,18 @@ def trie_links(prints: DataFrame, budget: int = BUDGET) -> DataFrame:
     return dealt.mapInArrow(run, "u bigint, v bigint")
 
 
+def classes_of(prints: DataFrame, budget: int) -> DataFrame:
+    """(fingerprint, first, root) of distinct fingerprints; equal roots make a class."""
+    stars = components(trie_links(prints.select("fingerprint"), budget), "simhash-links")
+    joined = prints.join(stars, prints.fingerprint == stars.node, "left")
+    return joined.select("fingerprint", "first", F.coalesce("root", "fingerprint").alias("root"))
+
+
 def near_duplicates(docs: DataFrame, id_column="doc_id", text_column="text", budget: int = BUDGET) -> DataFrame:
     """(id, fingerprint, component) of every row; component: the smallest id of its class."""
     rows = settled(fingerprints(docs, id_column, text_column), "simhash")
     prints = settled(rows.groupBy("fingerprint").agg(F.min("id").alias("first")), "simhash-distinct")
-    stars = components(trie_links(prints.select("fingerprint"), budget), "simhash-links")
-    rooted = prints.join(stars, prints.fingerprint == stars.node, "left").select(
-        "fingerprint", "first", F.coalesce("root", "fingerprint").alias("root")
-    )
+    rooted = classes_of(prints, budget)
     least = rooted.groupBy("root").agg(F.min("first").alias("component"))
     classes = rooted.join(least, "root").select("fingerprint", "component")
     return rows.join(classes, "fingerprint").select("id", "fingerprint", "component")
@@ -262,10 +266,35 @@ def hex_digits(column):
     return F.lower(F.lpad(F.hex(column), 16, "0"))
 
 
-def representatives(docs: DataFrame, id_column="doc_id", text_column="text", budget: int = BUDGET) -> DataFrame:
-    """One row of each class, that with the smallest id; of repeated rows with that id one
-    stays. Rows without an id can't be named by a class and stay. All columns are kept."""
-    found = near_duplicates(docs, id_column, text_column, budget)
-    kept = found.where(F.col("id") == F.col("component")).select(F.col("id").alias("kept_id_")).distinct()
-    matched = docs.join(kept, F.col(id_column) == F.col("kept_id_"), "left_semi")
-    return matched.dropDuplicates([id_column]).union(docs.where(F.col(id_column).isNull()))
+def representatives(
+    docs: DataFrame, id_column="doc_id", text_column="text", ngram=4, seed=42, budget: int = BUDGET, stored=False
+) -> DataFrame:
+    """One row of each class, all columns kept: that with the smallest id, ids before nulls.
+
+    Rows are told apart by their place, a file and a row number in it, so a class keeps one row
+    whether ids are missing, repeated or neither. `stored` says that the rows are those of files
+    as they are; others get written first. Places are joined with their rows, once: no text
+    is compared.
+    """
+    rows = with_places(docs, stored)
+    file, place = rows.columns[-2:]
+    id_name, text_name = (rows.columns[docs.columns.index(c)] for c in (id_column, text_column))
+    make = lambda texts: [pa.array(fingerprint_batch(texts, ngram, seed).view(np.int64))]
+    slim = rows.select(
+        F.col(id_name).alias("id"), F.col(text_name).alias("text"), F.col(file).alias("file"), F.col(place).alias("place")
+    )
+    slim = settled(extended(slim, "text", "fingerprint bigint", make, keep=["id", "file", "place"]), "simhash")
+    first = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "file", "place")).alias("first")
+    prints = settled(slim.groupBy("fingerprint").agg(first), "simhash-distinct")
+    kept = classes_of(prints, budget).groupBy("root").agg(F.min("first").alias("first"))
+    kept = kept.select(F.col("first.file").alias(file), F.col("first.place").alias(place))
+    stay = rows.join(kept, [file, place], "left_semi")
+    return stay.select(*(F.col(c).alias(name) for c, name in zip(rows.columns, docs.columns, strict=False)))
+
+
+def with_places(docs: DataFrame, stored: bool) -> DataFrame:
+    """The rows with columns renamed c0_, c1_, ... and, last, file_ and place_, which name each row
+    in every later read: a hash of the file's path, and the row's number in the file."""
+    plain = docs.toDF(*(f"c{k}_" for k in range(len(docs.columns))))
+    plain = plain if stored else settled(plain, "rows")
+    return plain.selectExpr("*", "xxhash64(_metadata.file_path) AS file_", "_metadata.row_index AS place_")

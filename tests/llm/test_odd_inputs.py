@@ -46,7 +46,9 @@ def test_simhash(odd_docs, no_docs):
     assert [found[k][0].component for k in (0, 1, 2)] == [0, 0, 0] and found[0][0].fingerprint == 0
     assert found[5][0].component == found[4][0].component == found[None][0].component == 4
     kept = by_id(simhash.representatives(odd_docs))
-    assert {0, 4} <= set(kept) and not {1, 2, 5} & set(kept) and len(kept[4]) == 1
+    assert {0, 4} <= set(kept) and not {1, 2, 5} & set(kept)
+    # Of the repeated rows one stays; the other text that has the same id is a class of its own.
+    assert sorted(r.text for r in kept[4]) == ["The quick brown fox jumps over the lazy dog near the old river bank today.", "another text for id 4"]
     assert simhash.representatives(odd_docs).columns == odd_docs.columns
     assert simhash.near_duplicates(no_docs).count() == 0 and simhash.representatives(no_docs).count() == 0
 
