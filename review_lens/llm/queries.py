@@ -3,6 +3,9 @@
 from pyspark.sql import functions as F
 
 from review_lens.llm import (
+    audit,
+    counts,
+    importance,
     language,
     personal,
     quality,
@@ -137,6 +140,25 @@ def op6_lm_scoring(spark, sf_dir):
     return found.withColumn("held_out", held_out)
 
 
+@registered
+def op11_filter_interaction_audit(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    return audit.audit(docs, table(spark, sf_dir, "labels", "doc_id", "quality", "toxic"))
+
+
+@registered
+def op12_token_counts(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return counts.token_counts(docs, limit=512, keep=["doc_id"])
+
+
+@registered
+def op13_target_importance_resampling(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    found = importance.resampled(docs, table(spark, sf_dir, "benchmark", "text"))
+    return found.withColumnRenamed("id", "doc_id")
+
+
 _WORDS = r"""list_filter(regexp_extract_all(
     translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '')"""
@@ -163,3 +185,48 @@ SELECT d.doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_
        sha256(coalesce(listed, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM docs d LEFT JOIN hit h ON d.doc_id = h.doc_id LEFT JOIN named n ON d.doc_id = n.doc_id
 """
+
+ORACLES["op11_filter_interaction_audit"] = r"""
+WITH RECURSIVE texts AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text FROM documents),
+split AS (
+  SELECT *, list_filter(string_split_regex(text, '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words,
+         min(doc_id) OVER (PARTITION BY text) AS first_id FROM texts),
+marks AS (SELECT doc_id, max(quality) AS quality, max(toxic) AS toxic FROM labels GROUP BY doc_id),
+fails AS (
+  SELECT part, coalesce(quality = 1, false) AS good, coalesce(toxic = 1, false) AS toxic,
+         len(words) < 200 AS "A", 100 * len(list_distinct(words)) < 50 * len(words) AS "B",
+         100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 3 * length(text) AS "C",
+         regexp_matches(text, '[#$%&*|]') AS "D", coalesce(s.doc_id > first_id, false) AS "E"
+  FROM split s LEFT JOIN marks m ON s.doc_id = m.doc_id),
+failed AS (
+  SELECT part, good, toxic, count(*) AS n,
+         concat(CASE WHEN "A" THEN 'A' ELSE '' END, CASE WHEN "B" THEN 'B' ELSE '' END, CASE WHEN "C" THEN 'C' ELSE '' END,
+                CASE WHEN "D" THEN 'D' ELSE '' END, CASE WHEN "E" THEN 'E' ELSE '' END) AS failed
+  FROM fails GROUP BY ALL),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS letter),
+orders AS (
+  SELECT '' AS filter_order UNION ALL
+  SELECT filter_order || letter FROM orders JOIN letters ON NOT contains(filter_order, letter)),
+steps AS (
+  SELECT filter_order, step, filter_order[step] AS letter, filter_order[1:step - 1] AS earlier
+  FROM orders, (SELECT unnest(range(1, 6)) AS step) WHERE length(filter_order) = 5),
+told AS (
+  SELECT f.part, s.filter_order, s.step, s.letter, f.good, f.toxic, f.n, f.failed,
+         contains(f.failed, s.letter) AS hit,
+         length(translate(f.failed, s.earlier, '')) < length(f.failed) AS gone
+  FROM failed f, steps s),
+counted AS (
+  SELECT part, filter_order, step, letter,
+         coalesce(sum(n) FILTER (WHERE NOT hit AND NOT gone), 0) AS kept,
+         coalesce(sum(n) FILTER (WHERE hit AND NOT gone), 0) AS removed,
+         coalesce(sum(n) FILTER (WHERE hit AND gone), 0) AS redundant,
+         coalesce(sum(n) FILTER (WHERE failed = letter), 0) AS unique_fails,
+         coalesce(sum(n) FILTER (WHERE hit AND NOT gone AND good), 0) AS good_lost,
+         coalesce(sum(n) FILTER (WHERE hit AND NOT gone AND toxic), 0) AS toxic_lost
+  FROM told GROUP BY part, filter_order, step, letter)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+       CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+       CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, letter) AS BIGINT) AS shapley
+FROM counted
+"""

@@ -1,0 +1,70 @@
+"""The filter audit against plain Python, and what SQL's tables don't hold."""
+
+import itertools
+import re
+
+from review_lens.llm import audit
+
+LETTERS = "ABCDE"
+
+
+def failed(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    fails = {"A"} if len(words) < 200 else set()
+    fails |= {"B"} if 100 * len(set(words)) < 50 * len(words) else set()
+    fails |= {"C"} if 100 * len(re.findall("[A-Z]", text)) > 3 * len(text) else set()
+    return fails | ({"D"} if re.search(r"[#$%&*|]", text) else set())
+
+
+def expected(rows, labels):
+    held = []
+    for doc_id, text, lang in rows:
+        text = text or ""
+        fails = failed(text)
+        if doc_id is not None and any(i is not None and i < doc_id and (t or "") == text for i, t, _ in rows):
+            fails.add("E")
+        mark = lambda k: doc_id is not None and any(l[0] == doc_id and l[k] == 1 for l in labels)  # noqa: B023, E731, E741
+        held.append((lang or "", fails, mark(1), mark(2)))
+    out, shapley = {}, {}
+    for part in {h[0] for h in held}:
+        for order in itertools.permutations(LETTERS):
+            alive = [h for h in held if h[0] == part]
+            gone = []
+            for step, letter in enumerate(order, 1):
+                hit = [h for h in alive if letter in h[1]]
+                alone = sum(h[1] == {letter} for h in held if h[0] == part)
+                again = sum(letter in h[1] for h in gone)
+                gone += hit
+                alive = [h for h in alive if letter not in h[1]]
+                out[part, "".join(order), step] = [len(alive), len(hit), again, alone, sum(h[2] for h in hit), sum(h[3] for h in hit)]
+                shapley[part, letter] = shapley.get((part, letter), 0) + len(hit)
+    return {k: (*v, shapley[k[0], k[1][k[2] - 1]]) for k, v in out.items()}
+
+
+def found(frame):
+    return {(r.part, r.filter_order, r.step): tuple(r)[3:] for r in frame.collect()}
+
+
+def test_odd_rows(spark, odd_docs, no_docs):
+    rows = [(r.doc_id, r.text, "en") for r in odd_docs.collect()]
+    plain = " ".join(f"w{k}" for k in range(200))
+    rows += [(20, plain, None), (21, plain, ""), (None, plain, "x"), (22, plain + " #", "x"), (23, plain + " #", "x"), (23, plain + " #", "x")]
+    rows += [(30 + k, " ".join(["ABC", "d"] * 120), "é") for k in range(3)] + [(19, "A" * 9, "é"), (None, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string").selectExpr("*", "1 AS mask", "2 AS part", "3 AS n")
+    labels = [(4, 1, 0), (4, 0, 1), (20, 1, None), (23, 1, 1), (None, 1, 1), (99, 1, 1), (31, 0, 1)]
+    marks = spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int")
+    assert found(audit.audit(docs, marks)) == expected(rows, labels)
+    assert found(audit.audit(docs, marks.limit(0))) == expected(rows, [])
+    assert audit.audit(no_docs, marks).count() == 0
+
+
+def test_many_parts_have_no_limit(spark):
+    """More rows in the recursion than Spark's own limit, which is lowered here."""
+    cells = spark.range(40).selectExpr("string(id) AS part", "int(id % 8) AS mask", "true AS good", "false AS toxic", "id AS n")
+    spark.conf.set("spark.sql.cteRecursionRowLimit", "50")
+    try:
+        rows = found(audit.audited(cells, "ABC"))
+    finally:
+        spark.conf.unset("spark.sql.cteRecursionRowLimit")
+    assert len(rows) == 40 * 6 * 3
+    assert rows["7", "CAB", 2] == (0, 0, 7, 0, 0, 0, 7 * 2) and rows["1", "CAB", 2] == (0, 1, 0, 1, 1, 0, 6)
