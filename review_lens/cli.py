@@ -16,7 +16,8 @@ from review_lens.operators import views as V  # noqa: E402
 from review_lens.operators.models import KEPT  # noqa: E402
 from review_lens.schema import METRICS_SCHEMA, PREDICTION_SCHEMA, SLICE_ROWS  # noqa: E402
 from review_lens.session import build_session  # noqa: E402
-from review_lens.sinks.tables import compact, create_review_table  # noqa: E402
+from review_lens.sinks.buckets import BUCKETS, KEEP  # noqa: E402
+from review_lens.sinks.tables import compact, create_review_table, fold  # noqa: E402
 from review_lens.sinks.topics import file_outlet, kafka_outlet  # noqa: E402
 from review_lens.sources.reviews import in_file_order, read_review_csv  # noqa: E402
 from review_lens.sources.topics import (  # noqa: E402
@@ -59,20 +60,26 @@ def parser():
         for option in options:
             sub.add_argument(f"--{option}", required=True)
         for option, value in defaults.items():
-            kind = int if option in ("per_trigger", "size", "keep") else str
-            sub.add_argument(f"--{option.replace('_', '-')}", default=value, type=kind)
+            name = f"--{option.replace('_', '-')}"
+            if value is False:
+                sub.add_argument(name, action="store_true")
+                continue
+            kind = int if option in ("per_trigger", "size", "keep", "buckets", "layers", "fold_every") else str
+            sub.add_argument(name, default=value, type=kind)
         return sub
 
     command("feed", "publish a review file once, in slices", "csv", "to", size=SLICE_ROWS)
     command("define", "define the landed table in the catalog", "table", "name")
     command("ingest", "land a topic", "topic", "table", "quarantine", "checkpoint",
-            every="20 seconds", starting=None, per_trigger=None, name=None)
+            every="20 seconds", starting=None, per_trigger=None, name=None, fold_every=None, buckets=BUCKETS)
     command("retrain", "retrain all aspect models by the clock", "table", "models", "checkpoint",
-            every="300 seconds", keep=KEPT)
+            every="300 seconds", keep=KEPT, incremental=False)
     command("score", "score, publish, feed back and measure a topic", "topic", "models", "table",
             "quarantine", "predictions", "metrics", "checkpoint",
             every="60 seconds", starting=None, per_trigger=None, name=None)
-    command("compact", "merge the versions of the landed table in place", "table", name=None)
+    command("compact", "merge the versions of a landed table that nobody reads, in place", "table", name=None)
+    command("fold", "merge what has landed into buckets of ids, under readers", "table",
+            buckets=BUCKETS, layers=1, keep=KEEP, name=None)
     command("recent", "show the newest predictions of a topic", "predictions")
     command("history", "show the newest metrics of a topic", "metrics")
     return top
@@ -114,11 +121,13 @@ def start(spark, a):
     if a.command == "ingest":
         source = topic(a.topic, a.starting, a.per_trigger)
         return jobs.start_ingest(
-            spark, source, a.table, a.quarantine, a.checkpoint, trigger=trigger, name=a.name
+            spark, source, a.table, a.quarantine, a.checkpoint, trigger=trigger, name=a.name,
+            fold_every=a.fold_every, buckets=a.buckets,
         )
     if a.command == "retrain":
         return jobs.start_retraining(
-            spark, a.table, a.models, a.checkpoint, trigger=trigger, keep=a.keep
+            spark, a.table, a.models, a.checkpoint, trigger=trigger, keep=a.keep,
+            incremental=a.incremental,
         )
     if a.command == "score":
         live = a.starting or ("latest" if a.topic.startswith("kafka:") else None)
@@ -128,6 +137,9 @@ def start(spark, a):
         )
     if a.command == "compact":
         return compact(spark, a.table, a.name)
+    if a.command == "fold":
+        fold(spark, a.table, a.buckets, a.keep, a.layers, a.name)
+        return None
     if a.command == "recent":
         return recent(spark, a.predictions).show(V.RECENT_PREDICTIONS, truncate=False)
     return history(spark, a.metrics).show(V.METRICS_HISTORY, truncate=False)

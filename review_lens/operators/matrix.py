@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from review_lens.functions import labels as L
 from review_lens.functions.labels import quoted
-from review_lens.operators.keyed import latest_per_key
+from review_lens.operators.keyed import comment_tie, latest_per_key
 from review_lens.schema import ASPECTS, OTHERS, RATED_ASPECTS
 
 # Bits of a code, and of the hash of an id that settles which of several reviews of one
@@ -30,10 +30,10 @@ def label_entries(reviews: DataFrame, *keep: str) -> DataFrame:
 def _labelled(reviews: DataFrame, arrived: str) -> DataFrame:
     """Comment, time of arrival and label bits of the reviews that may train models."""
     usable = F.col("comment").isNotNull() & L.maybe_labelled("label")
-    return reviews.where(usable).select("comment", _rank(reviews, arrived), L.label_bits().alias("bits"))
+    return reviews.where(usable).select("comment", arrival_rank(reviews, arrived), L.label_bits().alias("bits"))
 
 
-def _rank(reviews: DataFrame, arrived: str) -> Column:
+def arrival_rank(reviews: DataFrame, arrived: str) -> Column:
     """Time of arrival in microseconds, bits of the id's MD5, and room for a code, in one long.
 
     All reviews of a micro-batch arrive at one instant. The id decides between them,
@@ -59,7 +59,7 @@ def _newest(code: str) -> str:
     return f"max(at | cast({code} AS BIGINT))"
 
 
-def _unpacked(aspect: str) -> str:
+def unpacked(aspect: str) -> str:
     return f"cast(coalesce({quoted(aspect)} & 3L, 0L) AS INT) AS {quoted(aspect)}"
 
 
@@ -72,19 +72,21 @@ def aspect_matrix(reviews: DataFrame, arrived="ingestion_timestamp") -> DataFram
     return _coded(_labelled(reviews, arrived), "comment")
 
 
-def _coded(labelled: DataFrame, key: str) -> DataFrame:
-    """The newest code of each aspect for every `key` with a well-formed label part."""
+def packed_codes(labelled: DataFrame, key: str) -> DataFrame:
+    """For every `key` the newest code of each aspect with its rank, in one long; OTHERS; and
+    `any`, which is 0 where no label part is well-formed. All are maxima, hence can be merged."""
     newest = [
         F.expr(f"{_newest(L.code('bits', a))} FILTER (WHERE {L.mentioned('bits', a)})").alias(a)
         for a in RATED_ASPECTS
     ]
-    others = F.expr(f"max({L.code('bits', OTHERS)})").alias(OTHERS)
-    return (
-        labelled.groupBy(key)
-        .agg(*newest, others, F.max("bits").alias("any"))
-        .where("any <> 0")
-        .selectExpr(key, *[_unpacked(a) for a in RATED_ASPECTS], OTHERS)
-    )
+    others = F.expr(f"max(cast({L.code('bits', OTHERS)} AS BIGINT))").alias(OTHERS)
+    return labelled.groupBy(key).agg(*newest, others, F.max("bits").alias("any"))
+
+
+def _coded(labelled: DataFrame, key: str) -> DataFrame:
+    """The newest code of each aspect for every `key` with a well-formed label part."""
+    coded = packed_codes(labelled, key).where("any <> 0")
+    return coded.selectExpr(key, *[unpacked(a) for a in RATED_ASPECTS], f"cast({OTHERS} AS INT) AS {OTHERS}")
 
 
 def landed_matrix(landed: DataFrame, arrived="ingestion_timestamp") -> DataFrame:
@@ -95,12 +97,13 @@ def landed_matrix(landed: DataFrame, arrived="ingestion_timestamp") -> DataFrame
     """
     digested = landed.withColumn("digest", comment_digest())
     slim = digested.select(
-        "id", "digest", F.col("comment").isNotNull().alias("told"), arrived, "date_time", "label", "n_star"
-    )
-    order = [F.col(c).desc_nulls_last() for c in ("date_time", "label", "digest", "n_star")]
+        "id", "digest", F.col("comment").isNotNull().alias("told"), arrived, "date_time", "label",
+        comment_tie().alias("tie"), "n_star",
+    )
+    order = [F.col(c).desc_nulls_last() for c in ("date_time", "label", "tie", "n_star")]
     newest = latest_per_key(slim, "id", arrived, *order)
     usable = newest.where(F.col("told") & L.maybe_labelled("label"))
-    coded = _coded(usable.select("digest", _rank(usable, arrived), L.label_bits().alias("bits")), "digest")
+    coded = _coded(usable.select("digest", arrival_rank(usable, arrived), L.label_bits().alias("bits")), "digest")
     texts = digested.where("comment IS NOT NULL").select("digest", "comment").dropDuplicates(["digest"])
     return texts.join(coded, "digest").drop("digest")
 
@@ -142,7 +145,7 @@ def aspect_matrix_joined(reviews: DataFrame, arrived="ingestion_timestamp") -> D
     comments = labelled.where("bits <> 0").select("comment").distinct()
     comments = comments.withColumn("digest", comment_digest())
     joined = comments.join(pivoted, "digest", "left").join(flags, "digest", "left")
-    rated = [_unpacked(a) for a in RATED_ASPECTS]
+    rated = [unpacked(a) for a in RATED_ASPECTS]
     return fill_absent(joined.selectExpr("comment", *rated, OTHERS), "comment")
 
 

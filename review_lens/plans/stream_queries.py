@@ -1,10 +1,15 @@
 """Queries that run a continuous job over all reviews until its feed is used up."""
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from review_lens.functions import labels as L
 from review_lens.functions.records import from_messages
+from review_lens.operators import examples
 from review_lens.operators import models as M
+from review_lens.operators.features import COUNTS
 from review_lens.operators.quality import batch_metrics
 from review_lens.plans import fixtures as P
 from review_lens.plans.model_queries import trained_root
@@ -17,9 +22,15 @@ from review_lens.schema import (
     WIRE_SCHEMA,
 )
 from review_lens.session import scratch_dir
-from review_lens.sinks.tables import land_reviews
+from review_lens.sinks.tables import fold, land_reviews
 from review_lens.sinks.topics import file_outlet, write_record_files
-from review_lens.sources.reviews import read_landed, read_quarantine, read_reviews
+from review_lens.sources.reviews import (
+    landed_files,
+    read_files,
+    read_landed,
+    read_quarantine,
+    read_reviews,
+)
 from review_lens.sources.topics import file_topic, read_messages
 from review_lens.streaming.jobs import (
     publish_rows,
@@ -187,7 +198,99 @@ def scheduled_retrain(spark, sf_dir):
     return published.select("version", "training_rows", count)
 
 
+def _corrected(spark, sf_dir):
+    """All reviews, and a later version of every thirtieth with another comment."""
+    rows = P.reviews(spark, sf_dir).withColumns(
+        {c: F.col(c).cast("timestamp") for c in ("date_time", "ingestion_timestamp")}
+    )
+    later = rows.where("doc_id % 30 = 0").withColumns(
+        {
+            "comment": F.concat("comment", F.lit(" corrected")),
+            "ingestion_timestamp": F.col("ingestion_timestamp") + F.expr("INTERVAL 1 DAY"),
+        }
+    )
+    return rows, later
+
+
+def _thirds(spark, sf_dir, path, repeat):
+    """Land all reviews in three steps and stop after each; corrections come with the second, and
+    with the third the second batch is run again if `repeat`."""
+    rows, later = _corrected(spark, sf_dir)
+    for step in range(3):
+        mine = rows.where(F.col("doc_id") % 3 == step)
+        land_reviews(mine.union(later) if step == 1 else mine, path, "train", "steps", step)
+        if step == 2 and repeat:
+            again = read_files(spark, path, [f for f in landed_files(spark, path) if "/batch_id=1/" in f])
+            copy = scratch_dir(spark, "again")
+            again.write.parquet(copy)
+            land_reviews(spark.read.schema(LANDED_SCHEMA).parquet(copy), path, "train", "steps", 1)
+        yield step
+
+
+def incremental_matrix(spark, sf_dir):
+    """Training examples kept up to date over three landings: codes and tokens of each text."""
+    path = scratch_dir(spark, "incremental")
+    for _ in _thirds(spark, sf_dir, path, repeat=True):
+        examples.update(spark, path, buckets=8)
+    rows = examples.examples(spark, path)
+    tokens = F.aggregate(f"{COUNTS}.values", F.lit(0.0), lambda a, x: a + x)
+    return rows.select(
+        F.lower(F.hex("digest")).alias("digest"), *ASPECTS, tokens.cast("bigint").alias("tokens")
+    )
+
+
+def compacted_under_reader(spark, sf_dir):
+    """Reviews seen by readers that were planned before the table was folded under them."""
+    path = scratch_dir(spark, "folded")
+    readers = []
+    for _ in _thirds(spark, sf_dir, path, repeat=False):
+        readers.append(read_reviews(spark, path))
+        fold(spark, path, buckets=8, keep=4)
+    readers.append(read_reviews(spark, path))
+    time = F.col("date_time").cast("timestamp_ntz").alias("date_time")
+    seen = [
+        rows.select(F.lit(k).alias("reader"), "id", F.sha2("comment", 256).alias("comment"), "n_star", time, "label")
+        for k, rows in enumerate(readers)
+    ]
+    return reduce(DataFrame.union, seen)
+
+
+#: The reviews with later versions in the place of those they correct.
+_CORRECT = [
+    ("text AS comment", "CASE WHEN doc_id % 30 = 0 THEN text || ' corrected' ELSE text END AS comment"),
+    (
+        "AS ingestion_timestamp FROM coded",
+        "+ CASE WHEN doc_id % 30 = 0 THEN INTERVAL 1 DAY ELSE INTERVAL 0 DAY END AS ingestion_timestamp FROM coded",
+    ),
+]
+
+
+def _correct(sql):
+    for old, new in _CORRECT:
+        if old not in sql:
+            raise ValueError(old)
+        sql = sql.replace(old, new)
+    return sql
+
+
+_SEEN = "id, sha256(comment) AS comment, n_star, date_time, label FROM"
+
 QUERIES = {
+    "incremental_matrix": (
+        incremental_matrix,
+        f"WITH {_correct(P.MATRIX_SQL)}, bodies AS (SELECT comment, lower(comment) AS low, "
+        r"regexp_replace(lower(comment), '[ \t\n\x0B\f\r]+$', '') AS body FROM matrix) "
+        f"SELECT sha256(m.comment) AS digest, {', '.join('m.' + P._q(a) for a in ASPECTS)}, "
+        r"CASE WHEN body = '' AND low <> '' THEN 0 ELSE len(string_split_regex(body, '[ \t\n\x0B\f\r]')) END "
+        "AS tokens FROM matrix m JOIN bodies b ON b.comment = m.comment",
+    ),
+    "compacted_under_reader": (
+        compacted_under_reader,
+        f"WITH {P.REVIEWS_SQL}, corrected AS (WITH {_correct(P.REVIEWS_SQL)} SELECT * FROM reviews) "
+        f"SELECT 0 AS reader, {_SEEN} reviews WHERE doc_id % 3 = 0 "
+        f"UNION ALL SELECT 1, {_SEEN} corrected WHERE doc_id % 3 < 2 "
+        f"UNION ALL SELECT 2, {_SEEN} corrected UNION ALL SELECT 3, {_SEEN} corrected",
+    ),
     "stream_feed": (
         stream_feed,
         f"WITH {P.REVIEWS_SQL}, sizes AS (SELECT (count(*) + 2) // 3 AS size FROM reviews), "

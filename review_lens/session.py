@@ -39,3 +39,12 @@ def remove(spark, path):
     """Delete a file or folder in whatever store it is; nothing happens if there is none."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def children(spark, path):
+    """Names of what is in a folder, in whatever store it is; none if there is no such folder."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(target):
+        return []
+    return [status.getPath().getName() for status in fs.listStatus(target)]

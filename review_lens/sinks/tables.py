@@ -7,7 +7,14 @@ from pyspark.sql import functions as F
 
 from review_lens.schema import LANDED_SCHEMA, LANDING_PARTITIONS, REVIEW_COLUMNS
 from review_lens.session import remove
-from review_lens.sources.reviews import read_landed, without_old_versions
+from review_lens.sinks import buckets as B
+from review_lens.sources.files import read_or_empty
+from review_lens.sources.reviews import (
+    folded_store,
+    landed_files,
+    read_files,
+    without_old_versions,
+)
 
 PARTITIONS = LANDING_PARTITIONS.fieldNames()
 
@@ -47,14 +54,15 @@ def land_reviews(reviews: DataFrame, path: str, source: str, run: str, batch_id:
 
 
 def compact(spark: SparkSession, path: str, name=None) -> None:
-    """Merge what has landed so far into few large files, one row per id, in the same table.
+    """Merge what has landed so far into few large files, one row per id, in the same partitions.
 
-    The merged rows are written as a run of source `compacted`; then exactly the files
+    For a table that nobody is reading: readers under way lose their files. `fold` is the way
+    for a table in use. The merged rows are written as a run of source `compacted`; then exactly the files
     that were read are deleted. Batches that land meanwhile are neither read nor
     deleted. Between the two steps readers see a review twice, and the keyed view
     keeps one of them; so does it after a failure there.
     """
-    landed = read_landed(spark, path)
+    landed = read_or_empty(spark, path, LANDED_SCHEMA)
     read = landed.inputFiles()
     if not read:
         return
@@ -70,6 +78,55 @@ def compact(spark: SparkSession, path: str, name=None) -> None:
         spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")
 
 
+def fold(
+    spark: SparkSession, path: str, buckets=B.BUCKETS, keep=B.KEEP, layers=1, name=None
+) -> B.Snapshot | None:
+    """Take what has landed since the last call into the table's buckets of ids.
+
+    The newest version of each id becomes a row of its bucket. Only buckets with new ids get
+    written: as one more layer, or whole once they have more than `layers`. `buckets` holds
+    for the first call. Readers go on with what they began with, through `keep` - 1 further
+    calls: layers and landed files are deleted when none of the newest `keep` snapshots needs them, and
+    landed files not before `operators.examples` has taken them, where that is in use.
+    `name` is the catalog's name of the landing partitions; those deleted go from it.
+    """
+    store = folded_store(path)
+    held = B.newest(spark, store)
+    files = landed_files(spark, path)
+    fresh = set(files) - (held.taken if held else set())
+    if fresh:
+        held = held or B.Snapshot(-1, buckets)
+        rows = B.dealt(without_old_versions(read_files(spark, path, fresh)), "id", held.buckets)
+        folded = B.added(
+            rows, store, held.tables.get("reviews", {}), "id", held.buckets, layers, without_old_versions
+        )
+        taken = fresh | (held.taken & set(files))
+        held = B.Snapshot(held.version + 1, held.buckets, {"reviews": folded}, frozenset(taken))
+        B.publish(spark, store, held)
+    if held:
+        release(spark, path, B.prune(spark, store, keep), keep, name)
+    return held
+
+
+def release(spark: SparkSession, path: str, kept: list[B.Snapshot], keep: int, name=None) -> None:
+    """Delete landed files that all kept snapshots have taken, and those of the examples as well."""
+    if len(kept) < keep:
+        return
+    examples = B.newest(spark, examples_store(path))
+    done = set(kept[0].taken) & (set(examples.taken) if examples else set(kept[0].taken))
+    gone = [file for file in landed_files(spark, path) if file in done]
+    for file in gone:
+        remove(spark, f"{path.rstrip('/')}/{file}")
+    remove_empty(spark, path, {f"{path.rstrip('/')}/{file.rsplit('/', 1)[0]}" for file in gone})
+    if name and gone:
+        spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")
+
+
+def examples_store(path: str) -> str:
+    """Where the training examples of a landed table are kept up to date."""
+    return f"{path.rstrip('/')}/_examples"
+
+
 def remove_empty(spark: SparkSession, root: str, folders: set[str]) -> None:
     """Delete partition folders that hold no rows any more, and those above them."""
     hadoop = spark._jvm.org.apache.hadoop.fs.Path

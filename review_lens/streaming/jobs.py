@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from review_lens.functions import labels as L
 from review_lens.functions.labels import quoted
 from review_lens.functions.records import accepted, as_messages, parse_records, rejected
+from review_lens.operators import examples
 from review_lens.operators import models as M
 from review_lens.operators.matrix import landed_matrix
 from review_lens.operators.quality import metrics_messages, one_batch_metrics
@@ -24,7 +25,8 @@ from review_lens.schema import (
     WIRE_SCHEMA,
 )
 from review_lens.session import remove, scratch_dir
-from review_lens.sinks.tables import land, land_reviews, remove_empty
+from review_lens.sinks.buckets import BUCKETS
+from review_lens.sinks.tables import fold, land, land_reviews, remove_empty
 from review_lens.sinks.topics import Outlet, publish
 from review_lens.sources.files import read_or_empty
 from review_lens.sources.reviews import read_landed
@@ -80,10 +82,14 @@ def start_ingest(
     source="train",
     trigger=None,
     name=None,
+    fold_every=None,
+    buckets=BUCKETS,
 ):
     """Land a review topic; every batch has partitions of its own in the table.
 
-    `name` is the table's name in the catalog, if it is defined there.
+    `name` is the table's name in the catalog, if it is defined there. With `fold_every`
+    each so many batches what has landed is folded into `buckets` buckets of ids, by this
+    job alone, so that neither partitions nor old versions pile up.
     """
 
     def write(batch: DataFrame, run: str, batch_id: int):
@@ -91,6 +97,8 @@ def start_ingest(
         try:
             land_reviews(accepted(batch), table, source, run, batch_id, name)
             land(rejected(batch), quarantine, source, run, batch_id)
+            if fold_every and batch_id % fold_every == fold_every - 1:
+                fold(spark, table, buckets, name=name)
         finally:
             batch.unpersist()
 
@@ -98,9 +106,19 @@ def start_ingest(
     return _start(parsed, write, checkpoint, trigger or {"processingTime": "20 seconds"})
 
 
-def retrain(spark: SparkSession, table: str, model_root: str, keep=M.KEPT, **fit_options):
-    """One full retraining from the landed table; publishes unless it is empty."""
-    models = M.train(landed_matrix(read_landed(spark, table)), **fit_options)
+def retrain(
+    spark: SparkSession, table: str, model_root: str, keep=M.KEPT, incremental=False, **fit_options
+):
+    """One retraining from the landed table; publishes unless it is empty.
+
+    `incremental` reads only what landed since the last such call and keeps the training
+    examples up to date beside the table; the examples are those of a full retraining.
+    """
+    if incremental:
+        examples.update(spark, table)
+        models = M.train_counted(examples.examples(spark, table), **fit_options)
+    else:
+        models = M.train(landed_matrix(read_landed(spark, table)), **fit_options)
     if models is None:
         logger.warning("no training rows in %s; nothing is published", table)
         return None
