@@ -26,6 +26,7 @@ from review_lens.sources.topics import (  # noqa: E402
     newest_messages,
     read_kafka,
     read_messages,
+    record_topic,
 )
 from review_lens.streaming import jobs  # noqa: E402
 
@@ -35,16 +36,19 @@ def _kafka(name):
     return servers, topic
 
 
-def topic(name, starting=None, per_trigger=None):
-    """A topic to read. A folder has no offsets and no single records to count: it is
-    read from its beginning, some files at a time, and other wishes are refused."""
+def topic(name, starting=None, per_trigger=None, journal=None):
+    """A topic to read. A folder is read from its beginning, some files at a time; where a start
+    or a number of records is asked for, by the records of its committed batches, whose
+    order is kept in `journal`."""
     if name.startswith("kafka:"):
         return kafka_topic(
             *_kafka(name), starting=starting or "earliest", max_per_trigger=per_trigger or SLICE_ROWS
         )
-    if starting == "latest" or per_trigger is not None:
-        raise SystemExit(f"{name} is a folder: it takes neither --starting latest nor --per-trigger")
-    return message_topic(name)
+    if starting in (None, "earliest") and per_trigger is None:
+        return message_topic(name)
+    if journal is None:
+        raise SystemExit(f"{name} is a folder: without a journal it takes neither --starting latest nor --per-trigger")
+    return record_topic(name, journal, starting or "earliest", per_trigger or SLICE_ROWS)
 
 
 def outlet(name):
@@ -110,6 +114,11 @@ def history(spark, name):
     return V.metrics_history(from_messages(messages, METRICS_SCHEMA, "key"))
 
 
+def journal(a):
+    """Where a job keeps the order of a folder's batches: beside its checkpoint."""
+    return f"{a.checkpoint.rstrip('/')}-journal"
+
+
 def start(spark, a):
     """Run a command; a continuous job comes back as its running query."""
     trigger = {"processingTime": a.every} if "every" in a else None
@@ -119,7 +128,7 @@ def start(spark, a):
     if a.command == "define":
         return create_review_table(spark, a.name, a.table)
     if a.command == "ingest":
-        source = topic(a.topic, a.starting, a.per_trigger)
+        source = topic(a.topic, a.starting, a.per_trigger, journal(a))
         return jobs.start_ingest(
             spark, source, a.table, a.quarantine, a.checkpoint, trigger=trigger, name=a.name,
             fold_every=a.fold_every, buckets=a.buckets,
@@ -132,7 +141,7 @@ def start(spark, a):
     if a.command == "score":
         live = a.starting or ("latest" if a.topic.startswith("kafka:") else None)
         return jobs.start_scoring(
-            spark, topic(a.topic, live, a.per_trigger), a.models, a.table, a.quarantine,
+            spark, topic(a.topic, live, a.per_trigger, journal(a)), a.models, a.table, a.quarantine,
             outlet(a.predictions), outlet(a.metrics), a.checkpoint, trigger=trigger, name=a.name,
         )
     if a.command == "compact":

@@ -31,7 +31,12 @@ from review_lens.sources.reviews import (
     read_quarantine,
     read_reviews,
 )
-from review_lens.sources.topics import file_topic, read_messages
+from review_lens.sources.topics import (
+    file_topic,
+    read_messages,
+    record_topic,
+    stream_topic,
+)
 from review_lens.streaming.jobs import (
     publish_rows,
     start_ingest,
@@ -255,6 +260,38 @@ def compacted_under_reader(spark, sf_dir):
     return reduce(DataFrame.union, seen)
 
 
+def capped_stream(spark, sf_dir):
+    """A folder topic by record: no micro-batch takes more than an eighth of the reviews. The stream
+    is stopped when it has caught up with two slices, and started again for the third."""
+    base = scratch_dir(spark, "capped")
+    rows = P.reviews(spark, sf_dir).select("doc_id", "comment", "n_star", "label")
+    count = rows.count()
+    size, cap = -(-count // 3), -(-count // 8)
+    topic = record_topic(f"{base}/sent", f"{base}/journal", max_per_trigger=cap)
+
+    def note(batch, number):
+        batch.withColumn("tick", F.lit(number)).write.mode("overwrite").parquet(f"{base}/seen/{number}")
+
+    for part in (F.col("doc_id") < 2 * size, F.col("doc_id") >= 2 * size):
+        publish_rows(rows.where(part), file_outlet(f"{base}/sent"), "doc_id", size=size)
+        writer = stream_topic(spark, topic).writeStream.foreachBatch(note)
+        query = writer.option("checkpointLocation", f"{base}/state").start()
+        query.processAllAvailable()
+        query.stop()
+    seen = spark.read.schema("value STRING, tick BIGINT").option("recursiveFileLookup", True).parquet(f"{base}/seen")
+    records = seen.select("tick", F.from_json("value", WIRE_SCHEMA).alias("data"))
+    each = records.groupBy("tick").agg(
+        F.count(F.lit(1)).alias("records"), F.lit(0).cast("bigint").alias("ids"), F.lit(0).cast("bigint").alias("stars")
+    )
+    whole = records.agg(
+        F.lit(-1).cast("bigint").alias("tick"),
+        F.count(F.lit(1)).alias("records"),
+        F.countDistinct("data.id").alias("ids"),
+        F.sum("data.n_star").alias("stars"),
+    )
+    return each.union(whole)
+
+
 #: The reviews with later versions in the place of those they correct.
 _CORRECT = [
     ("text AS comment", "CASE WHEN doc_id % 30 = 0 THEN text || ' corrected' ELSE text END AS comment"),
@@ -284,6 +321,16 @@ QUERIES = {
         r"CASE WHEN body = '' AND low <> '' THEN 0 ELSE len(string_split_regex(body, '[ \t\n\x0B\f\r]')) END "
         "AS tokens FROM matrix m JOIN bodies b ON b.comment = m.comment",
     ),
+    "capped_stream": (
+        capped_stream,
+        f"WITH {P.REVIEWS_SQL}, n AS (SELECT count(*) AS n, (count(*) + 2) // 3 AS size, (count(*) + 7) // 8 AS cap FROM reviews), "
+        "parts AS (SELECT 0 AS part, 2 * size AS amount, cap FROM n UNION ALL SELECT 1, n - 2 * size, cap FROM n), "
+        "batches AS (SELECT part, k, least(cap, amount - k * cap) AS records "
+        "FROM (SELECT part, amount, cap, unnest(range((amount + cap - 1) // cap)) AS k FROM parts)) "
+        "SELECT row_number() OVER (ORDER BY part, k) - 1 AS tick, CAST(records AS BIGINT) AS records, "
+        "CAST(0 AS BIGINT) AS ids, CAST(0 AS BIGINT) AS stars FROM batches "
+        "UNION ALL SELECT -1, count(*), count(DISTINCT id), CAST(sum(n_star) AS BIGINT) FROM reviews",
+    ),
     "compacted_under_reader": (
         compacted_under_reader,
         f"WITH {P.REVIEWS_SQL}, corrected AS (WITH {_correct(P.REVIEWS_SQL)} SELECT * FROM reviews) "

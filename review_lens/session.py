@@ -48,3 +48,22 @@ def children(spark, path):
     if not fs.exists(target):
         return []
     return [status.getPath().getName() for status in fs.listStatus(target)]
+
+
+def exists(spark, path):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
+def write_text(spark, path, text):
+    """Write a small file, which appears whole or not at all."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    target = hadoop(path)
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    draft = hadoop(target.getParent(), f".{target.getName()}-{uuid.uuid4().hex}")
+    out = fs.create(draft, False)
+    try:
+        out.write(text.encode())
+    finally:
+        out.close()
+    fs.rename(draft, target)

@@ -1,10 +1,15 @@
 """Publishing messages."""
 
+import json
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from review_lens.schema import MESSAGE_SCHEMA
+from review_lens.session import children, exists, write_text
+from review_lens.sources.record_topic import COMMITS
+
 
 @dataclass(frozen=True)
 class Outlet:
@@ -30,21 +35,52 @@ def publish(messages: DataFrame, outlet: Outlet, run: str, batch_id: int | str)
 
     `batch_id` is the batch's number, or the column that has it.
 
-    Files of the batch are replaced when it is run again; a stream that follows the
-    folder reads the new files as well. Kafka keeps both copies. So a reader may see
-    a message twice: the views in `operators.views` keep the newest of each.
+    In a folder a batch counts once its writing is committed, with the names of its files: a
+    stream by `sources.topics.record_topic` sees committed batches alone, and each once. A
+    committed batch that is run again is not written again; what a failed one left is
+    replaced. Kafka keeps both copies, so a reader of Kafka may see a message twice: the
+    views in `operators.views` keep the newest of each.
     """
     if outlet.format == "kafka":
         messages.select("key", "value").write.format("kafka").options(**outlet.options).save()
         return
+    spark, path = messages.sparkSession, outlet.options["path"].rstrip("/")
+    if not isinstance(batch_id, str) and exists(spark, commit_file(path, run, batch_id)):
+        return
     number = F.col(batch_id) if isinstance(batch_id, str) else F.lit(batch_id)
     (
         messages.select("key", "value", F.lit(run).alias("run"), number.cast("bigint").alias("batch_id"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("run", "batch_id")
-        .parquet(outlet.options["path"])
+        .parquet(path)
     )
+    commit(spark, path, run, None if isinstance(batch_id, str) else batch_id)
+
+
+def commit_file(path: str, run: str, batch_id: int) -> str:
+    return f"{path}/{COMMITS}/{run}-{batch_id:012d}"
+
+
+def commit(spark: SparkSession, path: str, run: str, batch_id: int | None) -> None:
+    """Commit a written batch of a run, or all its batches, with files and their record counts."""
+    folder = f"{path}/run={run}"
+    if not exists(spark, folder):
+        return
+    if batch_id is None:
+        numbers = sorted(int(n.removeprefix("batch_id=")) for n in children(spark, folder) if n.startswith("batch_id="))
+    else:
+        numbers = [batch_id] if exists(spark, f"{folder}/batch_id={batch_id}") else []
+    if not numbers:
+        return
+    read = spark.read.schema(MESSAGE_SCHEMA).option("basePath", path)
+    rows = read.parquet(*(f"{folder}/batch_id={n}" for n in numbers))
+    # One row a file that was just written.
+    counts = rows.groupBy("batch_id", F.col("_metadata.file_name").alias("file")).count().collect()
+    for number in numbers:
+        files = sorted((r.file, r["count"]) for r in counts if r.batch_id == number)
+        said = [{"path": f"run={run}/batch_id={number}/{f}", "records": n} for f, n in files]
+        write_text(spark, commit_file(path, run, number), json.dumps({"run": run, "batch_id": number, "files": said}))
 
 
 def write_record_files(messages: DataFrame, path: str) -> None:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from review_lens.schema import MESSAGE_SCHEMA, SLICE_ROWS
+from review_lens.sources import record_topic as record_source
 from review_lens.sources.files import read_or_empty
 
 
@@ -47,8 +48,21 @@ def message_topic(path: str, max_files_per_trigger=10) -> Topic:
     return Topic("parquet", options, MESSAGE_SCHEMA)
 
 
+def record_topic(path: str, journal: str, starting="earliest", max_per_trigger=SLICE_ROWS) -> Topic:
+    """The same folder, by record: from its beginning or its end, so many records at a time.
+
+    `journal` is a folder of the stream's own, kept as long as its checkpoint.
+    """
+    options = {"path": path, "journal": journal, "starting": starting}
+    if max_per_trigger:
+        options["limit"] = str(max_per_trigger)
+    return Topic(record_source.NAME, options)
+
+
 def stream_topic(spark: SparkSession, topic: Topic) -> DataFrame:
     """The endless stream of a topic's messages as one string column `value`."""
+    if topic.format == record_source.NAME:
+        record_source.register(spark)
     reader = spark.readStream.format(topic.format).options(**topic.options)
     stream = (reader.schema(topic.schema) if topic.schema else reader).load()
     return stream.select(F.col("value").cast("string").alias("value"))
