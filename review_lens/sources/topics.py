@@ -59,13 +59,22 @@ def record_topic(path: str, journal: str, starting="earliest", max_per_trigger=S
     return Topic(record_source.NAME, options)
 
 
-def stream_topic(spark: SparkSession, topic: Topic) -> DataFrame:
-    """The endless stream of a topic's messages as one string column `value`."""
+def _stream(spark: SparkSession, topic: Topic) -> DataFrame:
     if topic.format == record_source.NAME:
         record_source.register(spark)
     reader = spark.readStream.format(topic.format).options(**topic.options)
-    stream = (reader.schema(topic.schema) if topic.schema else reader).load()
-    return stream.select(F.col("value").cast("string").alias("value"))
+    return (reader.schema(topic.schema) if topic.schema else reader).load()
+
+
+def stream_topic(spark: SparkSession, topic: Topic) -> DataFrame:
+    """The endless stream of a topic's messages as one string column `value`."""
+    return _stream(spark, topic).select(F.col("value").cast("string").alias("value"))
+
+
+def stream_messages(spark: SparkSession, topic: Topic) -> DataFrame:
+    """The endless stream of a topic's messages with their keys, for topics that have keys."""
+    stream = _stream(spark, topic)
+    return stream.select(F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"))
 
 
 def read_messages(spark: SparkSession, path: str) -> DataFrame:
