@@ -1,5 +1,7 @@
 """Queries over predictions and metrics."""
 
+import time
+
 from pyspark.sql import functions as F
 
 from review_lens.functions import labels as L
@@ -11,7 +13,8 @@ from review_lens.plans import fixtures as P
 from review_lens.schema import ASPECTS, METRICS_SCHEMA, PREDICTION_COLUMNS, PREDICTION_SCHEMA
 from review_lens.session import scratch_dir
 from review_lens.sinks.topics import file_outlet, publish
-from review_lens.sources.topics import read_messages
+from review_lens.sources.topics import read_messages, record_topic
+from review_lens.streaming import tails
 
 _MEASURES = ("accuracy_per_label", "exact_match_accuracy", "f1_micro", "f1_macro")
 
@@ -91,6 +94,53 @@ def recent_predictions_50(spark, sf_dir):
     )
 
 
+def live_predictions(spark, sf_dir):
+    """The list that follows a topic of predictions, after each of three micro-batches: half of the
+    reviews with older results of others, the other half, then repeats and late results."""
+    base = scratch_dir(spark, "live")
+    sent = _predictions(spark, sf_dir)
+    before = sent.where("id % 3 = 0").withColumns(
+        {
+            "processing_timestamp": F.col("processing_timestamp") - F.expr("INTERVAL 1 HOUR"),
+            "predicted_label": F.lit("{OTHERS};"),
+        }
+    )
+    steps = [sent.where("id % 2 = 0").union(before), sent.where("id % 2 = 1"), sent.where("id % 5 = 0").union(before)]
+    topic = record_topic(f"{base}/sent", f"{base}/journal", max_per_trigger=None)
+    query = tails.start_recent(spark, topic, f"{base}/shown", f"{base}/state")
+    for step, rows in enumerate(steps):
+        publish(as_messages(rows, key="id"), file_outlet(f"{base}/sent"), "run", step)
+        query.processAllAvailable()
+        tails.recent(spark, f"{base}/shown").write.parquet(f"{base}/lists/step={step}")
+    query.stop()
+    stamp = F.col("processing_timestamp").cast("timestamp_ntz").alias("processing_timestamp")
+    return spark.read.parquet(f"{base}/lists").select("step", stamp, "comment", "n_star", "label", "predicted_label")
+
+
+def live_metrics(spark, sf_dir):
+    """The history that follows a topic of metrics: every batch is measured again half a minute
+    later, and once more with a stamp that is a year too late. `late` counts the last."""
+    base = scratch_dir(spark, "live-metrics")
+    rows = _stamped(_metrics(spark, sf_dir)).select(*METRICS_SCHEMA.fieldNames())
+    again = rows.withColumns(
+        {"timestamp": F.concat(F.substring("timestamp", 1, 17), F.lit("30")), "total_records": F.lit(0).cast("bigint")}
+    )
+    late = rows.withColumn("timestamp", F.concat(F.lit("2023"), F.substring("timestamp", 5, 30)))
+    topic = record_topic(f"{base}/sent", f"{base}/journal", max_per_trigger=None)
+    query = tails.start_history(spark, topic, f"{base}/shown", f"{base}/late", f"{base}/state", patience="30 days")
+    for step, sent in enumerate((rows, again, late)):
+        messages = as_messages(sent).withColumn("key", F.lit("stream"))
+        publish(messages, file_outlet(f"{base}/sent"), "run", step)
+        query.processAllAvailable()
+    query.stop()
+    # What Spark reports of a micro-batch arrives a moment after it.
+    deadline = time.time() + 60
+    while time.time() < deadline and tails.late_rows(spark, f"{base}/late").isEmpty():
+        time.sleep(0.2)
+    counted = tails.late_rows(spark, f"{base}/late").agg(F.sum("rows")).first()[0]
+    return _rounded(tails.history(spark, f"{base}/shown")).withColumn("late", F.lit(counted).cast("bigint"))
+
+
 def _stamped(metrics):
     """Metrics with the moment their batch would have been measured."""
     moment = F.lit("2024-02-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(
@@ -184,6 +234,22 @@ QUERIES = {
         f"WITH {_PREDICTIONS_SQL} SELECT processing_timestamp, comment, n_star, label, "
         "predicted_label FROM predictions ORDER BY processing_timestamp DESC, id LIMIT 50",
     ),
+    "live_predictions": (
+        live_predictions,
+        f"WITH {_PREDICTIONS_SQL}, newest AS (SELECT * FROM predictions ORDER BY processing_timestamp DESC, id LIMIT 50), "
+        "early AS (SELECT * FROM predictions WHERE CAST(id AS BIGINT) % 2 = 0 UNION ALL "
+        "SELECT * REPLACE (processing_timestamp - INTERVAL 1 HOUR AS processing_timestamp, '{OTHERS};' AS predicted_label) "
+        "FROM predictions WHERE CAST(id AS BIGINT) % 6 = 3), "
+        "first AS (SELECT * FROM early ORDER BY processing_timestamp DESC, id LIMIT 50) "
+        "SELECT 0 AS step, processing_timestamp, comment, n_star, label, predicted_label FROM first "
+        "UNION ALL SELECT 1, processing_timestamp, comment, n_star, label, predicted_label FROM newest "
+        "UNION ALL SELECT 2, processing_timestamp, comment, n_star, label, predicted_label FROM newest",
+    ),
+    "live_metrics": (
+        live_metrics,
+        f"WITH {P.METRICS_SQL} SELECT {_STAMP_SQL}, batch_id, total_records, {_ROUNDED_SQL}, "
+        "(SELECT count(*) FROM metrics) AS late FROM metrics ORDER BY batch_id DESC LIMIT 10",
+    ),
     "metrics_without_repeats": (
         metrics_without_repeats,
         f"WITH {P.METRICS_SQL} SELECT {_STAMP_SQL}, batch_id, total_records, {_ROUNDED_SQL} "
