@@ -27,8 +27,11 @@ from review_lens.llm.common import extended, labelled_sample, ready
 BOILERPLATE, CONTENT = 0, 1
 #: Labelled texts of each class that a fit uses, about and at most, picked by a hash.
 SAMPLE = 1_500
-#: Lines of a text that a fit looks at; decoding always sees all.
-FIT_LINES = 80
+#: Lines in a stretch: a fit learns from all lines of a text, cut into stretches of so many, so that
+#: a step's loop is as long as a stretch. Decoding always takes texts as they are.
+STRETCH = 80
+#: Texts with the most lines in a block, which are decoded one by one.
+ALONE = 32
 ROUNDS, STEPS = 3, 60
 #: Share of a text's words that must stand in content lines.
 LEAST_CONTENT = 0.5
@@ -143,9 +146,15 @@ GROUPS = [len(SIZES) + 1, *[len(SHARES) + 1] * len(CLASSES), 9, 2, 5, 6]
 WIDTH = sum(GROUPS)
 
 
-def padded(rows: np.ndarray, most: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+def stretches(rows: np.ndarray, most: int = STRETCH) -> np.ndarray:
+    """The first lines of all texts, and of each further `most` lines within one."""
+    cuts = [np.arange(a, b, most) for a, b in zip(rows[:-1], rows[1:], strict=True) if b > a]
+    return np.concatenate([*cuts, rows[-1:]])
+
+
+def padded(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Places of lines by text and position, and which of them there are."""
-    counts = np.diff(rows) if most is None else np.minimum(np.diff(rows), most)
+    counts = np.diff(rows)
     at = np.arange(counts.max(initial=0))
     there = at < counts[:, None]
     return np.where(there, rows[:-1, None] + at, 0), there
@@ -194,11 +203,17 @@ class Chain:
             value += rate * change / (np.sqrt(past) + 1e-6)
 
     def decode(self, features: np.ndarray, rows: np.ndarray) -> np.ndarray:
-        """The best label of every line. Texts with lines left are worked on side by side."""
+        """The best label of every line. The texts with the most lines are worked off one by one,
+        those with lines left of the others side by side."""
         scores = self.emissions(features)
+        labels = np.zeros(len(features), np.int8)
         order = np.argsort(-np.diff(rows), kind="stable")
+        for text in order[:ALONE].tolist():
+            a, b = int(rows[text]), int(rows[text + 1])
+            if b > a:
+                labels[a:b] = self.best(scores[a:b].tolist())
+        order = order[ALONE:]
         starts, counts = rows[:-1][order], np.diff(rows)[order]
-        labels = np.zeros(len(features), np.int8)
         back = np.zeros((len(features), 2), np.int8)
         now = np.zeros((len(order), 2))
         for k in range(counts.max(initial=0)):
@@ -219,20 +234,46 @@ class Chain:
             last[:open_] = back[at, last[:open_]]
         return labels
 
-    def fit(self, texts: list[str], good: np.ndarray) -> "Chain":
-        lines = Lines(pa.array(texts, pa.large_string()))
-        features = lines.features()
-        places, there = padded(lines.rows, FIT_LINES)
-        of_good = good[lines.row_of].astype(bool)
+    def best(self, scores: list) -> list[int]:
+        """The same for one text, by plain numbers: what an array costs more a line than two of them."""
+        (stay, leave), (enter, remain) = self.follows.tolist()
+        a, b = scores[0]
+        from_a, from_b = bytearray(1), bytearray(1)
+        for x, y in scores[1:]:
+            one, two = a + stay, b + enter
+            three, four = a + leave, b + remain
+            from_a.append(two > one)
+            from_b.append(four > three)
+            a = (two if two > one else one) + x
+            b = (four if four > three else three) + y
+        label, out = int(b > a), []
+        for k in range(len(scores) - 1, -1, -1):
+            out.append(label)
+            label = (from_b if label else from_a)[k]
+        return out[::-1]
+
+    def fit(self, features: np.ndarray, rows: np.ndarray, good: np.ndarray) -> "Chain":
+        """Fit on the features of all lines of some texts; `rows` has each text's first line."""
+        places, there = padded(stretches(rows))
+        of_good = np.repeat(good, np.diff(rows)).astype(bool)
         labels = of_good.astype(int)
         for _ in range(ROUNDS):
             memory = [np.zeros_like(self.weights), np.zeros_like(self.follows)]
             for k in range(STEPS):
                 self.step(features, places, there, labels, 0.1 if k < STEPS // 2 else 0.03, memory)
-            labels = np.where(of_good, CONTENT, self.decode(features, lines.rows))
+            labels = np.where(of_good, CONTENT, self.decode(features, rows))
         return self
 
 
+def line_features(texts: pa.Array) -> list[pa.Array]:
+    """The features of all lines of each text, one byte each, a text after the other."""
+    lines = Lines(texts)
+    data = lines.features().astype(np.uint8).tobytes()
+    offsets = (lines.rows * len(GROUPS)).astype(np.int64)
+    sizes = zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)
+    return [pa.array([data[a:b] for a, b in sizes], pa.binary())]
+
+
 def fit(
     docs: DataFrame, labels: DataFrame, label="quality", id_column="doc_id", text_column="text", sample: int = SAMPLE
 ) -> Chain | None:
@@ -241,13 +282,14 @@ def fit(
     rows, counts = labelled_sample(docs, labels, label, id_column, text_column, sample)
     if len(counts) < 2:
         return None
-    # Only the lines that a fit looks at come to the driver.
-    head = F.substring_index(F.coalesce("text", F.lit("")), "\n", FIT_LINES)
-    table = rows.select("id", "label", head.alias("text")).toArrow().sort_by("id")
+    # Features come to the driver, not texts: some bytes for each line of the sampled ones.
+    table = extended(rows, "text", "features binary", line_features, keep=["id", "label"]).toArrow().sort_by("id")
     good = table.column("label").to_numpy()
     if len(set(good.tolist())) < 2:
         return None
-    return Chain().fit(table.column("text").to_pylist(), good)
+    held = table.column("features").to_pylist()
+    features = np.frombuffer(b"".join(held), np.uint8).reshape(-1, len(GROUPS)).astype(np.int64)
+    return Chain().fit(features, np.cumsum([0, *(len(f) // len(GROUPS) for f in held)]), good)
 
 
 FIELDS = (

@@ -137,7 +137,8 @@ def op6_lm_scoring(spark, sf_dir):
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     held_out = fold("doc_id", 5) == 1
     found = weighting.scored(docs, docs.where(~held_out)).withColumnRenamed("id", "doc_id")
-    return found.withColumn("held_out", held_out)
+    measures = [name for name in found.columns if name != "doc_id"]
+    return found.select("doc_id", held_out.alias("held_out"), *measures)
 
 
 @registered

@@ -176,7 +176,12 @@ def leaks(
     size = tests.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     parts = max(1, -(-size // BLOCK_BYTES))
     names = docs.columns if keep is None else list(keep)
-    out = docs.select(*names, F.col(text_column).alias("text_of_leaks_"))
+    # Names of our own, whatever the input's are.
+    own = {name.lower() for name in docs.columns}
+    whole, before = "text_of_leaks_", "leaks_before_"
+    while own & {whole, before}:
+        whole, before = whole + "_", before + "_"
+    out = docs.select(*(F.col(f"`{name}`") for name in names), F.col(f"`{text_column}`").alias(whole))
     out = out.withColumn("n_words", F.lit(0)).withColumn("leaks", F.lit(None).cast(MATCH))
     for part in range(parts):
         block = tests.where(F.pmod(F.xxhash64("id", "text"), F.lit(parts)) == part).toArrow().combine_chunks()
@@ -187,12 +192,11 @@ def leaks(
             counts, found = sent.value.matches(texts)
             return [pa.array(counts, pa.int64()), pa.array(found, MATCH_TYPE)]
 
-        earlier = F.col("leaks").alias("leaks_before_")
-        out = out.select(*names, "text_of_leaks_", earlier)
-        held = [*names, "leaks_before_"] + (["text_of_leaks_"] if part + 1 < parts else [])
-        out = extended(out, "text_of_leaks_", f"n_words bigint, leaks {MATCH}", make, keep=held)
+        out = out.select(*(F.col(f"`{name}`") for name in names), whole, F.col("leaks").alias(before))
+        held = [*names, before] + ([whole] if part + 1 < parts else [])
+        out = extended(out, whole, f"n_words bigint, leaks {MATCH}", make, keep=held)
         none = F.array().cast(MATCH)
-        out = out.withColumn("leaks", F.concat(F.coalesce("leaks_before_", none), "leaks")).drop("leaks_before_")
+        out = out.withColumn("leaks", F.concat(F.coalesce(before, none), "leaks")).drop(before)
     return out
 
 
