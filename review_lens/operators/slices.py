@@ -1,6 +1,8 @@
 """Cutting an ordered table into numbered slices, as a feed sends it."""
 
-from pyspark.sql import DataFrame, Window
+import uuid
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from review_lens.schema import SLICE_ROWS
@@ -63,3 +65,28 @@ def feed_records(sliced: DataFrame) -> DataFrame:
     """
     now = F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
     return sliced.withColumns({"id": F.uuid(), "date_time": now})
+
+
+def feed_namespace(feed: str) -> uuid.UUID:
+    """The name space of the ids of a publication."""
+    return uuid.uuid5(uuid.NAMESPACE_URL, feed)
+
+
+def derived_id(feed: str, *content: str, row_index="row_index") -> Column:
+    """A version 5 UUID from a row's position and content: the same whenever it is published."""
+    told = F.concat_ws("\x1f", *(F.coalesce(F.col(c).cast("string"), F.lit("")) for c in content))
+    name = F.concat(F.col(row_index).cast("string"), F.lit(":"), told)
+    space = F.unhex(F.lit(feed_namespace(feed).hex))
+    digits = F.sha1(F.concat(space, F.encode(name, "UTF-8")))
+    part = lambda start, length: F.substring(digits, start, length)
+    variant = F.conv(part(17, 1), 16, 10).cast("int") % 4
+    return F.concat(
+        part(1, 8), F.lit("-"), part(9, 4), F.lit("-5"), part(14, 3), F.lit("-"),
+        F.element_at(F.array(*map(F.lit, "89ab")), variant + 1), part(18, 3), F.lit("-"), part(21, 12),
+    )
+
+
+def derived_records(sliced: DataFrame, feed: str) -> DataFrame:
+    """Outgoing rows with ids that a second publication would give them too."""
+    now = F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    return sliced.withColumns({"id": derived_id(feed, "comment", "n_star", "label"), "date_time": now})

@@ -5,11 +5,19 @@ from pyspark.sql import functions as F
 from review_lens.functions.records import accepted, as_messages, parse_records, rejected
 from review_lens.operators import slices as S
 from review_lens.operators.keyed import latest_per_key
+from review_lens.operators.slices import feed_namespace
 from review_lens.plans import fixtures as P
-from review_lens.schema import REVIEW_COLUMNS, SLICE_ROWS, WIRE_SCHEMA
+from review_lens.schema import CSV_SCHEMA, REVIEW_COLUMNS, SLICE_ROWS, WIRE_SCHEMA
 from review_lens.session import scratch_dir
 from review_lens.sinks.tables import compact, create_review_table, land_reviews
+from review_lens.sinks.topics import file_outlet
+from review_lens.sources.delimited import read_split_csv
 from review_lens.sources.reviews import CSV_FORMAT, read_landed, read_review_csv, read_reviews
+from review_lens.sources.topics import read_messages
+from review_lens.streaming.jobs import publish_feed
+
+
+_FEED = "reviews/resumed"
 
 
 def _plain_time(name):
@@ -82,6 +90,29 @@ def review_csv_in(spark, sf_dir):
     return read_review_csv(spark, path).fillna("", ["label"])
 
 
+def review_csv_split(spark, sf_dir):
+    """The same files with each of them split among tasks, records with line breaks and all."""
+    path = scratch_dir(spark, "csv")
+    stamp = F.date_format("date_time", "yyyy-MM-dd'T'HH:mm:ss").alias("date_time")
+    rows = P.reviews(spark, sf_dir).select("comment", "n_star", stamp, "label")
+    rows.write.options(**CSV_FORMAT).csv(path)
+    return read_split_csv(spark, path, CSV_SCHEMA, CSV_FORMAT).drop("file", "place").fillna("", ["label"])
+
+
+def resumed_feed(spark, sf_dir):
+    """A publication that stopped after its first slice and went on: each record once, under an
+    id that its place and content give."""
+    path = scratch_dir(spark, "resumed")
+    rows = P.reviews(spark, sf_dir).select("doc_id", "comment", "n_star", "label")
+    size = -(-rows.count() // 3)
+    for most in (1, None, None):
+        publish_feed(rows, file_outlet(path), _FEED, "doc_id", size=size, most=most)
+    sent = read_messages(spark, path).select(
+        F.col("batch_id").alias("slice"), F.from_json("value", WIRE_SCHEMA).alias("data")
+    )
+    return sent.select("slice", "data.id", "data.n_star", "data.label")
+
+
 def batch_slices(spark, sf_dir):
     """Slices of a table whose key already counts its rows."""
     rows = P.reviews(spark, sf_dir).select("id", F.col("doc_id").alias("row_index"))
@@ -229,6 +260,20 @@ QUERIES = {
         f"WITH {P.REVIEWS_SQL} SELECT comment, n_star, "
         "strftime(date_time, '%Y-%m-%dT%H:%M:%S') AS date_time, label FROM reviews",
     ),
+    "review_csv_split": (
+        review_csv_split,
+        f"WITH {P.REVIEWS_SQL} SELECT comment, n_star, "
+        "strftime(date_time, '%Y-%m-%dT%H:%M:%S') AS date_time, label FROM reviews",
+    ),
+    "resumed_feed": (
+        resumed_feed,
+        f"WITH {P.REVIEWS_SQL}, sizes AS (SELECT (count(*) + 2) // 3 AS size FROM reviews), "
+        f"hashed AS (SELECT doc_id, n_star, label, sha1(unhex('{feed_namespace(_FEED).hex}') || "
+        "encode(concat(doc_id, ':', comment, chr(31), n_star, chr(31), label))) AS h FROM reviews) "
+        "SELECT doc_id // (SELECT size FROM sizes) AS slice, concat(substr(h, 1, 8), '-', substr(h, 9, 4), "
+        "'-5', substr(h, 14, 3), '-', substr('89ab', CAST(('0x' || substr(h, 17, 1)) AS BIGINT) % 4 + 1, 1), "
+        "substr(h, 18, 3), '-', substr(h, 21, 12)) AS id, n_star, label FROM hashed",
+    ),
     "batch_slices": (
         batch_slices,
         f"WITH {_SLICES_SQL} SELECT id, row_index, slice FROM slices",

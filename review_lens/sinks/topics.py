@@ -62,6 +62,12 @@ def commit_file(path: str, run: str, batch_id: int) -> str:
     return f"{path}/{COMMITS}/{run}-{batch_id:012d}"
 
 
+def committed(spark: SparkSession, outlet: Outlet, run: str) -> list[int]:
+    """Numbers of the committed batches of a run in a folder topic."""
+    names = children(spark, f"{outlet.options['path'].rstrip('/')}/{COMMITS}")
+    return sorted(int(n.removeprefix(f"{run}-")) for n in names if n.startswith(f"{run}-"))
+
+
 def commit(spark: SparkSession, path: str, run: str, batch_id: int | None) -> None:
     """Commit a written batch of a run, or all its batches, with files and their record counts."""
     folder = f"{path}/run={run}"
@@ -71,6 +77,8 @@ def commit(spark: SparkSession, path: str, run: str, batch_id: int | None) -> No
         numbers = sorted(int(n.removeprefix("batch_id=")) for n in children(spark, folder) if n.startswith("batch_id="))
     else:
         numbers = [batch_id] if exists(spark, f"{folder}/batch_id={batch_id}") else []
+    done = set(committed(spark, file_outlet(path), run))
+    numbers = [n for n in numbers if n not in done]
     if not numbers:
         return
     read = spark.read.schema(MESSAGE_SCHEMA).option("basePath", path)

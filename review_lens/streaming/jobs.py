@@ -15,7 +15,13 @@ from review_lens.operators import examples
 from review_lens.operators import models as M
 from review_lens.operators.matrix import landed_matrix
 from review_lens.operators.quality import metrics_messages, one_batch_metrics
-from review_lens.operators.slices import feed_records, number_rows, slice_rows
+from review_lens.operators.slices import (
+    derived_records,
+    feed_namespace,
+    feed_records,
+    number_rows,
+    slice_rows,
+)
 from review_lens.schema import (
     ASPECTS,
     PREDICTION_COLUMNS,
@@ -27,7 +33,7 @@ from review_lens.schema import (
 from review_lens.session import remove, scratch_dir
 from review_lens.sinks.buckets import BUCKETS
 from review_lens.sinks.tables import fold, land, land_reviews, remove_empty
-from review_lens.sinks.topics import Outlet, publish
+from review_lens.sinks.topics import Outlet, committed, publish
 from review_lens.sources.files import read_or_empty
 from review_lens.sources.reviews import read_landed
 from review_lens.sources.topics import Topic, clock, stream_topic
@@ -65,12 +71,34 @@ def publish_rows(rows: DataFrame, outlet: Outlet, *order: str, size=SLICE_ROWS)
         remove(spark, path)
 
 
-def publish_slices(records: DataFrame, outlet: Outlet) -> None:
+def publish_feed(rows: DataFrame, outlet: Outlet, feed: str, *order: str, size=SLICE_ROWS, most=None) -> int:
+    """Publish a table to a folder topic under a name, so that it can be resumed.
+
+    `feed` names the publication. Its committed slices are the ledger: a call goes on after the
+    last of them, with at most `most` slices, and gives the number of slices published so
+    far. Ids follow from the name, a row's position and its content, so a slice that was
+    written but not committed is replaced by equal records. The table must not change meanwhile.
+    """
+    spark = rows.sparkSession
+    run = f"feed-{feed_namespace(feed)}"
+    done = len(committed(spark, outlet, run))
+    path = scratch_dir(spark, "feed")
+    try:
+        sent = slice_rows(number_rows(rows, *order, path=f"{path}/numbered"), size=size)
+        rest = sent.where(F.col("slice") >= done)
+        rest = rest if most is None else rest.where(F.col("slice") < done + most)
+        publish_slices(derived_records(rest, feed), outlet, run)
+    finally:
+        remove(spark, path)
+    return len(committed(spark, outlet, run))
+
+
+def publish_slices(records: DataFrame, outlet: Outlet, run=None) -> None:
     """Publish records that have the number of their slice, all in one job."""
     fields = [F.col(name) for name in WIRE_SCHEMA.fieldNames()]
     value = F.to_json(F.struct(*fields)).alias("value")
     key = F.lit(None).cast("string").alias("key")
-    publish(records.select(key, value, "slice"), outlet, uuid.uuid4().hex, "slice")
+    publish(records.select(key, value, "slice"), outlet, run or uuid.uuid4().hex, "slice")
 
 
 def start_ingest(
