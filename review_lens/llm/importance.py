@@ -192,6 +192,8 @@ def resampled(
         "n_features",
         "weight",
     )
+    # Written before it is ranged: finding the ranges would read all texts once more.
+    scored = settled(scored, "importance-scores")
     numbered = settled(number_rows(scored, "short", "low", "no_id", "id"), "importance")
     count = numbered.agg(F.expr(f"count_if(NOT short) * {percent} div 100").alias("due")).first()["due"]
     rank = F.when(~F.col("short") & (F.col("row_index") < count), F.col("row_index") + 1)
