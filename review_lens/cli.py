@@ -14,12 +14,22 @@ from pyspark.sql import functions as F  # noqa: E402
 from review_lens.functions.records import from_messages  # noqa: E402
 from review_lens.operators import views as V  # noqa: E402
 from review_lens.operators.models import KEPT  # noqa: E402
-from review_lens.schema import METRICS_SCHEMA, PREDICTION_SCHEMA, SLICE_ROWS  # noqa: E402
+from review_lens.schema import (  # noqa: E402
+    CSV_SCHEMA,
+    METRICS_SCHEMA,
+    PREDICTION_SCHEMA,
+    SLICE_ROWS,
+)
 from review_lens.session import build_session  # noqa: E402
 from review_lens.sinks.buckets import BUCKETS, KEEP  # noqa: E402
 from review_lens.sinks.tables import compact, create_review_table, fold  # noqa: E402
 from review_lens.sinks.topics import file_outlet, kafka_outlet  # noqa: E402
-from review_lens.sources.reviews import in_file_order, read_review_csv  # noqa: E402
+from review_lens.sources.delimited import read_split_csv  # noqa: E402
+from review_lens.sources.reviews import (  # noqa: E402
+    CSV_FORMAT,
+    in_file_order,
+    read_review_csv,
+)
 from review_lens.sources.topics import (  # noqa: E402
     kafka_topic,
     message_topic,
@@ -28,7 +38,7 @@ from review_lens.sources.topics import (  # noqa: E402
     read_messages,
     record_topic,
 )
-from review_lens.streaming import jobs  # noqa: E402
+from review_lens.streaming import jobs, tails  # noqa: E402
 
 
 def _kafka(name):
@@ -72,7 +82,8 @@ def parser():
             sub.add_argument(name, default=value, type=kind)
         return sub
 
-    command("feed", "publish a review file once, in slices", "csv", "to", size=SLICE_ROWS)
+    command("feed", "publish a review file once, in slices; under a name it can be resumed", "csv", "to",
+            size=SLICE_ROWS, name=None, split=False)
     command("define", "define the landed table in the catalog", "table", "name")
     command("ingest", "land a topic", "topic", "table", "quarantine", "checkpoint",
             every="20 seconds", starting=None, per_trigger=None, name=None, fold_every=None, buckets=BUCKETS)
@@ -84,6 +95,10 @@ def parser():
     command("compact", "merge the versions of a landed table that nobody reads, in place", "table", name=None)
     command("fold", "merge what has landed into buckets of ids, under readers", "table",
             buckets=BUCKETS, layers=1, keep=KEEP, name=None)
+    command("watch", "keep the newest predictions of a topic as a list", "predictions", "shown", "checkpoint",
+            every="2 seconds")
+    command("watch-metrics", "keep the metrics of a topic without repeats", "metrics", "shown", "late", "checkpoint",
+            every="2 seconds", patience="1 hour")
     command("recent", "show the newest predictions of a topic", "predictions")
     command("history", "show the newest metrics of a topic", "metrics")
     return top
@@ -123,7 +138,13 @@ def start(spark, a):
     """Run a command; a continuous job comes back as its running query."""
     trigger = {"processingTime": a.every} if "every" in a else None
     if a.command == "feed":
-        rows = in_file_order(read_review_csv(spark, a.csv))
+        if a.split:
+            rows = read_split_csv(spark, a.csv, CSV_SCHEMA, CSV_FORMAT)
+        else:
+            rows = in_file_order(read_review_csv(spark, a.csv))
+        if a.name:
+            jobs.publish_feed(rows, outlet(a.to), a.name, "file", "place", size=a.size)
+            return None
         return jobs.publish_rows(rows, outlet(a.to), "file", "place", size=a.size)
     if a.command == "define":
         return create_review_table(spark, a.name, a.table)
@@ -149,6 +170,14 @@ def start(spark, a):
     if a.command == "fold":
         fold(spark, a.table, a.buckets, a.keep, a.layers, a.name)
         return None
+    if a.command == "watch":
+        source = topic(a.predictions, "earliest", SLICE_ROWS, journal(a))
+        return tails.start_recent(spark, source, a.shown, a.checkpoint, trigger=trigger)
+    if a.command == "watch-metrics":
+        source = topic(a.metrics, "earliest", SLICE_ROWS, journal(a))
+        return tails.start_history(
+            spark, source, a.shown, a.late, a.checkpoint, a.patience, trigger=trigger
+        )
     if a.command == "recent":
         return recent(spark, a.predictions).show(V.RECENT_PREDICTIONS, truncate=False)
     return history(spark, a.metrics).show(V.METRICS_HISTORY, truncate=False)
