@@ -25,7 +25,7 @@ from review_lens.llm.common import components, extended, ready, settled
 
 BUDGET = 4
 BITS = 64
-#: A trie with more fingerprints than this is dealt out as pairs of parts, to tasks of their own.
+#: A trie with more fingerprints than this is split by a second block, then dealt out as pairs of parts.
 PART = 2_000
 #: Node pairs that are walked down at once in a task.
 FRONTIER = 400_000
@@ -173,58 +173,99 @@ def linked(tries: np.ndarray, sides: np.ndarray, values: np.ndarray, budget: int
     return member, root[member]
 
 
-def trie_links(prints: DataFrame, budget: int = BUDGET) -> DataFrame:
-    """Links (u, v) between distinct fingerprints (column fingerprint) whose classes are
-    those of all pairs with at most `budget` differing bits."""
-    blocks_of = budget + 1
-    cuts = [BITS * k // blocks_of for k in range(blocks_of + 1)]
-    bands = F.explode(F.array(*(F.lit(k) for k in range(blocks_of)))).alias("band")
-    rows = prints.select("fingerprint", bands)
-    lead, width = F.lit(0), F.lit(0)
-    for k in range(blocks_of):
-        lead = F.when(F.col("band") == k, cuts[k]).otherwise(lead)
-        width = F.when(F.col("band") == k, cuts[k + 1] - cuts[k]).otherwise(width)
-    turn = lambda side: F.call_function(side, F.col("fingerprint"), F.col("lead"))
-    back = F.call_function("shiftrightunsigned", F.col("fingerprint"), F.lit(BITS) - F.col("lead"))
-    rows = rows.withColumn("lead", lead).withColumn("width", width)
-    turned = F.when(F.col("lead") == 0, F.col("fingerprint")).otherwise(turn("shiftleft").bitwiseOR(back))
-    rows = rows.withColumn("turned", turned).withColumn(
-        "block", F.call_function("shiftrightunsigned", F.col("turned"), F.lit(BITS) - F.col("width"))
+def _unsigned(side: str, column, bits):
+    return F.call_function(side, column, bits)
+
+
+def _piece(cuts: list[int], number):
+    """(first bit, width) of the block that `number` names, for blocks between `cuts`."""
+    first, width = F.lit(0), F.lit(0)
+    for k in range(len(cuts) - 1):
+        first = F.when(number == k, cuts[k]).otherwise(first)
+        width = F.when(number == k, cuts[k + 1] - cuts[k]).otherwise(width)
+    return first, width
+
+
+def _turned(column, lead):
+    """The 64 bits rotated so that bit `lead`, counted from the top, comes first."""
+    back = _unsigned("shiftrightunsigned", column, F.lit(BITS) - lead)
+    return F.when(lead == 0, column).otherwise(_unsigned("shiftleft", column, lead).bitwiseOR(back))
+
+
+def _even(bits: int, parts: int) -> list[int]:
+    return [bits * k // parts for k in range(parts + 1)]
+
+
+def dealt_tries(prints: DataFrame, budget: int) -> DataFrame:
+    """(trie, side, value, fingerprint): each fingerprint under the block values that lead its tries.
+
+    A crowded trie is split the same way one level down: its fingerprints agree on a block, so
+    two of them within the budget also agree on one of as many blocks of the other bits. What
+    is still crowded then is dealt out as pairs of parts. So a fingerprint has (budget + 1)
+    copies, or their square where tries are crowded, whatever the number of fingerprints.
+    """
+    count = budget + 1
+    numbers = lambda name: F.explode(F.array(*(F.lit(k) for k in range(count)))).alias(name)
+    rows = prints.select("fingerprint", numbers("band"))
+    lead, width = _piece(_even(BITS, count), F.col("band"))
+    rows = rows.withColumn("width", width).withColumn("turned", _turned(F.col("fingerprint"), lead))
+    block = _unsigned("shiftrightunsigned", F.col("turned"), F.lit(BITS) - F.col("width"))
+    rows = rows.withColumn("block", block)
+    crowded = rows.groupBy("band", "block").count().where(f"count > {PART}").select("band", "block", F.lit(True).alias("crowded"))
+    rows = rows.join(crowded, ["band", "block"], "left")
+    plain = rows.where("crowded IS NULL").select(
+        F.xxhash64("band", "block").alias("trie"), F.lit(0).alias("side"), F.col("turned").alias("value"), "fingerprint"
     )
-    sizes = rows.groupBy("band", "block").count().where(f"count > {PART}")
-    sizes = sizes.select("band", "block", F.ceil(F.col("count") / PART).cast("int").alias("parts"))
-    rows = rows.join(sizes, ["band", "block"], "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
-    part = F.pmod(F.xxhash64("fingerprint"), F.col("parts")).cast("int")
-    rows = rows.withColumn("part", part)
-    rows = rows.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    low, high = F.least("part", "with"), F.greatest("part", "with")
-    tries = rows.select(
-        F.struct("band", "block", low, high).alias("trie"),
+    again = rows.where("crowded").select("fingerprint", "band", "block", "turned", "width", numbers("sub"))
+    # Block widths differ by one bit at most; the other bits are cut by their own number.
+    widths = sorted({b - a for a, b in zip(_even(BITS, count)[:-1], _even(BITS, count)[1:], strict=True)})
+    first, wide = F.lit(0), F.lit(0)
+    for w in widths:
+        f, n = _piece(_even(BITS - w, count), F.col("sub"))
+        first = F.when(F.col("width") == w, f).otherwise(first)
+        wide = F.when(F.col("width") == w, n).otherwise(wide)
+    again = again.withColumn("first", first).withColumn("wide", wide)
+    # The block stays on top, the other bits are rotated below it.
+    rest = F.lit(BITS) - F.col("width")
+    mask = _unsigned("shiftrightunsigned", F.lit(-1).cast("bigint"), F.col("width"))
+    low = F.col("turned").bitwiseAND(mask)
+    moved = _unsigned("shiftleft", low, F.col("first")).bitwiseOR(_unsigned("shiftrightunsigned", low, rest - F.col("first")))
+    moved = F.when(F.col("first") == 0, low).otherwise(moved.bitwiseAND(mask))
+    again = again.withColumn("moved", moved)
+    again = again.withColumn("subblock", _unsigned("shiftrightunsigned", F.col("moved"), rest - F.col("wide")))
+    key = ["band", "block", "sub", "subblock"]
+    full = again.groupBy(*key).count().where(f"count > {PART}")
+    full = full.select(*key, F.ceil(F.col("count") / PART).cast("int").alias("parts"))
+    again = again.join(full, key, "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+    again = again.withColumn("part", F.pmod(F.xxhash64("fingerprint"), F.col("parts")).cast("int"))
+    again = again.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    pair = F.least("part", "with"), F.greatest("part", "with")
+    value = _unsigned("shiftleft", F.col("block"), rest).bitwiseOR(F.col("moved"))
+    split = again.select(
+        F.xxhash64(*key, *pair).alias("trie"),
         (F.col("part") > F.col("with")).cast("int").alias("side"),
-        "turned",
-        "lead",
+        value.alias("value"),
+        "fingerprint",
     )
-    tries = tries.select(F.xxhash64("trie").alias("trie"), "side", "turned", "lead")
-    # The sort is of signed longs; flipped, their order is that of unsigned values.
-    flipped = F.col("turned").bitwiseXOR(F.lit(-(1 << 63)))
-    tries = tries.select("trie", "side", flipped.alias("flipped"), "lead")
+    return plain.union(split)
+
+
+def trie_links(prints: DataFrame, budget: int = BUDGET) -> DataFrame:
+    """Links (u, v) between distinct fingerprints (column fingerprint) whose classes are
+    those of all pairs with at most `budget` differing bits."""
     ready(prints.sparkSession)
+    # The sort is of signed longs; flipped, their order is that of unsigned values.
+    flipped = F.col("value").bitwiseXOR(F.lit(-(1 << 63))).alias("flipped")
+    tries = dealt_tries(prints, budget).select("trie", "side", flipped, "fingerprint")
     dealt = tries.repartition("trie").sortWithinPartitions("trie", "side", "flipped")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, count = [], 0
 
         def emit(rows):
-            trie, side, value, lead = (np.concatenate(x) for x in zip(*rows, strict=True))
-            value = value.view(np.uint64) ^ np.uint64(1 << 63)
-            left, right = linked(trie, side, value, budget)
-            by = lead[left].astype(np.uint64)
-            ends = []
-            for at in (left, right):
-                whole = value[at]
-                ends.append(np.where(by == 0, whole, (whole >> by) | (whole << ((np.uint64(BITS) - by) & np.uint64(63)))))
-            u, v = (x.view(np.int64) for x in ends)
-            return pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], ["u", "v"])
+            trie, side, value, whole = (np.concatenate(x) for x in zip(*rows, strict=True))
+            left, right = linked(trie, side, value.view(np.uint64) ^ np.uint64(1 << 63), budget)
+            return pa.RecordBatch.from_arrays([pa.array(whole[left]), pa.array(whole[right])], ["u", "v"])
 
         for batch in batches:
             if not batch.num_rows:
