@@ -4,9 +4,9 @@ A rule allows or blocks a host with its subdomains and paths that start with its
 of several the longest decides. The URLs that a rule fits are labelled by it, and
 gradient-boosted trees are trained on lexical features of a bounded sample of them:
 lengths, depth, shares of digits, entropy, counts of parameters, and statistics of
-suffixes. Suffixes of hosts and the first part of paths are hashed into BUCKETS
-buckets; for each bucket there is its number of URLs, over all of them, and the share
-of blocked among the labelled. The table of buckets has a fixed size and is broadcast.
+suffixes. For each suffix of a host, first part of a path and so on there is its number of
+URLs, over all of them, and the share of blocked among the labelled. Suffixes are counted
+exactly; the frequent ones are broadcast, their number is bounded, the rest is joined.
 
 Defined results: a null URL, or one without `://`, has an empty host and path, so no
 rule fits it and the trees judge it. If the labelled URLs are not of both kinds, all
@@ -14,7 +14,6 @@ others get the verdict of the labelled ones, or allow. Rows stay as they are, re
 ones too; other columns than id and URL are not read.
 """
 
-import numpy as np
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -26,9 +25,10 @@ from review_lens.llm.common import bounded_sample, settled
 ALLOW, BLOCK = "allow", "block"
 #: Labelled URLs of each kind that a fit uses, about and at most, picked by a hash.
 SAMPLE = 20_000
-BUCKETS = 4_096
+#: Share of all URLs from which on a suffix is frequent: at most 10,000 of each family are.
+FREQUENT = 1e-4
 TREES, DEPTH = 12, 4
-#: Labelled URLs with the overall share that a bucket's share is mixed with.
+#: Labelled URLs with the overall share that a suffix's share is mixed with.
 PRIOR = 10.0
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -91,7 +91,7 @@ def lexical(url, host, path) -> dict:
 
 
 def suffixes(host, path) -> dict:
-    """Strings whose buckets have statistics."""
+    """Strings with statistics, one of each family."""
     last = F.substring_index(host, ".", -1)
     start = F.element_at(F.split(F.concat(path, F.lit("/")), "/"), 2)
     return {
@@ -104,52 +104,56 @@ def suffixes(host, path) -> dict:
     }
 
 
-def bucket_of(name: str, text):
-    return F.pmod(F.xxhash64(F.lit(name), text), F.lit(BUCKETS)).cast("int")
-
-
 def described(pages: DataFrame, rules, id_column: str, url_column: str) -> DataFrame:
-    """id, url, host, path, rule, ruled, the lexical features and the buckets of each URL."""
+    """id, url, host, path, rule, ruled, the lexical features and the suffixes of each URL."""
     rows = pages.select(F.col(id_column).alias("id"), F.coalesce(F.col(url_column).cast("string"), F.lit("")).alias("url"))
     rows = rows.withColumns({"host": host_of(F.col("url")), "path": path_of(F.col("url"))})
     host, path = F.col("host"), F.col("path")
     rule, verdict = ruling(rules, host, path)
-    buckets = F.array(*(bucket_of(name, text) for name, text in suffixes(host, path).items()))
-    return rows.withColumns(
-        {"rule": rule, "ruled": verdict, "buckets": buckets, **lexical(F.col("url"), host, path)}
-    )
+    parts = F.array(*(F.coalesce(text, F.lit("")) for text in suffixes(host, path).values()))
+    return rows.withColumns({"rule": rule, "ruled": verdict, "parts": parts, **lexical(F.col("url"), host, path)})
 
 
-def bucket_table(rows: DataFrame) -> DataFrame:
-    """(bucket, urls, known, blocked): one row for each bucket at most, with all rows counted."""
-    each = rows.select(F.explode("buckets").alias("bucket"), "ruled")
+def suffix_counts(rows: DataFrame) -> DataFrame:
+    """(family, suffix, urls, known, blocked) of every suffix of all rows, counted exactly."""
+    each = rows.select(F.posexplode("parts").alias("family", "suffix"), "ruled")
     known, blocked = F.col("ruled").isNotNull().cast("bigint"), (F.col("ruled") == BLOCK).cast("bigint")
-    return each.groupBy("bucket").agg(
+    return each.groupBy("family", "suffix").agg(
         F.count("*").alias("urls"), F.sum(known).alias("known"), F.coalesce(F.sum(blocked), F.lit(0)).alias("blocked")
     )
 
 
-class Statistics:
-    """The bucket table as three arrays of BUCKETS numbers."""
+def with_counts(rows: DataFrame, counts: DataFrame, total: int) -> DataFrame:
+    """The rows with a struct c0, c1, ... of the counts of each of their suffixes. Frequent suffixes are broadcast,
+    at most 10,000 of a family; what is left is joined on the suffix and gathered by row, so that
+    no suffix that many rows share is shuffled."""
+    names = list(suffixes(F.lit(""), F.lit("")))
+    counted = counts.select("family", "suffix", F.struct("urls", "known", "blocked").alias("c"))
+    often = F.col("c.urls") >= total * FREQUENT
+    for k in range(len(names)):
+        mine = counted.where(often & (F.col("family") == k)).select(F.col("suffix").alias("suffix_"), F.col("c").alias(f"c{k}"))
+        rows = rows.join(F.broadcast(mine), F.col("parts")[k] == F.col("suffix_"), "left").drop("suffix_")
+    missing = F.filter(
+        F.array(*(F.struct(F.lit(k).alias("family"), F.col("parts")[k].alias("suffix"), F.col(f"c{k}").isNull().alias("rare")) for k in range(len(names)))),
+        lambda part: part["rare"],
+    )
+    rare = rows.select("row", F.inline(missing)).join(counted.where(~often), ["family", "suffix"])
+    picked = [F.max(F.when(F.col("family") == k, F.col("c"))).alias(f"r{k}") for k in range(len(names))]
+    rare = rare.groupBy("row").agg(*picked)
+    whole = rows.join(rare, "row", "left")
+    found = {f"c{k}": F.coalesce(f"c{k}", f"r{k}") for k in range(len(names))}
+    return whole.withColumns(found).drop(*(f"r{k}" for k in range(len(names))))
 
-    def __init__(self, rows: list):
-        self.urls, self.known, self.blocked = ([0.0] * BUCKETS for _ in range(3))
-        for r in rows:
-            self.urls[r["bucket"]], self.known[r["bucket"]], self.blocked[r["bucket"]] = r["urls"], r["known"], r["blocked"]
-        labelled = sum(self.known)
-        self.overall = sum(self.blocked) / labelled if labelled else 0.0
 
-    def features(self, own: bool) -> dict:
-        """Two features for each bucket of a row. own: leave out the label of the row itself."""
-        urls, known, blocked = (F.lit(np.array(part)) for part in (self.urls, self.known, self.blocked))
-        mine = F.lit(1.0 if own else 0.0)
-        its = (F.col("ruled") == BLOCK).cast("double") if own else F.lit(0.0)
-        out = {}
-        for k, name in enumerate(suffixes(F.lit(""), F.lit(""))):
-            at = F.col("buckets")[k]
-            share = (F.get(blocked, at) - its + PRIOR * self.overall) / (F.get(known, at) - mine + PRIOR)
-            out |= {f"{name}_share": share, f"{name}_urls": F.log1p(F.get(urls, at))}
-        return out
+def statistics(overall: float, own: bool) -> dict:
+    """Two features for each suffix of a row with counts. own: leave out the label of the row itself."""
+    mine = F.lit(1.0 if own else 0.0)
+    its = (F.col("ruled") == BLOCK).cast("double") if own else F.lit(0.0)
+    out = {}
+    for k, name in enumerate(suffixes(F.lit(""), F.lit(""))):
+        share = (F.col(f"c{k}.blocked") - its + PRIOR * overall) / (F.col(f"c{k}.known") - mine + PRIOR)
+        out |= {f"{name}_share": share, f"{name}_urls": F.log1p(F.col(f"c{k}.urls"))}
+    return out
 
 
 def judged(
@@ -157,21 +161,26 @@ def judged(
 ) -> DataFrame:
     """(id, host, path, rule, verdict, block_score) of every row; block_score: the trees' probability."""
     rows = described(pages, rules, id_column, url_column)
-    statistics = Statistics(bucket_table(rows).collect())
-    labelled = rows.where("ruled is not null")
-    kinds = {r["ruled"] for r in labelled.select("ruled").distinct().collect()}
-    if len(kinds) < 2:
-        only = kinds.pop() if kinds else ALLOW
+    rows = settled(rows.withColumn("row", F.monotonically_increasing_id()), "urls")
+    counts = settled(suffix_counts(rows), "url-suffixes")
+    facts = counts.where("family = 0").agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("urls", "known", "blocked"))).first()
+    if facts["blocked"] in (0, facts["known"]):
+        # No two kinds of labels to learn from.
+        only = BLOCK if facts["blocked"] else ALLOW
         score = F.lit(float(only == BLOCK))
         verdict = F.coalesce("ruled", F.lit(only)).alias("verdict")
         return rows.select("id", "host", "path", "rule", verdict, score.alias("block_score"))
-    names = [*lexical(F.lit(""), F.lit(""), F.lit("")), *statistics.features(False)]
+    overall = facts["blocked"] / facts["known"]
+    lexical_names = list(lexical(F.lit(""), F.lit(""), F.lit("")))
+    names = [*lexical_names, *statistics(overall, False)]
     assembler = VectorAssembler(inputCols=names, outputCol="features")
+    held = settled(with_counts(rows, counts, facts["urls"]), "url-counts")
+    labelled = held.where("ruled is not null")
     train = bounded_sample(labelled, F.col("ruled"), [F.col("id"), F.col("url")], sample)
-    train = train.withColumns(statistics.features(True)).withColumn("label", (F.col("ruled") == BLOCK).cast("double"))
+    train = train.withColumns(statistics(overall, True)).withColumn("label", (F.col("ruled") == BLOCK).cast("double"))
     train = settled(train.select("label", *names), "url-features")
     trees = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=1).fit(assembler.transform(train))
-    scored = trees.transform(assembler.transform(rows.withColumns(statistics.features(False))))
+    scored = trees.transform(assembler.transform(held.withColumns(statistics(overall, False))))
     score = vector_to_array("probability")[1]
     verdict = F.coalesce(F.col("ruled"), F.when(score > 0.5, BLOCK).otherwise(ALLOW))
     return scored.select("id", "host", "path", "rule", verdict.alias("verdict"), score.alias("block_score"))
