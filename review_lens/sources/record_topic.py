@@ -23,6 +23,9 @@ from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPart
 
 COMMITS = "_commits"
 NAME = "committed_topic"
+#: Records that are read from a file at a time, and bytes.
+STEP_ROWS = 512
+STEP_BYTES = 1 << 20
 
 
 class Slice(InputPartition):
@@ -124,14 +127,20 @@ class CommittedReader(DataSourceStreamReader):
         store, place = fs.FileSystem.from_uri(f"{self.path}/{path}")
         values = dict(part.split("=", 1) for part in path.split("/") if "=" in part)
         with store.open_input_file(place) as file:
-            parquet, at = pq.ParquetFile(file), 0
+            # Read and sent on in steps: a row group may be as large as the file.
+            parquet, at = pq.ParquetFile(file, buffer_size=STEP_BYTES, pre_buffer=False), 0
             for group in range(parquet.num_row_groups):
                 rows = parquet.metadata.row_group(group).num_rows
                 a, b = max(first, at), min(first + count, at + rows)
                 if a < b:
-                    found = parquet.read_row_group(group, columns=["key", "value"]).slice(a - at, b - a)
-                    for batch in found.to_batches():
+                    place = at
+                    for whole in parquet.iter_batches(STEP_ROWS, row_groups=[group], columns=["key", "value"]):
+                        skip = max(a - place, 0)
+                        batch = whole.slice(skip, max(min(b - place, whole.num_rows) - skip, 0))
+                        place += whole.num_rows
                         n = batch.num_rows
+                        if n == 0:
+                            continue
                         columns = [batch.column(0).cast(pa.string()), batch.column(1).cast(pa.string())]
                         columns += [pa.array([values["run"]] * n), pa.array([int(values["batch_id"])] * n, pa.int64())]
                         yield pa.RecordBatch.from_arrays(columns, ["key", "value", "run", "batch_id"])

@@ -3,8 +3,11 @@
 import json
 import sys
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,6 +28,8 @@ from review_lens.sources.topics import Topic, stream_messages
 
 #: Groups of ids that each keep a list of their own; they meet when the list is read.
 SHARDS = 16
+#: Bytes of an Arrow batch that a worker is given, a longer row aside.
+BATCH_BYTES = 8 << 20
 #: Newest batches of the list that stay for readers.
 KEPT = 3
 
@@ -42,6 +47,29 @@ def _newest_rows(rows: pd.DataFrame, limit: int) -> pd.DataFrame:
     return first[["id", "at", "label", "body"]].astype({"at": "int64"})
 
 
+def _newest(rows: pa.Table, limit: int) -> np.ndarray:
+    """Places of the rows that `_newest_rows` would keep of each shard; bodies aren't looked at."""
+    slim = rows.select(["shard", "id", "at", "label"]).to_pandas()
+    known = slim.assign(told=slim["label"].notna(), text=slim["label"].fillna(""))
+    once = known.sort_values(["at", "told", "text"], kind="stable").drop_duplicates(["shard", "id"], keep="last")
+    first = once.assign(back=-once["at"]).sort_values(["shard", "back", "id"], kind="stable")
+    return first.groupby("shard", sort=False).head(limit).index.to_numpy()
+
+
+def _fewer(limit: int):
+    def fewer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """What one task's rows can add to the lists: each shard's newest `limit`, cut down after every batch."""
+        held = None
+        for batch in batches:
+            rows = pa.Table.from_batches([batch])
+            rows = rows if held is None else pa.concat_tables([held, rows])
+            held = rows.take(_newest(rows, limit)).combine_chunks()
+        if held is not None:
+            yield from held.to_batches()
+
+    return fewer
+
+
 def _fold(limit: int):
     def fold(key, frames, state: GroupState):
         """One shard: what it held and what came, cut down after every block of rows."""
@@ -86,6 +114,9 @@ def start_recent(
         F.col("predicted_label").alias("label"),
         body.alias("body"),
     )
+    # Only what may be on a list is shuffled; a worker holds a small batch of texts besides.
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    slim = slim.mapInArrow(_fewer(limit), slim.schema)
     lists = slim.groupBy("shard").applyInPandasWithState(
         _fold(limit), _LIST, "held STRING", "update", GroupStateTimeout.NoTimeout
     )

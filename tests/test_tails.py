@@ -81,3 +81,43 @@ def test_repeats_are_dropped_and_late_rows_counted(spark, tmp_path):
     assert [(r.batch_id, r.total_records) for r in shown_rows.collect()] == [(3, 13), (5, 15), (2, 12), (1, 11), (0, 10)]
     assert tails.late_rows(spark, late).agg(F.sum("rows")).first()[0] == 2
     assert query.lastProgress is None or all(op.numRowsTotal <= 6 for op in query.lastProgress.stateOperators)
+
+
+def test_a_task_sends_only_what_may_be_listed():
+    """Cutting each task's rows down first leaves the list as it is, whatever the batches."""
+    import random
+
+    import pyarrow as pa
+
+    from review_lens.streaming import tails
+
+    draw = random.Random(1)
+    rows = [
+        {"shard": draw.randrange(3), "id": str(draw.randrange(40)), "at": draw.randrange(30), "label": draw.choice(["x", "y", None])}
+        for _ in range(400)
+    ]
+    for r in rows:
+        r["shard"], r["body"] = int(r["id"]) % 3, f"{r['id']} {r['at']} {r['label']}"
+    schema = pa.schema([("shard", pa.int32()), ("id", pa.string()), ("at", pa.int64()), ("label", pa.string()), ("body", pa.string())])
+    batches = [pa.RecordBatch.from_pylist(rows[k : k + 37], schema) for k in range(0, 400, 37)]
+    sent = [b for part in (batches[:5], batches[5:]) for b in tails._fewer(4)(part)]
+    assert sum(b.num_rows for b in sent) <= 2 * 3 * 4
+    for shard in range(3):
+        whole, cut = (pa.Table.from_batches(x).to_pandas() for x in (batches, sent))
+        whole, cut = (tails._newest_rows(x[x["shard"] == shard], 4).reset_index(drop=True) for x in (whole, cut))
+        assert whole.equals(cut)
+
+
+def test_a_large_row_group_is_read_in_steps(tmp_path):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    from review_lens.sources import record_topic
+
+    folder = tmp_path / "run=r" / "batch_id=3"
+    folder.mkdir(parents=True)
+    pq.write_table(pa.table({"key": [str(k) for k in range(3000)], "value": [f"v{k}" for k in range(3000)]}), folder / "f.parquet")
+    reader = record_topic.CommittedReader({"path": str(tmp_path), "journal": "j"})
+    got = list(reader.read(record_topic.Slice("run=r/batch_id=3/f.parquet", 700, 1900)))
+    assert max(b.num_rows for b in got) <= 512
+    assert [v for b in got for v in b.column(1).to_pylist()] == [f"v{k}" for k in range(700, 2600)]
