@@ -23,20 +23,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from review_lens.llm import blocks
-from review_lens.llm.common import bounded_sample, extended, kept_where, ready, settled
+from review_lens.llm.common import extended, kept_where, ready, settled
 
 VOCABULARY = "piece_bpe_32k.model"
 UNDETERMINED = "und"
-#: Labelled rows of a language that a fit uses, about and at most, picked by a hash.
-SAMPLE = 400
 ROUNDS = 3
 #: Expected count that every piece has to begin with, so that none has probability 0.
 SMOOTHING = 0.05
 #: Share of the likelihood that a document's language must exceed to be accepted.
 LEAST_SHARE = 0.5
-#: A floor is set from one part of so many of the labelled texts, about MEASURED of a language.
+#: A floor is measured on one part of so many of the labelled texts; the others teach it.
 PARTS = 5
-MEASURED = 2_000
+#: Decimals of what floors are medians of, so that counting its values takes bounded room.
+DECIMALS = 3
 LETTERS = blocks.byte_table(lambda b: 0x61 <= b <= 0x7A or b >= 0x80)
 ASCII_LETTER = re.compile("[A-Za-z]")
 
@@ -242,19 +241,14 @@ def has_letter(text: str) -> bool:
 
 
 def fit(
-    docs: DataFrame, label="lang", id_column="doc_id", text_column="text", path: str | None = None, sample: int = SAMPLE
+    docs: DataFrame, label="lang", id_column="doc_id", text_column="text", path: str | None = None
 ) -> Scorer | None:
-    """A scorer learned from the labelled rows; None without any."""
+    """A scorer learned from the words of all labelled rows; None without any."""
     spark = docs.sparkSession
     ready(spark)
     pieces = read_pieces(path or vocabulary_path())
-    rows = docs.select(
-        F.col(label).cast("string").alias("label"),
-        F.col(id_column).alias("id"),
-        F.col(text_column).cast("string").alias("text"),
-    )
+    rows = docs.select(F.col(label).cast("string").alias("label"), F.col(text_column).cast("string").alias("text"))
     rows = rows.where("label is not null and text is not null")
-    rows = bounded_sample(rows, F.col("label"), [F.col("id"), F.col("text")], sample)
     letters = F.regexp_extract_all(F.lower("text"), F.lit("([a-z\u0080-\U0010ffff]+)"), F.lit(1))
     words = rows.select("label", F.explode(letters).alias("word")).groupBy("label", "word").count()
     words = settled(words, "language-words")
@@ -314,7 +308,7 @@ def shuffled(text: str) -> str:
 
 
 def floors(
-    docs: DataFrame, label="lang", id_column="doc_id", text_column="text", path: str | None = None, sample: int = MEASURED
+    docs: DataFrame, label="lang", id_column="doc_id", text_column="text", path: str | None = None
 ) -> dict[str, tuple[float, float]]:
     """For each language the least log likelihood per letter to be taken for it, and what a
     text may lack in all: as much as the worst word of a usual text costs, so that one odd
@@ -322,19 +316,17 @@ def floors(
     most of them follow from the ones before.
 
     The least is halfway between the median of its texts and that of the same texts with
-    their letters shuffled. Both are measured on about `sample` labelled texts a language
-    that were left out of a fit of their own; a language without such texts has no floor.
+    their letters shuffled. Both are measured on all labelled texts that were left out of a
+    fit of their own; a language without such texts has no floor.
     """
     part = F.pmod(F.xxhash64(id_column, F.col(text_column).cast("string")), F.lit(PARTS))
     scorer = fit(docs.where(part != 0), label, id_column, text_column, path)
     if scorer is None:
         return {}
     rows = docs.where(part == 0).select(
-        F.col(label).cast("string").alias("label"),
-        F.col(id_column).alias("id"),
-        F.col(text_column).cast("string").alias("text"),
+        F.col(label).cast("string").alias("label"), F.col(text_column).cast("string").alias("text")
     )
-    rows = bounded_sample(rows.where("label is not null"), F.col("label"), [F.col("id"), F.col("text")], sample)
+    rows = rows.where("label is not null")
     sent = docs.sparkSession.sparkContext.broadcast(scorer)
 
     def make(texts):
@@ -343,7 +335,7 @@ def floors(
         return [pa.array(names, pa.string()), pa.array(rate), pa.array(mixed), pa.array(worst)]
 
     found = extended(rows, "text", "lang_pred string, rate double, mixed double, worst double", make, keep=["label"])
-    middle = [F.percentile(c, F.lit(0.5)).alias(c) for c in ("rate", "mixed", "worst")]
+    middle = [F.percentile(F.round(c, DECIMALS), F.lit(0.5)).alias(c) for c in ("rate", "mixed", "worst")]
     found = found.where("label = lang_pred").groupBy("label").agg(*middle)
     return {r["label"]: ((r["rate"] + r["mixed"]) / 2, -r["worst"]) for r in found.collect()}
 

@@ -24,3 +24,17 @@ def test_unlearned_languages_and_random_letters_go(spark):
     assert not [k for k in kept if k < 0]
     lettered = {r.doc_id for r in docs.where(r"text rlike '\\p{L}'").select("doc_id").collect()}
     assert kept == lettered
+
+
+def test_every_labelled_text_teaches(spark):
+    """Words that one text of some thousands holds each have their pieces counted."""
+    from review_lens.llm import language
+
+    import pyarrow as pa
+
+    rows = [(k, "the house stands by the river", "en") for k in range(3000)]
+    common = spark.createDataFrame(rows, "doc_id BIGINT, text STRING, lang STRING")
+    letters = pa.array(list("αβγδεζηθ"))
+    rare = spark.createDataFrame([(5000 + k, f"{x} " * 50, "en") for k, x in enumerate(letters.to_pylist())], common.schema)
+    with_them, without = (language.fit(rows).score(letters)[2] for rows in (common.union(rare), common))
+    assert (with_them > without + 0.5).all()
