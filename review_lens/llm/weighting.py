@@ -1,25 +1,26 @@
 """Language-model scores by context-tree weighting.
 
 A text's bytes, lower-cased, are predicted one by one, each as eight binary decisions.
-For every decision there is a tree of contexts, the bytes before it up to DEPTH of
-them; each node has a Krichevsky-Trofimov estimate from what followed it in the
-corpus. A node's weighted probability is half its own estimate's and half the product
+For every decision there is a tree of contexts, the exact bytes before it, up to
+contexts.DEPTH of them; each node has a Krichevsky-Trofimov estimate from what followed it
+in the corpus. A node's weighted probability is half its own estimate's and half the product
 of its children's, so estimates of all depths are mixed by how well each has coded the
-corpus. Once all counts are in, the mixture gives each byte its probability in each
-context, one table for the scoring pass.
+corpus. Once all counts are in, the mixture gives each byte its probability in each context.
 
-Context bytes are told apart in 32 classes: each letter a-z, white space, digits, other
-ASCII, first and following bytes of longer characters, and the edge of a text. So the
-table has 32**DEPTH * 256 numbers whatever the corpus; its size is the bound of what is
-collected and broadcast for it. Predicted bytes are exact.
+Beside it stands a unigram base over white-space tokens.
 
-Beside it stands a unigram base over white-space tokens. Counts of the at most
-1 / FREQUENT tokens that make up a share of FREQUENT or more each are broadcast, all
-others are joined; none of these can be a hot key.
+Both grow with the corpus: grams (a byte and its context) and tokens are counted and kept by
+Spark. Those that make up a share of FREQUENT_GRAM or FREQUENT or more are broadcast, at most
+1 / FREQUENT_GRAM grams and 1 / FREQUENT tokens; all others are joined, so no key that the
+corpus often has is hot. Grams that the corpus does not have are worked out in its trees,
+once for each distinct one.
 
 Defined results: a null text is an empty one, and has one token, the end. Without
 training rows all counts are 0. Rows stay as they are, repeated ones too; other columns
 than id and text are not read.
+
+The functions down to `mixed_ones` work out a whole table of trees at a time, over 32 classes
+of context bytes. Scores do not use them.
 """
 
 from collections.abc import Iterator
@@ -29,17 +30,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from review_lens.llm import blocks
+from review_lens.llm import blocks, contexts
 from review_lens.llm.common import extended, ready, settled
+from review_lens.llm.contexts import estimate
 
 DEPTH = 3
 CLASSES = 32
 CONTEXTS = CLASSES**DEPTH
 EDGE = 0xFF
-FREQUENT = 1 / 65_536
-#: Decisions whose trees are worked out together, and places that are counted together.
+FREQUENT = 1 / (1 << 20)
+FREQUENT_GRAM = 1 / (1 << 24)
+#: Decisions whose trees are worked out together.
 AT_ONCE = 8
-PLACES = 4 << 20
 
 _classes = np.full(256, 28)
 _classes[97:123] = np.arange(26)
@@ -50,7 +52,7 @@ _classes[0xC0:0xFF] = 29
 _classes[EDGE] = 31
 CLASS_OF = _classes.astype(np.int64)
 
-TOKEN, CELL, END = 0, 1, 2
+TOKEN, END = 0, 1
 
 
 def cells(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -72,21 +74,6 @@ def cells(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return (context * 256 + stream)[used], offsets[:-1] + np.arange(texts)
 
 
-def log_gamma(x: np.ndarray) -> np.ndarray:
-    """Logarithm of the gamma function of numbers above 0, by Stirling's series from x + 8 on."""
-    shift = np.ones_like(x)
-    for k in range(8):
-        shift = shift * (x + k)
-    y = x + 8
-    series = 1 / (12 * y) - 1 / (360 * y**3) + 1 / (1260 * y**5)
-    return (y - 0.5) * np.log(y) - y + 0.5 * np.log(2 * np.pi) + series - np.log(shift)
-
-
-def estimate(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
-    """Log of the Krichevsky-Trofimov probability of any sequence with these counts."""
-    return log_gamma(zeros + 0.5) + log_gamma(ones + 0.5) - log_gamma(zeros + ones + 1.0) - np.log(np.pi)
-
-
 def byte_logs(counts: np.ndarray) -> np.ndarray:
     """Log10 of each byte's probability in each context, from the counts of both.
 
@@ -141,87 +128,114 @@ def mixed_ones(counts: np.ndarray) -> np.ndarray:
 
 
 def corpus_counts(docs: DataFrame, text_column="text") -> DataFrame:
-    """(kind, key, count): tokens by hash, table cells, and ends of texts."""
+    """(kind, key, count): tokens by hash, and ends of texts."""
     ready(docs.sparkSession)
     texts = docs.select(F.col(text_column).cast("string").alias("text"))
 
-    def added(found, held):
-        places = np.concatenate([np.zeros(0, np.int32), *held])
-        part = np.bincount(places, minlength=CONTEXTS * 256)
-        return part if found is None else found + part
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows(kind, keys, counts):
             columns = [pa.array(np.full(len(keys), kind, np.int32)), pa.array(keys), pa.array(counts)]
             return pa.RecordBatch.from_arrays(columns, ["kind", "key", "count"])
 
-        found, ends, held, size = None, 0, [], 0
+        ends = 0
         for piece in blocks.pieces(batches, "text"):
             data, offsets = blocks.text_bytes(piece.column("text"))
             data = blocks.LOWER[data]
-            held.append(cells(data, offsets)[0].astype(np.int32))
-            size += len(held[-1])
-            if size > PLACES:
-                found, held, size = added(found, held), [], 0
             ends += len(offsets) - 1
             words = blocks.find_words(data, offsets, blocks.NOT_SPACE)
             keys, counts = np.unique(blocks.word_hashes(words), return_counts=True)
             yield rows(TOKEN, keys.view(np.int64), counts.astype(np.int64))
-        found = added(found, held)
         if ends:
-            places = np.flatnonzero(found)
-            yield rows(CELL, places, found[places].astype(np.int64))
             yield rows(END, np.zeros(1, np.int64), np.array([ends], np.int64))
 
     counted = texts.mapInArrow(run, "kind int, key bigint, count bigint")
     return settled(counted.groupBy("kind", "key").agg(F.sum("count").alias("count")), "corpus-counts")
 
 
+def found_in(known: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each key is among the known ones, which are in order, and whether it is there."""
+    if not len(known):
+        return np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
+    at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
+    return at, known[at] == keys
+
+
+def lists(keys: np.ndarray, rows: np.ndarray, count: int) -> list[pa.Array]:
+    """Each row's distinct keys, and how often it has them."""
+    order = np.lexsort((keys, rows))
+    keys, rows = keys[order], rows[order]
+    new = np.flatnonzero((np.diff(keys, prepend=0) != 0) | (np.diff(rows, prepend=-1) != 0))
+    times = np.diff(np.append(new, len(keys)))
+    cuts = pa.array(np.searchsorted(rows[new], np.arange(count + 1)).astype(np.int32))
+    return [pa.ListArray.from_arrays(cuts, pa.array(values)) for values in (keys[new], times.astype(np.int32))]
+
+
 class Frequent:
-    """Counts of frequent tokens, and the table of byte probabilities."""
+    """Counts of frequent tokens, and log10 of the probabilities of frequent grams."""
 
-    def __init__(self, keys: np.ndarray, counts: np.ndarray, logs: np.ndarray):
+    def __init__(self, keys: np.ndarray, counts: np.ndarray, grams: np.ndarray, logs: np.ndarray):
         order = np.argsort(keys)
-        self.keys, self.counts, self.logs = keys[order], counts[order], logs
+        self.keys, self.counts = keys[order], counts[order]
+        order = np.argsort(grams)
+        self.grams, self.logs = grams[order], logs[order]
 
     def measure(self, texts: pa.Array) -> list[pa.Array]:
         data, offsets = blocks.text_bytes(texts)
         data = blocks.LOWER[data]
-        places, begin = cells(data, offsets)
-        total = np.add.reduceat(self.logs[places], begin, dtype=np.float64) if len(begin) else np.zeros(0)
+        count = len(offsets) - 1
+        grams, begin = contexts.grams(data, offsets)
+        order = np.argsort(grams)
+        grams = grams[order]
+        at, often = found_in(self.grams, grams)
+        value = np.zeros(len(grams))
+        value[order[often]] = self.logs[at[often]]
+        total = np.add.reduceat(value, begin) if count else np.zeros(0)
+        gram_rows = np.searchsorted(begin, order[~often], "right") - 1
         words = blocks.find_words(data, offsets, blocks.NOT_SPACE)
         hashes, rows = blocks.word_hashes(words).view(np.int64), words.row_of()
-        at = np.minimum(np.searchsorted(self.keys, hashes), max(len(self.keys) - 1, 0))
-        often = self.keys[at] == hashes if len(self.keys) else np.zeros(len(hashes), bool)
-        count = len(offsets) - 1
-        known = np.bincount(rows[often], minlength=count)
-        logs = np.log10(self.counts[at[often]] + 0.5) if often.any() else np.zeros(0)
-        sums = np.bincount(rows[often], logs, count) if often.any() else np.zeros(count)
-        rare, rare_rows = hashes[~often], rows[~often]
-        order = np.lexsort((rare, rare_rows))
-        rare, rare_rows = rare[order], rare_rows[order]
-        new = np.flatnonzero((np.diff(rare, prepend=0) != 0) | (np.diff(rare_rows, prepend=-1) != 0))
-        times = np.diff(np.append(new, len(rare)))
-        cuts = np.searchsorted(rare_rows[new], np.arange(count + 1)).astype(np.int32)
+        at, known = found_in(self.keys, hashes)
+        sums = np.bincount(rows[known], np.log10(self.counts[at[known]] + 0.5), count).astype(np.float64)
         return [
             pa.array(np.diff(offsets)),
             pa.array(np.diff(words.rows).astype(np.int64)),
-            pa.array(known.astype(np.int64)),
+            pa.array(np.bincount(rows[known], minlength=count).astype(np.int64)),
             pa.array(sums),
             pa.array(total),
-            pa.ListArray.from_arrays(pa.array(cuts), pa.array(rare[new])),
-            pa.ListArray.from_arrays(pa.array(cuts), pa.array(times.astype(np.int32))),
+            *lists(hashes[~known], rows[~known], count),
+            *lists(grams[~often], gram_rows, count),
         ]
 
 
 MEASURES = (
-    "n_bytes bigint, n_words bigint, known bigint, often double, score double, rare array<bigint>, times array<int>"
+    "n_bytes bigint, n_words bigint, known bigint, often double, score double, rare array<bigint>, times array<int>, "
+    "rare_grams array<bigint>, gram_times array<int>"
 )
 
 
+def exploded(parts: DataFrame, keys: str, times: str) -> DataFrame:
+    found = parts.select("row", F.explode(F.arrays_zip(keys, times)).alias("held"))
+    return found.select("row", F.col(f"held.{keys}").alias("key"), F.col(f"held.{times}").alias("times"))
+
+
+def rare_gram_logs(parts: DataFrame, rows: DataFrame, seen: DataFrame, top) -> DataFrame:
+    """(row, gram_logs): the sum over each row's rare grams, those that the corpus has by a
+    join, all others by a walk down its trees."""
+    held = exploded(parts, "rare_grams", "gram_times").join(seen, "key", "left")
+    missing = F.when(F.col("logs").isNull(), F.col("key")).alias("missing")
+    sums = held.groupBy("row", missing).agg(
+        F.sum(F.col("times") * F.col("logs")).alias("gram_logs"), F.sum("times").alias("times")
+    )
+    sums = settled(sums, "lm-sums")
+    absent = sums.where("missing is not null").select("row", F.col("missing").alias("key"), "times")
+    answers = contexts.answered(rows, absent, top)
+    absent = absent.join(answers, "key").select("row", (F.col("times") * F.col("logs")).alias("gram_logs"))
+    sums = sums.where("missing is null").select("row", "gram_logs").union(absent)
+    return sums.groupBy("row").agg(F.sum("gram_logs").alias("gram_logs"))
+
+
 def scored(docs: DataFrame, training: DataFrame, id_column="doc_id", text_column="text") -> DataFrame:
     """(id, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte) of every row."""
-    spark = docs.sparkSession
+    context = docs.sparkSession.sparkContext
     counts = corpus_counts(training, text_column)
     tokens = counts.where(F.col("kind") == TOKEN)
     total, distinct = tokens.agg(F.coalesce(F.sum("count"), F.lit(0)), F.count("*")).first()
@@ -229,35 +243,37 @@ def scored(docs: DataFrame, training: DataFrame, id_column="doc_id", text_column
     total, distinct = total + ends, distinct + (ends > 0)
     often = F.col("count") >= total * FREQUENT
     held = tokens.where(often).select("key", "count").toArrow()
-    cell = counts.where(F.col("kind") == CELL).select("key", "count").toArrow()
-    table = np.zeros(CONTEXTS * 256)
-    table[cell.column("key").to_numpy()] = cell.column("count").to_numpy()
-    logs = byte_logs(table.reshape(CONTEXTS, 256)).astype(np.float32).ravel()
-    model = Frequent(held.column("key").to_numpy(), held.column("count").to_numpy(), logs)
-    sent = spark.sparkContext.broadcast(model)
+    trees = contexts.counted(training.select(F.col(text_column).cast("string").alias("text")))
+    top = contexts.topped(trees)
+    places, top = top.places, context.broadcast(top)
+    grams = contexts.measured(trees, top)
+    often_gram = F.col("count") >= places * FREQUENT_GRAM
+    logs = grams.where(often_gram).select("key", "logs").toArrow()
+    columns = [table.column(name).to_numpy() for table, name in ((held, "key"), (held, "count"), (logs, "key"), (logs, "logs"))]
+    sent = context.broadcast(Frequent(*columns))
     rows = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
     rows = rows.withColumn("row", F.monotonically_increasing_id())
     parts = settled(extended(rows, "text", MEASURES, lambda texts: sent.value.measure(texts), keep=["id", "row"]), "lm-parts")
-    rare = parts.select("row", F.explode(F.arrays_zip("rare", "times")).alias("token"))
-    rare = rare.select("row", F.col("token.rare").alias("key"), F.col("token.times").alias("times"))
     seen = tokens.where(~often).select("key", "count")
-    rare = rare.join(seen, "key", "left").groupBy("row")
+    rare = exploded(parts, "rare", "times").join(seen, "key", "left").groupBy("row")
     count = F.coalesce("count", F.lit(0))
     rare = rare.agg(
         F.sum(F.when(count > 0, F.col("times")).otherwise(0)).alias("rare_known"),
         F.sum(F.col("times") * F.log10(count + 0.5)).alias("rare_logs"),
     )
-    found = parts.drop("rare", "times").join(rare, "row", "left")
+    gram_logs = rare_gram_logs(parts, trees, grams.where(~often_gram).select("key", "logs"), top)
+    found = parts.drop("rare", "times", "rare_grams", "gram_times").join(rare, "row", "left").join(gram_logs, "row", "left")
     n_tokens = F.col("n_words") + 1
     known = F.col("known") + F.coalesce("rare_known", F.lit(0)) + F.lit(int(ends > 0))
     logs = F.col("often") + F.coalesce("rare_logs", F.lit(0.0)) + F.lit(float(np.log10(ends + 0.5)))
     floor = float(np.log10(total + 0.5 * (distinct + 1)))
+    score = F.col("score") + F.coalesce("gram_logs", F.lit(0.0))
     return found.select(
         "id",
         n_tokens.alias("n_tokens"),
         known.cast("bigint").alias("n_known"),
         F.lit(total).cast("bigint").alias("train_tokens"),
         (logs - n_tokens * F.lit(floor)).alias("base_score"),
-        "score",
-        (-F.col("score") * F.lit(float(np.log2(10))) / F.greatest(F.col("n_bytes"), F.lit(1))).alias("bits_per_byte"),
+        score.alias("score"),
+        (-score * F.lit(float(np.log2(10))) / F.greatest(F.col("n_bytes"), F.lit(1))).alias("bits_per_byte"),
     )

@@ -1,0 +1,91 @@
+"""op6: contexts are exact bytes, up to six of them, in short and long forms of the join."""
+
+import collections
+import functools
+import math
+
+import numpy as np
+import pytest
+
+from review_lens.llm import contexts, weighting
+
+TAUGHT = ["id 17 is 17; id 23 is 23", "мама мыла раму, мама", "", None, "Abracadabra abracadabra", "id 17 is 17; id 23 is 23"]
+OTHER = ["id 17 is 23", "рама мыла", "zebra 中文 abra", ""]
+
+
+def stream(text):
+    data = [b + 32 if 65 <= b <= 90 else b for b in (text or "").encode()] + [contexts.EDGE]
+    padded = [contexts.EDGE] * 6 + data
+    return [(tuple(padded[k + 5 - n] for n in range(6)), padded[k + 6]) for k in range(len(data))]
+
+
+def definition(taught):
+    """log10 of a byte's probability after six others, by the recursive definition."""
+    counts, children = collections.Counter(), collections.defaultdict(set)
+    for held, byte in (pair for text in taught for pair in stream(text)):
+        for depth in range(7):
+            for level in range(8):
+                counts[held[:depth], level, byte >> (7 - level)] += 1
+            if depth:
+                children[held[: depth - 1]].add(held[depth - 1])
+
+    @functools.cache
+    def node(held, level, start):
+        n = [counts[held, level, 2 * start], counts[held, level, 2 * start + 1]]
+        one = (n[1] + 0.5) / (sum(n) + 1)
+        own = math.lgamma(n[0] + 0.5) + math.lgamma(n[1] + 0.5) - math.lgamma(sum(n) + 1) - math.log(math.pi)
+        if len(held) == 6:
+            return own, one, 1.0
+        below = sum(node((*held, k), level, start)[0] for k in children[held]) if sum(n) else 0.0
+        whole = np.logaddexp(own, below) + math.log(0.5)
+        return whole, one, math.exp(own + math.log(0.5) - whole)
+
+    def log(held, byte):
+        found = 0.0
+        for level in range(8):
+            share = None
+            for depth in range(6, -1, -1):
+                _, one, weight = node(held[:depth], level, byte >> (8 - level))
+                share = one if share is None else weight * one + (1 - weight) * share
+            found += math.log10(share if byte >> (7 - level) & 1 else 1 - share)
+        return found
+
+    return log
+
+
+@pytest.mark.parametrize("frequent", [1 / (1 << 24), 0.01, 2.0])
+def test_scores_by_definition(spark, monkeypatch, frequent):
+    monkeypatch.setattr(weighting, "FREQUENT_GRAM", frequent)
+    texts = TAUGHT + OTHER
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string").repartition(3)
+    log = definition(TAUGHT)
+    found = weighting.scored(docs, docs.where(f"doc_id < {len(TAUGHT)}")).collect()
+    assert len(found) == len(texts)
+    for row in found:
+        assert row.score == pytest.approx(sum(log(*pair) for pair in stream(texts[row.id])), rel=1e-5)
+
+
+def test_without_training_all_bytes_are_alike(spark):
+    docs = spark.createDataFrame([(1, "ab"), (2, None)], "doc_id int, text string")
+    found = {r.id: r.score for r in weighting.scored(docs, docs.limit(0)).collect()}
+    assert found == pytest.approx({1: -24 * math.log10(2), 2: -8 * math.log10(2)})
+
+
+def test_bytes_of_one_kind_are_told_apart(spark):
+    """Digits, marks and letters of other scripts after the same last byte; six bytes back."""
+    taught = ["1abcde!", "2abcde?"] * 40
+    docs = spark.createDataFrame(list(enumerate([*taught, "1abcde?", "2abcde!"])), "doc_id int, text string")
+    score = {r.id: r.score for r in weighting.scored(docs, docs.where(f"doc_id < {len(taught)}")).collect()}
+    assert score[0] > score[len(taught)] + 1 and score[1] > score[len(taught) + 1] + 1
+
+
+def test_counts_are_merged_over_tasks_and_flushes(spark, monkeypatch):
+    texts = [f"text {k % 7} of {k}" for k in range(60)]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string").repartition(4)
+    expected = collections.Counter(pair for t in texts for pair in stream(t))
+    found = {}
+    for row in contexts.counted(docs).collect():
+        lows, counts = np.frombuffer(row.low, np.uint32), np.frombuffer(row["count"], np.int64)
+        found |= {(row.near << 32) + int(low): int(n) for low, n in zip(lows, counts, strict=True)}
+    keys = {int.from_bytes(bytes([*held, byte]), "big"): n for (held, byte), n in expected.items()}
+    assert found == keys
