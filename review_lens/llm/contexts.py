@@ -135,14 +135,17 @@ def counted(texts: DataFrame) -> DataFrame:
             yield from batched(*together(*map(np.concatenate, zip(*runs, strict=True))))
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
         for batch in batches:
-            lists = batch.column("parts")
-            parts = lists.flatten()
-            near = np.repeat(batch.column("near").to_numpy(), np.diff(lists.offsets.to_numpy()))
-            yield from batched(*together(*unpacked(near, parts.field("low"), parts.field("count"))))
-
-    rows = texts.mapInArrow(count, ROW).groupBy("near")
-    rows = rows.agg(F.collect_list(F.struct("low", "count")).alias("parts"))
+            new = unpacked(batch.column("near").to_numpy(), batch.column("low"), batch.column("count"))
+            keys, counts = together(np.append(keys, new[0]), np.append(counts, new[1]))
+            # More may follow of the last value of `near` only.
+            whole = np.searchsorted(keys, keys[-1] >> 32 << 32) if len(keys) else 0
+            yield from batched(keys[:whole], counts[:whole])
+            keys, counts = keys[whole:], counts[whole:]
+        yield from batched(keys, counts)
+
+    rows = texts.mapInArrow(count, ROW).repartition("near").sortWithinPartitions("near")
     return settled(rows.mapInArrow(merge, ROW), "lm-contexts")
 
 

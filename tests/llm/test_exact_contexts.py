@@ -80,11 +80,19 @@ def test_bytes_of_one_kind_are_told_apart(spark):
 
 
 def test_counts_are_merged_over_tasks_and_flushes(spark, monkeypatch):
+    monkeypatch.setattr(contexts, "PLACES", 50)
+    monkeypatch.setattr(contexts, "HELD", 60)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
     texts = [f"text {k % 7} of {k}" for k in range(60)]
     docs = spark.createDataFrame([(t,) for t in texts], "text string").repartition(4)
     expected = collections.Counter(pair for t in texts for pair in stream(t))
     found = {}
-    for row in contexts.counted(docs).collect():
+    try:
+        rows = contexts.counted(docs).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert len({row.near for row in rows}) == len(rows)
+    for row in rows:
         lows, counts = np.frombuffer(row.low, np.uint32), np.frombuffer(row["count"], np.int64)
         found |= {(row.near << 32) + int(low): int(n) for low, n in zip(lows, counts, strict=True)}
     keys = {int.from_bytes(bytes([*held, byte]), "big"): n for (held, byte), n in expected.items()}
